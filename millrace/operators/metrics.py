@@ -162,7 +162,9 @@ def distinct_n(df: DataFrame, text: str, n: int, by: Sequence[str] = ()) -> Data
 
     One shuffle on the n-gram after map-side counting; groups need no distinct aggregate.
     """
-    grams = df.select(*by, F.explode(ngrams(tokens(F.lower(F.col(text))), n)).alias("g"))
+    # Tokens are a column of their own: an expression inside explode is not shared.
+    split = df.select(*by, tokens(F.lower(F.col(text))).alias("_t"))
+    grams = split.select(*by, F.explode(ngrams(F.col("_t"), n)).alias("g"))
     words = [f"w{k + 1}" for k in range(n)]
     counted = grams.select(*by, "g.*").groupBy(*by, *words).agg(F.count(F.lit(1)).alias("_c"))
     total, unique = F.coalesce(F.sum("_c"), F.lit(0)), F.count(F.lit(1))
@@ -186,9 +188,9 @@ def _widened_ngrams(toks: Column, n: int, width: int) -> Column:
 
 def diversity(df: DataFrame, text: str, by: Sequence[str] = ()) -> DataFrame:
     """distinct_1, distinct_2 and distinct_3 from one scan."""
-    toks = tokens(F.lower(F.col(text)))
-    widened = F.concat(*[_widened_ngrams(toks, n, 3) for n in (1, 2, 3)])
-    grams = df.select(*by, F.explode(widened).alias("g")).select(*by, "g.*")
+    split = df.select(*by, tokens(F.lower(F.col(text))).alias("_t"))
+    widened = F.concat(*[_widened_ngrams(F.col("_t"), n, 3) for n in (1, 2, 3)])
+    grams = split.select(*by, F.explode(widened).alias("g")).select(*by, "g.*")
     counted = grams.groupBy(*by, "n", "w1", "w2", "w3").agg(F.count(F.lit(1)).alias("_c"))
     of = lambda n, col: F.sum(F.when(F.col("n") == n, col))
     return counted.groupBy(*by).agg(
@@ -207,16 +209,19 @@ def self_bleu(df: DataFrame, key: str, text: str, small_total: int = SMALL_TOTAL
     grams = toks.select(key, F.explode(widened).alias("g")).select(key, "g.*")
     gram = ["n", "w1", "w2", "w3", "w4"]
     per_text = grams.groupBy(key, *gram).agg(F.count(F.lit(1)).alias("_c"))
-    # Spark limits each task to its own top 2 rows per n-gram before this window's shuffle.
-    top = Window.partitionBy(*gram).orderBy(F.desc("_c"), key)
-    two = per_text.withColumn("_r", F.row_number().over(top)).filter(F.col("_r") <= 2)
-    clips = two.groupBy(*gram).agg(
-        F.max(F.when(F.col("_r") == 1, F.col(key))).alias("_holder"),
-        F.max(F.when(F.col("_r") == 1, F.col("_c"))).alias("_first"),
-        F.coalesce(F.max(F.when(F.col("_r") == 2, F.col("_c"))), F.lit(0)).alias("_second"),
+    # Per n-gram one entry for every distinct count, which no text length lets grow far.
+    by_count = per_text.groupBy(*gram, "_c").agg(F.count(F.lit(1)).alias("_n"), F.min(key).alias("_k"))
+    entries = F.sort_array(F.collect_list(F.struct("_c", "_n", "_k")), asc=False)
+    tops = by_count.groupBy(*gram).agg(F.sum("_n").alias("_texts"), entries.alias("_e")).filter(F.col("_texts") > 1)
+    first, next_one = F.col("_e")[0], F.try_element_at("_e", F.lit(2))
+    clips = tops.select(
+        *gram,
+        "_texts",
+        first["_k"].alias("_holder"),
+        first["_c"].alias("_first"),
+        F.when(first["_n"] > 1, first["_c"]).otherwise(next_one["_c"]).alias("_second"),
     )
-    weights = per_text.groupBy(*gram).agg(F.count(F.lit(1)).alias("_texts"))
-    matched = hot_key_join(per_text, clips.join(weights, gram), gram, "_texts", small_total)
+    matched = hot_key_join(per_text, clips, gram, "_texts", small_total)
     clip = F.when(F.col(key) == F.col("_holder"), F.col("_second")).otherwise(F.col("_first"))
     sums = matched.groupBy(key).agg(
         *[F.sum(F.when(F.col("n") == n, F.least("_c", clip))).alias(f"_m{n}") for n in (1, 2, 3, 4)]

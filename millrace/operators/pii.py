@@ -40,7 +40,7 @@ def _worth_trying(text: Column, kind: str) -> Column:
 
 
 def is_card(number: Column) -> Column:
-    return F.luhn_check(F.regexp_replace(number, "[ -]", ""))
+    return F.call_function("luhn_check", F.regexp_replace(number, "[ -]", ""))
 
 
 def long_texts(df: DataFrame, key: str, fields: Sequence[str] = (), turns: str | None = None) -> DataFrame:

@@ -54,6 +54,12 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for inputs of fewer files than cores; large inputs are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def ingest(spark: SparkSession, path: str, fmt: str | None = None, schema: T.StructType | str | None = None) -> DataFrame:
     kind = detect_format(path, fmt)
     if kind == "jsonl":

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.sources.readers import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -20,8 +22,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+# Tables whose rows are long enough to make a single input task slow.
+_TEXT_TABLES = ("documents", "conversations")
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{table}.parquet")) if table in _TEXT_TABLES else spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def toks(text: str) -> str:
