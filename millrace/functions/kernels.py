@@ -119,15 +119,18 @@ def signature_of(size: int, bands: int, rows: int):
     @F.pandas_udf("shingles array<bigint>, n int, bands array<bigint>")
     def signature(text: pd.Series) -> pd.DataFrame:
         rng = np.random.RandomState(1)
-        seeds = rng.randint(1, 2**62, size=bands * rows, dtype=np.int64).astype(np.uint64)
+        factors = rng.randint(1, 2**62, size=(bands * rows, 1), dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+        offsets = rng.randint(1, 2**62, size=(bands * rows, 1), dtype=np.int64).astype(np.uint64)
         out = []
         with np.errstate(over="ignore"):
             for t in text:
                 found = _shingles(t.split(), size)
                 low = np.full(bands * rows, np.uint64(2**64 - 1))
-                for start in range(0, len(found), 4096):
-                    part = found[start : start + 4096]
-                    low = np.minimum(low, _mix(part[None, :] ^ seeds[:, None]).min(axis=1))
+                # Blocks small enough for the processor cache.
+                for start in range(0, len(found), 512):
+                    part = factors * found[None, start : start + 512]
+                    part += offsets
+                    low = np.minimum(low, part.min(axis=1))
                 keys = []
                 if len(found):
                     grid = low.reshape(bands, rows)

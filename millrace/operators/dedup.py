@@ -64,40 +64,47 @@ def near_duplicates(
     rows = materialise(signatures(df, key, text, threshold, permutations), "near-rows")
     sets = rows.select(key, "shingles", "n")
     members = rows.select(key, F.explode("bands").alias("bucket"))
-    members = materialise(_shared(members, key, small_total), "near-members")
+    bands, _ = band_shape(threshold, permutations)
+    members = materialise(_shared(members, key, rows.count() * bands, small_total), "near-members")
     dropped, rounds = None, 0
-    while not members.isEmpty():
+    # Counting a written table reads file footers only.
+    while total := members.count():
         rounds += 1
         if rounds > 2:
-            members = _split_large(members, sets, key, threshold, large_bucket, small_total)
+            members = _split_large(members, sets, key, total, threshold, large_bucket, small_total)
+            total = members.count()
         leaders = members.groupBy("bucket").agg(F.min(key).alias("leader"), F.count(F.lit(1)).alias("_size"))
-        led = hot_key_join(members, leaders, ["bucket"], "_size", small_total)
+        led = hot_key_join(members, leaders, ["bucket"], "_size", total, small_total)
         pairs = materialise(led.groupBy(key, "leader").agg(F.lit(True).alias("_pair")).drop("_pair"), "near-pairs")
         keepers = pairs.groupBy(key).agg(F.bool_and(F.col("leader") == F.col(key)).alias("_own")).filter("_own").select(key)
         tested = pairs.filter(F.col("leader") != F.col(key)).join(
             keepers.withColumnRenamed(key, "leader"), "leader", "left_semi"
         )
-        gone = materialise(_similar(tested, sets, key, threshold, small_total), "near-dropped")
+        gone = materialise(_similar(tested, pairs.count(), sets, key, threshold, small_total), "near-dropped")
         dropped = gone if dropped is None else dropped.unionByName(gone)
         decided = keepers.unionByName(gone)
-        members = materialise(_shared(members.join(decided, key, "left_anti"), key, small_total), "near-members")
+        members = materialise(
+            _shared(members.join(decided, key, "left_anti"), key, total, small_total), "near-members"
+        )
     return dropped if dropped is not None else rows.select(key).limit(0)
 
 
-def _shared(members: DataFrame, key: str, small_total: int) -> DataFrame:
+def _shared(members: DataFrame, key: str, total: int, small_total: int) -> DataFrame:
     """Memberships in buckets of at least two rows."""
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") > 1)
-    return hot_key_join(members, sizes, ["bucket"], "_size", small_total).select(key, "bucket")
+    return hot_key_join(members, sizes, ["bucket"], "_size", total, small_total).select(key, "bucket")
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, key: str, threshold: float, small_total: int) -> DataFrame:
+def _similar(
+    pairs: DataFrame, total: int, sets: DataFrame, key: str, threshold: float, small_total: int
+) -> DataFrame:
     """Keys whose exact Jaccard similarity with a paired leader reaches the threshold."""
     fans = pairs.groupBy("leader").agg(F.count(F.lit(1)).alias("_fan"))
     leader_sets = fans.join(
         sets.select(F.col(key).alias("leader"), F.col("shingles").alias("_ls"), F.col("n").alias("_ln")), "leader"
     )
     mine = pairs.join(sets, key)
-    both = hot_key_join(mine, leader_sets, ["leader"], "_fan", small_total)
+    both = hot_key_join(mine, leader_sets, ["leader"], "_fan", total, small_total)
     # Sets whose sizes differ too much cannot reach the threshold.
     near = both.filter(F.least("n", "_ln") >= F.lit(threshold) * F.greatest("n", "_ln"))
     common = F.size(F.array_intersect("shingles", "_ls"))
@@ -105,7 +112,7 @@ def _similar(pairs: DataFrame, sets: DataFrame, key: str, threshold: float, smal
 
 
 def _split_large(
-    members: DataFrame, sets: DataFrame, key: str, threshold: float, large_bucket: int, small_total: int
+    members: DataFrame, sets: DataFrame, key: str, total: int, threshold: float, large_bucket: int, small_total: int
 ) -> DataFrame:
     """Replace every large bucket by one bucket per rare shingle of its rows.
 
@@ -113,23 +120,23 @@ def _split_large(
     their first n - ceil(t * n) + 1, so pairs that matter stay together and rows that only
     share common passages part.  Buckets are marked by a hash of (bucket, shingle).
     """
-    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("_size"))
-    large = sizes.filter(F.col("_size") > large_bucket)
-    if large.isEmpty():
+    one = F.count(F.lit(1))
+    sizes = members.groupBy("bucket").agg(one.alias("_size"), one.alias("_weight"))
+    if sizes.filter(F.col("_size") > large_bucket).isEmpty():
         return members
-    inside = hot_key_join(members, large, ["bucket"], "_size", small_total).select(key, "bucket")
-    outside = hot_key_join(members, sizes.filter(F.col("_size") <= large_bucket), ["bucket"], "_size", small_total).select(
-        key, "bucket"
-    )
+    tagged = hot_key_join(members, sizes, ["bucket"], "_weight", total, small_total)
+    inside = tagged.filter(F.col("_size") > large_bucket).select(key, "bucket")
+    outside = tagged.filter(F.col("_size") <= large_bucket).select(key, "bucket")
     affected = inside.select(key).distinct().join(sets, key)
-    words = affected.select(key, "n", F.explode("shingles").alias("shingle"))
-    seen = words.groupBy("shingle").agg(F.count(F.lit(1)).alias("_df"), F.count(F.lit(1)).alias("_weight"))
+    words = materialise(affected.select(key, "n", F.explode("shingles").alias("shingle")), "near-words")
+    seen = words.groupBy("shingle").agg(one.alias("_df"), one.alias("_weight"))
     order = Window.partitionBy(key).orderBy("_df", "shingle")
     rare = (
-        hot_key_join(words, seen, ["shingle"], "_weight", small_total)
+        hot_key_join(words, seen, ["shingle"], "_weight", words.count(), small_total)
         .withColumn("_r", F.row_number().over(order))
         .filter(F.col("_r") <= F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9) + 1)
         .select(key, "shingle")
     )
     parts = inside.join(rare, key).select(key, F.xxhash64("bucket", "shingle").alias("bucket"))
-    return materialise(_shared(outside.unionByName(parts).distinct(), key, small_total), "near-split")
+    split = materialise(outside.unionByName(parts).distinct(), "near-parts")
+    return materialise(_shared(split, key, split.count(), small_total), "near-split")

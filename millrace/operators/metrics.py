@@ -221,7 +221,8 @@ def self_bleu(df: DataFrame, key: str, text: str, small_total: int = SMALL_TOTAL
         first["_c"].alias("_first"),
         F.when(first["_n"] > 1, first["_c"]).otherwise(next_one["_c"]).alias("_second"),
     )
-    matched = hot_key_join(per_text, clips, gram, "_texts", small_total)
+    words = toks.agg(F.coalesce(F.sum(F.size("_t")), F.lit(0))).first()[0]
+    matched = hot_key_join(per_text, clips, gram, "_texts", 4 * words, small_total)
     clip = F.when(F.col(key) == F.col("_holder"), F.col("_second")).otherwise(F.col("_first"))
     sums = matched.groupBy(key).agg(
         *[F.sum(F.when(F.col("n") == n, F.least("_c", clip))).alias(f"_m{n}") for n in (1, 2, 3, 4)]

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from millrace.plans.durable import materialise
+
 # At most this many keys can each hold more than total/MAX_HOT_KEYS rows, so a table of
 # hot keys has a proven size bound and may be broadcast.
 MAX_HOT_KEYS = 1000
@@ -19,17 +21,19 @@ def hot_key_join(
     small: DataFrame,
     on: Sequence[str],
     weight: str,
+    total: int,
     small_total: int = SMALL_TOTAL,
 ) -> DataFrame:
     """Inner join where ``small`` has one row per key and ``weight`` = rows of ``big`` with it.
 
-    Heavy keys (fewer than MAX_HOT_KEYS by pigeonhole) are joined by broadcast, so their rows
-    never move; the rest is an ordinary shuffle join in which no key is heavy.
+    ``total`` is the number of rows of ``big`` or an upper bound.  Heavy keys (fewer than
+    MAX_HOT_KEYS by pigeonhole) are joined by broadcast, so their rows never move; the rest is
+    an ordinary shuffle join in which no key is heavy.
     """
     on = list(on)
-    total = small.agg(F.sum(weight)).first()[0] or 0
     if total <= small_total:
         return big.join(small.drop(weight), on)
+    small = materialise(small, "hot-split")
     cut = total / MAX_HOT_KEYS
     hot = F.broadcast(small.filter(F.col(weight) > cut))
     cold = small.filter(F.col(weight) <= cut)

@@ -1,0 +1,102 @@
+"""Structured Streaming versions, run over the tables as file streams until nothing is left.
+
+Event-time queries emit what the final watermark (latest event minus the delay) has closed, and
+their SQL says the same.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from millrace.plans.durable import new_path
+from millrace.streaming import monitor
+from millrace.streaming.run import drain_to_table
+from millrace.workload import load, query, rounded
+from millrace.workload.monitoring import _GREEDY_SQL
+
+
+def _stream(spark, sf, table):
+    schema = spark.read.parquet(f"{sf}/{table}.parquet").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(sf)
+
+
+def _events(spark, sf):
+    return _stream(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+# Rows after the watermark's last full hour are still open when the stream ends.
+_CLOSED = "time_bucket(interval 1 hour, ts) + interval 1 hour <= (select max(ts) - interval 10 minute from events)"
+
+
+@query(
+    "streaming_rollup",
+    f"""select event_type, epoch_us(time_bucket(interval 1 hour, ts)) // 1000000 as period_start, count(*) as n, round(sum(value), 4)::double as total, max(value) as highest
+    from events where {_CLOSED} group by all""",
+)
+def _(spark, sf):
+    aggregates = [F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"), F.max("value").alias("highest")]
+    done = drain_to_table(monitor.streaming_rollup(_events(spark, sf), ["event_type"], "ts", aggregates), "rollup")
+    return done.withColumn("period_start", F.unix_seconds("period_start"))
+
+
+@query(
+    "streaming_alarm",
+    """with v as (select event_type, epoch_us(ts) // 3600000000 as period, count(*)::double as value from events group by all),
+    l as (select (epoch_us(max(ts) - interval 10 minute) // 1000) // 3600000 - 1 as last from events),
+    g as (select event_type, unnest(range(min(period), (select last from l) + 1)) as period from v group by event_type),
+    f as (select g.event_type, g.period, v.value, coalesce(v.value <= 1, true) as breaching from g left join v on v.event_type = g.event_type and v.period = g.period)
+    select event_type, period, value, breaching, count(*) over w >= 2 and count(*) filter (not breaching) over w = 0 as in_alarm from f
+    window w as (partition by event_type order by period rows between 1 preceding and current row)""",
+)
+def _(spark, sf):
+    ones = _events(spark, sf).withColumn("one", F.lit(1.0))
+    states = monitor.streaming_alarm(ones, "event_type", "ts", "one", "sum", "<=", 1.0, 2, "breaching", period=3600)
+    return drain_to_table(states, "alarm")
+
+
+@query(
+    "streaming_loss_monitor",
+    """with m as (select user_id as run, event_id as step, value as loss, avg(value) over (partition by user_id order by event_id rows between 50 preceding and 1 preceding) as rolling_mean,
+      min(value) over (partition by user_id order by event_id rows between unbounded preceding and 1 preceding) as prior from events),
+    b as (select *, prior is null or loss < prior as is_best from m),
+    c as (select *, max(case when is_best then step end) over (partition by run order by step) as best_step from b)
+    select run, step, round(rolling_mean, 8)::double as rolling_mean, coalesce(rolling_mean > 0 and loss > 3 * rolling_mean, false) as is_spike,
+      not is_best and step - best_step >= 500 as is_plateau from c""",
+)
+def _(spark, sf):
+    logs = _stream(spark, sf, "events").select(F.col("user_id").alias("run"), F.col("event_id").alias("step"), F.col("value").alias("loss"))
+    done = drain_to_table(monitor.streaming_loss_monitor(logs, "run", "step", "loss"), "loss")
+    return rounded(done.select("run", "step", "rolling_mean", "is_spike", "is_plateau"), 8)
+
+
+@query("streaming_alert_dedup", _GREEDY_SQL)
+def _(spark, sf):
+    alerts = _events(spark, sf).select("event_type", "event_id", F.unix_micros("ts").alias("at_us"))
+    return drain_to_table(monitor.streaming_alert_dedup(alerts, "event_type", "event_id", "at_us", 86_400), "alerts").drop("at_us")
+
+
+@query("streaming_clean_redact")
+def _(spark, sf):
+    docs = _stream(spark, sf, "documents").select("doc_id", "text")
+    done = drain_to_table(monitor.streaming_clean_redact(docs, "doc_id", "text", 50.0), "clean")
+    return done.select("doc_id", F.md5("text").alias("text_md5"))
+
+
+@query(
+    "streaming_output_drift",
+    f"""with f as (select time_bucket(interval 1 hour, ts) as p, 1.0 as words, (event_type = 'error')::int as e from events where {_CLOSED})
+    select epoch_us(p) // 1000000 as period_start, count(*) as n, avg(words)::double as avg_response_length, 1.0::double as vocab_richness from f group by p""",
+)
+def _(spark, sf):
+    baseline = {"avg_response_length": 2.0, "refusal_rate": 0.0}
+    done = drain_to_table(monitor.streaming_output_drift(_events(spark, sf), "ts", "event_type", baseline), "drift")
+    return done.select(F.unix_seconds("period_start").alias("period_start"), "n", "avg_response_length", "vocab_richness")
+
+
+@query("metric_sink", "select event_type as metric, count(*) as n, round(sum(value), 4)::double as total from events group by event_type")
+def _(spark, sf):
+    out, state = new_path(spark, "metrics"), new_path(spark, "metrics-state")
+    points = _stream(spark, sf, "events").select(F.col("event_type").alias("metric"), "value", "ts")
+    points.writeStream.foreachBatch(monitor.metric_sink(out)).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+    rows = spark.read.parquet(out)
+    return rows.groupBy("metric").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))

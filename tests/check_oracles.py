@@ -20,7 +20,7 @@ def normal(rows, columns):
         if isinstance(v, bool) or v is None:
             return v
         if isinstance(v, float):
-            return "nan" if math.isnan(v) else round(v, 6) + 0.0
+            return "nan" if math.isnan(v) else round(v, 9) + 0.0
         return v
     return sorted((tuple(cell(r[i]) for i in order) for r in rows), key=repr)
 
