@@ -14,6 +14,9 @@ from millrace.functions.text import tokens
 _MAY_COMPOSE = r"[^\x00-\u02ff]"
 _CONTROLS = r"[\x00-\x08\x0b-\x0c\x0e-\x1f\x7f-\x9f]"
 
+# Anything that neither cleaning step takes away.
+_VISIBLE = f"[^{_CONTROLS[1:-1]}{WHITESPACE[1:-2]}]"
+
 
 def _tidy(text: Column) -> Column:
     out = F.regexp_replace(text, _CONTROLS, "")
@@ -46,7 +49,7 @@ def clean_samples(df: DataFrame, fields: Sequence[str] = (), turns: str | None =
 
 def is_empty(required: Sequence[str] = (), turns: str | None = None) -> Column:
     """Whether a required text is null, empty or white space, or any turn is."""
-    blank = lambda c: F.coalesce(F.length(_tidy(c)), F.lit(0)) == 0
+    blank = lambda c: ~F.coalesce(c.rlike(_VISIBLE), F.lit(False))
     test = F.lit(False)
     for name in required:
         test = test | blank(F.col(name))

@@ -1,10 +1,12 @@
 """Near-duplicate removal: MinHash bands for candidates, exact Jaccard for the decision.
 
 Rule: in key order, a row is dropped if it is similar to an earlier kept row that shares a
-band.  Each round takes the lowest undecided key of every bucket as its leader.  A row that
-leads all its buckets is kept; every row is compared with the leaders of its buckets, never
-with all members, so a bucket of copies costs one comparison per row.  Buckets that stay large
-after the copies are gone are split by rare shingles, which loses no pair above the threshold.
+band.  Each round takes the lowest undecided keys of every bucket as its leaders (one in the
+first round, a few later) and compares every row with the leaders before it, never with all
+members, so a bucket of copies costs one comparison per row.  A row is kept once all undecided
+rows before it in its buckets are known to differ; a row similar to a kept one is dropped.
+Buckets that stay large after the copies are gone are split by rare shingles, which loses no
+pair above the threshold.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from millrace.plans.durable import materialise
 from millrace.plans.skew import SMALL_TOTAL, hot_key_join
 
 SHINGLE_WORDS = 5
+LEADERS = 8
 
 
 def band_shape(threshold: float, permutations: int = 128) -> tuple[int, int]:
@@ -73,14 +76,17 @@ def near_duplicates(
         if rounds > 2:
             members = _split_large(members, sets, key, total, threshold, large_bucket, small_total)
             total = members.count()
-        leaders = members.groupBy("bucket").agg(F.min(key).alias("leader"), F.count(F.lit(1)).alias("_size"))
-        led = hot_key_join(members, leaders, ["bucket"], "_size", total, small_total)
-        pairs = materialise(led.groupBy(key, "leader").agg(F.lit(True).alias("_pair")).drop("_pair"), "near-pairs")
-        keepers = pairs.groupBy(key).agg(F.bool_and(F.col("leader") == F.col(key)).alias("_own")).filter("_own").select(key)
-        tested = pairs.filter(F.col("leader") != F.col(key)).join(
-            keepers.withColumnRenamed(key, "leader"), "leader", "left_semi"
-        )
-        gone = materialise(_similar(tested, pairs.count(), sets, key, threshold, small_total), "near-dropped")
+        led = materialise(_with_leaders(members, key, 1 if rounds == 1 else LEADERS, total, small_total), "near-led")
+        complete = led.groupBy(key).agg(F.bool_and("complete").alias("_all")).filter("_all").select(key)
+        pairs = led.select(key, F.explode("before").alias("leader")).distinct()
+        if rounds == 1:
+            # Only a row that leads all its buckets is sure to be kept yet.
+            pairs = pairs.join(complete.withColumnRenamed(key, "leader"), "leader", "left_semi")
+        pairs = materialise(pairs, "near-pairs")
+        edges = materialise(_similar(pairs, pairs.count(), sets, key, threshold, small_total), "near-edges")
+        keepers = complete.join(edges.select(key), key, "left_anti")
+        gone = edges.join(keepers.withColumnRenamed(key, "leader"), "leader", "left_semi").select(key).distinct()
+        gone = materialise(gone, "near-dropped")
         dropped = gone if dropped is None else dropped.unionByName(gone)
         decided = keepers.unionByName(gone)
         members = materialise(
@@ -95,10 +101,25 @@ def _shared(members: DataFrame, key: str, total: int, small_total: int) -> DataF
     return hot_key_join(members, sizes, ["bucket"], "_size", total, small_total).select(key, "bucket")
 
 
+def _with_leaders(members: DataFrame, key: str, leaders: int, total: int, small_total: int) -> DataFrame:
+    """Memberships with the leaders before the row, and whether those are all rows before it."""
+    # Each task passes on only its own lowest keys per bucket.
+    first = Window.partitionBy("bucket").orderBy(key)
+    lowest = members.withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= leaders)
+    heads = lowest.groupBy("bucket").agg(F.sort_array(F.collect_list(key)).alias("_heads"))
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("_size"))
+    joined = hot_key_join(members, heads.join(sizes, "bucket"), ["bucket"], "_size", total, small_total)
+    return joined.select(
+        key,
+        F.filter("_heads", lambda h: h < F.col(key)).alias("before"),
+        (F.col(key) <= F.array_max("_heads")).alias("complete"),
+    )
+
+
 def _similar(
     pairs: DataFrame, total: int, sets: DataFrame, key: str, threshold: float, small_total: int
 ) -> DataFrame:
-    """Keys whose exact Jaccard similarity with a paired leader reaches the threshold."""
+    """The pairs whose exact Jaccard similarity reaches the threshold."""
     fans = pairs.groupBy("leader").agg(F.count(F.lit(1)).alias("_fan"))
     leader_sets = fans.join(
         sets.select(F.col(key).alias("leader"), F.col("shingles").alias("_ls"), F.col("n").alias("_ln")), "leader"
@@ -108,7 +129,7 @@ def _similar(
     # Sets whose sizes differ too much cannot reach the threshold.
     near = both.filter(F.least("n", "_ln") >= F.lit(threshold) * F.greatest("n", "_ln"))
     common = F.size(F.array_intersect("shingles", "_ls"))
-    return near.filter(common >= F.lit(threshold) * (F.col("n") + F.col("_ln") - common)).select(key).distinct()
+    return near.filter(common >= F.lit(threshold) * (F.col("n") + F.col("_ln") - common)).select(key, "leader")
 
 
 def _split_large(

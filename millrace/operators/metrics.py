@@ -178,12 +178,11 @@ def distinct_n(df: DataFrame, text: str, n: int, by: Sequence[str] = ()) -> Data
 
 def _widened_ngrams(toks: Column, n: int, width: int) -> Column:
     """n-grams as structs (n, w1..w<width>), unused words empty, so that orders can be stacked."""
-
-    def widen(gram: Column) -> Column:
-        words = [gram[f"w{k + 1}"] if k < n else F.lit("") for k in range(width)]
-        return F.struct(F.lit(n).alias("n"), *[w.alias(f"w{k + 1}") for k, w in enumerate(words)])
-
-    return F.transform(ngrams(toks, n), widen)
+    length = F.greatest(F.size(toks) - (n - 1), F.lit(0))
+    words = [F.slice(toks, k + 1, length) if k < n else F.array_repeat(F.lit(""), length) for k in range(width)]
+    return F.arrays_zip(
+        F.array_repeat(F.lit(n), length).alias("n"), *[w.alias(f"w{k + 1}") for k, w in enumerate(words)]
+    )
 
 
 def diversity(df: DataFrame, text: str, by: Sequence[str] = ()) -> DataFrame:

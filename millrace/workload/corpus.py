@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.fixed import ALPACA_PREAMBLE, PII_PATTERNS
 from millrace.operators import catalog, clean, convert, dedup, pii, prepare, template, tokens, validate
-from millrace.plans.durable import new_path
+from millrace.plans.durable import materialise, new_path
 from millrace.sources import readers, writers
 from millrace.workload import TURN_PAIRS_SQL, hash_order, load, query, rounded, toks, turn_pairs
 
@@ -619,7 +619,8 @@ def _(spark, sf):
     docs = load(spark, sf, "documents")
     cleaned = clean.drop_empty(clean.clean_samples(docs, ["text"]), ["text"])
     unique = clean.dedup_exact(cleaned, "doc_id", "text")
-    masked = pii.redact(unique, "mask", ["text"])
+    # A cut point: near_duplicates reads its input twice.
+    masked = materialise(pii.redact(unique, "mask", ["text"]).select("doc_id", "lang", "text"), "masked")
     kept = dedup.dedup_near(masked, "doc_id", "text", 0.8)
     return kept.groupBy("lang").agg(F.count("*").alias("documents"), F.sum(F.length("text")).alias("characters"))
 

@@ -307,13 +307,12 @@ def _(spark, sf):
 
 
 def _two_models(spark, sf):
-    """Model a answers with the user's text, model b with the first half of the reference."""
-    pairs = turn_pairs(spark, sf)
-    half = F.substring(F.col("reference"), F.lit(1), F.floor(F.length("reference") / 2).cast("int"))
-    return pairs.withColumnRenamed("prediction", "text_a").withColumn("text_b", half)
+    """Model a answers with the user's text, model b with the reference without punctuation."""
+    bare = F.regexp_replace("reference", "[.,]", "")
+    return turn_pairs(spark, sf).withColumnRenamed("prediction", "text_a").withColumn("text_b", bare)
 
 
-_MODELS_SQL = f"""select pair_id, reference, prediction as text_a, substr(reference, 1, (length(reference) // 2)) as text_b from ({TURN_PAIRS_SQL})"""
+_MODELS_SQL = f"""select pair_id, reference, prediction as text_a, regexp_replace(reference, '[.,]', '', 'g') as text_b from ({TURN_PAIRS_SQL})"""
 
 
 @query(
@@ -359,7 +358,7 @@ def _(spark, sf):
 
 @query("recommend")
 def _(spark, sf):
-    return evaluate.recommend(_compared(spark, sf), "user-echo", "half-reference")
+    return evaluate.recommend(_compared(spark, sf), "user-echo", "bare-reference")
 
 
 @query(
