@@ -104,7 +104,7 @@ def _shingles(words, size):
     """Sorted distinct 64-bit hashes of the word n-grams; a short text is one shingle."""
     if not words:
         return np.zeros(0, dtype=np.uint64)
-    codes = pd.util.hash_array(np.array(words, dtype=object), categorize=True)
+    codes = pd.util.hash_array(np.array(words, dtype=object), categorize=False)
     width = min(size, len(words))
     with np.errstate(over="ignore"):
         total = np.zeros(len(words) - width + 1, dtype=np.uint64)
@@ -114,10 +114,10 @@ def _shingles(words, size):
 
 
 def signature_of(size: int, bands: int, rows: int):
-    """Arrow helper: text -> (shingles, n, band keys)."""
+    """Arrow helper: text -> MinHash band keys, empty for a text without words."""
 
-    @F.pandas_udf("shingles array<bigint>, n int, bands array<bigint>")
-    def signature(text: pd.Series) -> pd.DataFrame:
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def signature(text: pd.Series) -> pd.Series:
         rng = np.random.RandomState(1)
         factors = rng.randint(1, 2**62, size=(bands * rows, 1), dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
         offsets = rng.randint(1, 2**62, size=(bands * rows, 1), dtype=np.int64).astype(np.uint64)
@@ -138,12 +138,23 @@ def signature_of(size: int, bands: int, rows: int):
                     for c in range(rows):
                         key = _mix(key * _MULTIPLIERS[0] + grid[:, c])
                     keys = key.view(np.int64)
-                out.append((found.view(np.int64), len(found), keys))
-        return pd.DataFrame(out, columns=["shingles", "n", "bands"])
+                out.append(keys)
+        return pd.Series(out)
 
     return signature
 
 
+def shingles_of(size: int):
+    """Arrow helper: text -> distinct hashes of its word n-grams."""
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def shingles(text: pd.Series) -> pd.Series:
+        with np.errstate(over="ignore"):
+            return pd.Series([_shingles(t.split(), size).view(np.int64) for t in text])
+
+    return shingles
+
+
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def nfc_each(texts: pd.Series) -> pd.Series:
     """Canonical composition of every string of an array."""

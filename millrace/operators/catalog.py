@@ -74,26 +74,18 @@ def publish_version(
     df.write.parquet(path)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
     summary = dataset_checksum(stored, sorted(stored.columns), name)
-    nothing = F.lit(None).cast(STATISTICS)
+    packed = F.lit(None)
+    if statistics is not None:
+        s = statistics.first()  # one row
+        marks = F.create_map(*[F.lit(x) for k in ("p50", "p90", "p95", "p99") for x in (k, s[k])])
+        names = ("total_samples", "avg_input_tokens", "avg_output_tokens", "max_input_tokens", "max_output_tokens")
+        packed = F.struct(*[F.lit(s[n]).alias(n) for n in names], marks.alias("token_distribution_percentiles"))
     row = summary.select(
         F.lit(name).alias("name"), F.lit(version).alias("version"), F.lit(fmt).alias("format"),
         F.lit(source_path).alias("source_path"), "num_samples", "sha256_checksum",
         F.current_timestamp().alias("created_at"),
-        *([] if statistics is not None else [nothing.alias("statistics")]),
-        F.lit(message).alias("message"),
+        packed.cast(STATISTICS).alias("statistics"), F.lit(message).alias("message"),
     )
-    if statistics is not None:
-        marks = F.create_map(*[x for k in ("p50", "p90", "p95", "p99") for x in (F.lit(k), F.col(k))])
-        packed = statistics.select(
-            F.struct(
-                F.col("total_samples").cast("bigint").alias("total_samples"), "avg_input_tokens", "avg_output_tokens",
-                F.col("max_input_tokens").cast("bigint").alias("max_input_tokens"),
-                F.col("max_output_tokens").cast("bigint").alias("max_output_tokens"),
-                marks.alias("token_distribution_percentiles"),
-            ).alias("statistics")
-        )
-        row = row.join(packed)  # one row each
-    row = row.select([f.name for f in T.StructType.fromDDL(MANIFEST)])
     row.coalesce(1).write.mode("append").parquet(f"{store}/manifests")
     return _manifests(df.sparkSession, store).filter((F.col("name") == name) & (F.col("version") == version)).first()[
         "sha256_checksum"
@@ -136,10 +128,14 @@ def diff_by_count(manifests: DataFrame, old: str, new: str) -> DataFrame:
 
 
 def diff_content(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Rows only in one version, with the change; copies count."""
-    return new.exceptAll(old).withColumn("change", F.lit("added")).unionByName(
-        old.exceptAll(new).withColumn("change", F.lit("removed"))
-    )
+    """Distinct rows that one version has more copies of, with ``change`` and ``copies``.
+
+    Copies are netted by map-side sums and stay a number, so a hot row is one row here.
+    """
+    both = new.withColumn("_n", F.lit(1).cast("bigint")).unionByName(old.withColumn("_n", F.lit(-1).cast("bigint")))
+    net = both.groupBy(*new.columns).agg(F.sum("_n").alias("_n")).filter(F.col("_n") != 0)
+    change = F.when(F.col("_n") > 0, "added").otherwise("removed")
+    return net.select(*new.columns, change.alias("change"), F.abs("_n").alias("copies"))
 
 
 def checkout_version(spark: SparkSession, store: str, name: str, version: str) -> str:

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from millrace.functions.kernels import signature_of
+from millrace.functions.kernels import shingles_of, signature_of
 from millrace.plans.durable import materialise
 from millrace.plans.skew import SMALL_TOTAL, hot_key_join
 
@@ -32,10 +32,9 @@ def band_shape(threshold: float, permutations: int = 128) -> tuple[int, int]:
 
 
 def signatures(df: DataFrame, key: str, text: str, threshold: float, permutations: int = 128) -> DataFrame:
-    """(key, shingles, n, bands) for every row with at least one word."""
+    """(key, bands): the band keys of every row, some 170 bytes however long the text is."""
     bands, rows = band_shape(threshold, permutations)
-    out = df.select(F.col(key), signature_of(SHINGLE_WORDS, bands, rows)(F.coalesce(text, F.lit(""))).alias("s"))
-    return out.select(key, "s.*").filter(F.col("n") > 0)
+    return df.select(F.col(key), signature_of(SHINGLE_WORDS, bands, rows)(F.coalesce(text, F.lit(""))).alias("bands"))
 
 
 def dedup_near(
@@ -63,12 +62,19 @@ def near_duplicates(
     large_bucket: int = 1000,
     small_total: int = SMALL_TOTAL,
 ) -> DataFrame:
-    """The keys that ``dedup_near`` drops."""
+    """The keys that ``dedup_near`` drops.
+
+    ``df`` is read twice, the second time only for rows that share a band with another: write it
+    to a table first if it is expensive to compute.
+    """
     rows = materialise(signatures(df, key, text, threshold, permutations), "near-rows")
-    sets = rows.select(key, "shingles", "n")
     members = rows.select(key, F.explode("bands").alias("bucket"))
     bands, _ = band_shape(threshold, permutations)
     members = materialise(_shared(members, key, rows.count() * bands, small_total), "near-members")
+    candidates = df.join(members.select(key).distinct(), key, "left_semi")
+    shingles = shingles_of(SHINGLE_WORDS)(F.coalesce(text, F.lit("")))
+    sets = materialise(candidates.select(key, shingles.alias("shingles")), "near-sets")
+    sets = sets.select("*", F.size("shingles").alias("n"))
     dropped, rounds = None, 0
     # Counting a written table reads file footers only.
     while total := members.count():

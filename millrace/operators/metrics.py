@@ -227,7 +227,8 @@ def self_bleu(df: DataFrame, key: str, text: str, small_total: int = SMALL_TOTAL
         *[F.sum(F.when(F.col("n") == n, F.least("_c", clip))).alias(f"_m{n}") for n in (1, 2, 3, 4)]
     )
     lengths = toks.select(key, F.size("_t").alias("_len"))
-    scored = lengths.join(sums, key, "left").join(_closest_other_length(lengths), "_len", "left")
+    closest = _closest_other_length(lengths)
+    scored = hot_key_join(lengths.join(sums, key, "left"), closest, ["_len"], "_n", 4 * words, small_total)
     parts = []
     for n in (1, 2, 3, 4):
         total = F.greatest(F.col("_len") - (n - 1), F.lit(1))
@@ -248,7 +249,7 @@ def _closest_other_length(lengths: DataFrame) -> DataFrame:
     near = hist.select("_len", "_n", F.lag("_len").over(ordered).alias("_lo"), F.lead("_len").over(ordered).alias("_hi"))
     lo_gap, hi_gap = F.col("_len") - F.col("_lo"), F.col("_hi") - F.col("_len")
     other = F.when(F.col("_hi").isNull() | (lo_gap <= hi_gap), F.col("_lo")).otherwise(F.col("_hi"))
-    return near.select("_len", F.when(F.col("_n") > 1, F.col("_len")).otherwise(other).alias("_ref_len"))
+    return near.select("_len", "_n", F.when(F.col("_n") > 1, F.col("_len")).otherwise(other).alias("_ref_len"))
 
 
 def corpus_self_bleu(df: DataFrame, key: str, text: str) -> DataFrame:

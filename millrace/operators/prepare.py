@@ -74,10 +74,9 @@ def prepare_corpus(spark: SparkSession, config: PrepareConfig, rows: DataFrame |
     final = table(6)
     tokens.require_samples(final)
     manifest = write_splits(final, f"{config.work_dir}/tokenized-{int(time.time() * 1000)}", config.name)
-    stats = tokens.token_statistics(final)
-    manifest.join(stats).withColumn("template", F.lit(config.template)).coalesce(1).write.mode("overwrite").json(
-        f"{config.work_dir}/manifest"
-    )
+    stats = tokens.token_statistics(final).first().asDict()  # one row
+    described = manifest.select("*", *[F.lit(v).alias(k) for k, v in stats.items()], F.lit(config.template).alias("template"))
+    described.coalesce(1).write.mode("overwrite").json(f"{config.work_dir}/manifest")
     report.append((7, "publish", count(6), count(6), time.monotonic() - start))
     report.append((8, "report", count(6), count(6), 0.0))
     steps = spark.createDataFrame(

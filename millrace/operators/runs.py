@@ -189,7 +189,9 @@ def model_versions(models: DataFrame, group: str, name: str) -> DataFrame:
 
 def model_lineage(models: DataFrame, runs: DataFrame, evaluations: DataFrame, run: str) -> DataFrame:
     """Models with their run's metadata and evaluation results as a map."""
-    results = evaluations.groupBy(run).agg(F.map_from_entries(F.collect_list(F.struct("metric", "value"))).alias("eval_results"))
+    # One value per run and metric first: the map is as long as the list of metric names.
+    single = evaluations.groupBy(run, "metric").agg(F.max("value").alias("value"))
+    results = single.groupBy(run).agg(F.map_from_entries(F.collect_list(F.struct("metric", "value"))).alias("eval_results"))
     return models.join(runs, run, "left").join(results, run, "left")
 
 

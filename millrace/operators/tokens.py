@@ -119,18 +119,14 @@ def token_statistics(df: DataFrame, labels: str = "labels", approximate: bool =
     )
     marks = {"p50": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99}
     if approximate:
-        cut = lengths.agg(*[F.percentile_approx("n", q).cast("double").alias(k) for k, q in marks.items()])
-        rest = hist.agg(*_length_totals())
-        return rest.join(cut)
-    return hist.agg(*_length_totals(), *[F.percentile("n", F.lit(q), F.col("c")).alias(k) for k, q in marks.items()])
+        rows, p, r = F.count("n"), F.col("p"), F.col("r")
+        totals = [rows, F.avg(p), F.avg(r), F.max(p), F.max(r)]
+        cuts = [F.percentile_approx("n", q).cast("double").alias(k) for k, q in marks.items()]
+        return lengths.agg(*[t.alias(n) for t, n in zip(totals, _TOTALS)], *cuts)
+    rows = F.sum("c")
+    totals = [F.coalesce(rows, F.lit(0)), F.sum("sp") / rows, F.sum("sr") / rows, F.max("mp"), F.max("mr")]
+    cuts = [F.percentile("n", F.lit(q), F.col("c")).alias(k) for k, q in marks.items()]
+    return hist.agg(*[t.alias(n) for t, n in zip(totals, _TOTALS)], *cuts)
 
 
-def _length_totals() -> list[Column]:
-    rows = F.sum("c")
-    return [
-        F.coalesce(rows, F.lit(0)).alias("total_samples"),
-        (F.sum("sp") / rows).alias("avg_input_tokens"),
-        (F.sum("sr") / rows).alias("avg_output_tokens"),
-        F.max("mp").alias("max_input_tokens"),
-        F.max("mr").alias("max_output_tokens"),
-    ]
+_TOTALS = ("total_samples", "avg_input_tokens", "avg_output_tokens", "max_input_tokens", "max_output_tokens")

@@ -14,6 +14,7 @@ from millrace.functions.fixed import (
     ROLES,
 )
 from millrace.plans.hashed import hash_rank, order_key
+from millrace.plans.ordered import KEY_ROWS, ROWS_PER_BLOCK, needs_blocks, with_rank
 
 TURNS = T.ArrayType(T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())]))
 
@@ -71,14 +72,50 @@ def conversation_violations(turns: Column) -> Column:
 def turns_from_rows(rows: DataFrame, key: str, turn: str, role: str, text: str) -> DataFrame:
     """One row per conversation with its turns in order.
 
-    A conversation is one sample and is held by one row; the number of its turns is bounded by
-    what a sample may hold, not by the size of the table.
+    The array form is one sample in one row; check conversations of unknown length with
+    ``turn_row_violations`` first, which never collects them.
     """
     item = F.struct(F.col(turn).alias("_o"), F.col(role).alias("role"), F.col(text).alias("content"))
     ordered = F.transform(F.sort_array(F.collect_list(item)), lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content")))
     return rows.groupBy(key).agg(ordered.alias("conversations"))
 
 
+def turn_row_violations(
+    rows: DataFrame, key: str, turn: str, role: str, text: str, key_rows: int = KEY_ROWS, rows_per_block: int = ROWS_PER_BLOCK
+) -> DataFrame:
+    """(key, violations) straight from turn rows, for conversations of any length.
+
+    Nothing is collected: a turn's expected role follows from its rank, and the rules become
+    counts per conversation.  Names and order are those of ``conversation_violations``.
+    """
+    blocks = needs_blocks(rows, [key], key_rows)
+    ranked = with_rank(rows, [key], [turn], rows_per_block, out="_rank", blocks=blocks)
+    first = ranked.withColumn("_lead", (F.col("_rank") == 1) & F.coalesce(F.col(role) == "system", F.lit(False)))
+    # Whether there is a leading system turn is not known to later rows; count for both cases.
+    odd = F.col("_rank") % 2 == 1
+    is_user, is_assistant = F.col(role) == "user", F.col(role) == "assistant"
+    plain = F.when(odd, is_user).otherwise(is_assistant)
+    shifted = F.when(odd, is_assistant).otherwise(is_user)
+    bad = F.size(turn_violations(F.col(role), F.col(text))) > 0
+    miss = lambda ok, where: F.count_if(where & ~F.coalesce(ok, F.lit(False)))
+    at = lambda rank: F.max(F.when(F.col("_rank") == rank, F.col(role)))
+    sums = first.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_n"), F.bool_or("_lead").alias("_system"), at(1).alias("_first"), at(2).alias("_second"),
+        F.max(F.struct("_rank", role))[role].alias("_last"), miss(plain, F.lit(True)).alias("_plain"),
+        miss(shifted, F.col("_rank") > 1).alias("_shifted"), F.bool_or(bad).alias("_bad"),
+    )
+    n, system = F.col("_n"), F.col("_system")
+    checks = [
+        F.when(n < 2, "fewer than 2 turns"),
+        F.when(~F.coalesce(F.col("_first").isin("user", "system"), F.lit(False)), "first turn is not user or system"),
+        F.when(~F.coalesce(F.col("_last") == "assistant", F.lit(False)), "last turn is not assistant"),
+        F.when((n >= 2) & system & (F.col("_second") != "user"), "system is not followed by user"),
+        F.when((n >= 2) & (F.when(system, F.col("_shifted")).otherwise(F.col("_plain")) > 0), "turns do not alternate"),
+        F.when(F.col("_bad"), "invalid turn"),
+    ]
+    return sums.select(key, F.array_compact(F.array(*checks)).alias("violations"))
+
+
 def normalise(df: DataFrame, target: str = "auto") -> tuple[DataFrame, DataFrame]:
     """Split raw rows into accepted samples and rejects with a reason.
 

@@ -43,9 +43,15 @@ def infer_jsonl(spark: SparkSession, path: str) -> DataFrame:
     return objects.select(F.variant_get("row", "$", ddl).alias("r")).select("r.*")
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """Header row; quoted empty strings stay empty strings."""
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, multi_line: bool = True
+) -> DataFrame:
+    """Header row; quoted empty strings stay empty strings.
+
+    Line breaks inside quotes make a file one task; without any, ``multi_line=False`` lets
+    Spark split files.
+    """
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     reader = reader.option("nullValue", "\u0000").option("emptyValue", "")
     return (reader.schema(schema) if schema else reader).csv(path)
 

@@ -12,9 +12,9 @@ def write_splits(df: DataFrame, path: str, name: str = "dataset", split: str = "
     df.write.partitionBy(split).format(fmt).save(f"{path}/data")
     summary = dataset_checksum(df, sorted(df.columns), name)
     counts = df.groupBy(split).agg(F.count(F.lit(1)).alias("n"))
-    # Three rows at most.
-    per_split = counts.agg(F.map_from_entries(F.collect_list(F.struct(split, "n"))).alias("splits"))
-    manifest = summary.join(per_split).withColumn("name", F.lit(name))
+    sizes = [F.lit(x) for r in counts.collect() for x in (r[split], r["n"])]  # one row per split name
+    splits = F.create_map(*sizes) if sizes else F.create_map().cast("map<string,bigint>")
+    manifest = summary.select("*", splits.alias("splits"), F.lit(name).alias("name"))
     manifest.coalesce(1).write.mode("overwrite").json(f"{path}/manifest")
     return df.sparkSession.read.json(f"{path}/manifest")
 

@@ -128,6 +128,12 @@ def _(spark, sf):
     return _conversations(spark, sf).select("conv_id", F.array_join(found, "; ").alias("reasons"))
 
 
+@query("turn_row_violations", f"{_CONV_CHECKS} select conv_id, array_to_string(reasons, '; ') as reasons from j")
+def _(spark, sf):
+    found = validate.turn_row_violations(load(spark, sf, "conversations"), "conv_id", "turn", "role", "text")
+    return found.select("conv_id", F.array_join("violations", "; ").alias("reasons"))
+
+
 @query(
     "normalise",
     f"""{_CONV_CHECKS} select case when len(reasons) = 0 then 'conversation' else 'rejected' end as outcome, count(*) as n from j group by 1""",
@@ -668,7 +674,7 @@ def _(spark, sf):
 def _(spark, sf):
     docs = load(spark, sf, "documents")
     of = lambda s: docs.filter(F.col("source") == s).select("lang", "text")
-    return catalog.diff_content(of("src1"), of("src2")).groupBy("change").agg(F.count("*").alias("n"))
+    return catalog.diff_content(of("src1"), of("src2")).groupBy("change").agg(F.sum("copies").alias("n"))
 
 
 @query(
