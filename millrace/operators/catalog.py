@@ -96,7 +96,7 @@ def list_versions(manifests: DataFrame, name: str, semantic: bool = False) -> Da
     """Versions of one dataset in file-name order (10.0.0 before 2.0.0), or by number."""
     rows = manifests.filter(F.col("name") == name)
     if semantic:
-        return rows.orderBy(F.transform(F.split("version", r"\."), lambda p: p.cast("bigint")))
+        return rows.orderBy(F.transform(F.split("version", r"\."), lambda p: p.try_cast("bigint")))
     return rows.orderBy("version")
 
 

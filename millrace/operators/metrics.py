@@ -129,8 +129,8 @@ def bleu(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     precisions = [F.when(F.col(f"_t{n}") > 0, F.col(f"_m{n}") / F.col(f"_t{n}")).otherwise(0.0) for n in orders]
     lowest = F.least(*precisions)
     mean = F.exp(sum((F.log(p) for p in precisions[1:]), F.log(precisions[0])) / 4)
-    ratio = F.col("_t1") / F.col("_ref")
-    penalty = F.when(ratio > 1, 1.0).otherwise(F.exp(1 - 1 / ratio))
+    ratio = F.try_divide(F.col("_t1"), F.col("_ref"))
+    penalty = F.when(ratio > 1, 1.0).otherwise(F.exp(1 - F.try_divide(F.lit(1), ratio)))
     return sums.select(
         *by,
         F.when((lowest > 0) & (F.col("_ref") > 0), mean * penalty).otherwise(0.0).alias("bleu"),
@@ -285,7 +285,7 @@ def generation_speed(df: DataFrame, num_tokens: str, latency_ms: str) -> DataFra
 
 
 def f_measure(common: Column, left: Column, right: Column) -> Column:
-    p, r = common / left, common / right
+    p, r = F.try_divide(common, left), F.try_divide(common, right)
     return F.when((left > 0) & (right > 0) & (common > 0), 2 * p * r / (p + r)).otherwise(F.lit(0.0))
 
 

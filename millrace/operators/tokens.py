@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.fixed import IGNORE_LABEL
 from millrace.operators.template import response_marker
-from millrace.plans.hashed import hash_rank
+from millrace.plans.hashed import within_first
+from millrace.plans.ordered import values_at
 
 # Words and single punctuation marks; the syntax is common to Java and RE2.
 WORD_PATTERN = r"[\p{L}\p{M}\p{N}_]+|[^\p{L}\p{M}\p{N}_\s]"
@@ -86,23 +87,24 @@ def split_dataset(
 ) -> DataFrame:
     """Add the split name.  Validation and test get floor(n * share) rows but at least one each.
 
-    The order is the seeded hash of ``key``, or ``key`` itself without ``shuffle``; ranks come
-    from bucket counts, not from one global window.
+    The order is the seeded hash of the unique ``key``, or ``key`` itself (a number) without
+    ``shuffle``.  Only the two border rows are searched for; every row is then labelled where it
+    lies, so the data is not shuffled.
     """
     n = df.count()
     test = 1.0 - train - validation
     n_val = max(1, int(n * validation + 1e-9)) if n >= 3 else 0
     n_test = max(1, int(n * test + 1e-9)) if n >= 3 else 0
     n_train = n - n_val - n_test
+    borders = [n_train, n_train + n_val]
     if shuffle:
-        ranked = hash_rank(df, key, seed, n)
+        in_train, in_val = within_first(df, key, seed, borders, n)
+    elif n < 3:
+        in_train, in_val = F.lit(True), F.lit(True)
     else:
-        from millrace.plans.ordered import with_rank
-
-        ranked = with_rank(df, [], [key])
-    rank = F.col("_rank")
-    name = F.when(rank <= n_train, "train").when(rank <= n_train + n_val, "validation").otherwise("test")
-    return ranked.withColumn(out, name).drop("_rank")
+        last = values_at(df, key, {"train": n_train - 1, "validation": n_train + n_val - 1})
+        in_train, in_val = F.col(key) <= F.lit(last["train"]), F.col(key) <= F.lit(last["validation"])
+    return df.withColumn(out, F.when(in_train, "train").when(in_val, "validation").otherwise("test"))
 
 
 def token_statistics(df: DataFrame, labels: str = "labels", approximate: bool = False) -> DataFrame:

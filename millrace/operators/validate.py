@@ -13,7 +13,7 @@ from millrace.functions.fixed import (
     MAX_SYSTEM_PROMPT,
     ROLES,
 )
-from millrace.plans.hashed import hash_rank, order_key
+from millrace.plans.hashed import order_key, within_first
 from millrace.plans.ordered import KEY_ROWS, ROWS_PER_BLOCK, needs_blocks, with_rank
 
 TURNS = T.ArrayType(T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())]))
@@ -182,7 +182,8 @@ def dataset_shape(df: DataFrame) -> DataFrame:
 
 def sample_n(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """n rows chosen by seeded hash of the unique ``key``; all rows if there are no more than n."""
-    return hash_rank(df, key, seed, df.count(), first=n).drop("_rank")
+    (chosen,) = within_first(df, key, seed, [n], df.count())
+    return df.filter(chosen)
 
 
 def capture_sample(df: DataFrame, key: str, percent: float, seed: int = 42) -> DataFrame:

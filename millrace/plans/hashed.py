@@ -1,46 +1,61 @@
 """Seeded pseudo-random order: sampling and splitting that any engine can reproduce.
 
-The order of a row is the md5 of seed and id.  A hash prefix is a bucket of known share, so
-ranks need only bucket counts and a window inside each bucket.
+The order of a row is the md5 of seed and id, ties by id.  A sample or split is a range of that
+order, so once the row at its border is known every row is judged where it lies, without a
+shuffle.  Borders come from the counts of hash-prefix buckets and a ranking of one bucket each.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+MAX_DIGITS = 5
+
 
-def order_key(seed: int, id_col: str | Column) -> Column:
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(id_col) if isinstance(id_col, str) else id_col))
+def order_key(seed: int, id_col: str) -> Column:
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(id_col)))
 
 
 def prefix_digits(rows: int, rows_per_bucket: int = 200_000) -> int:
     """Hex digits such that a bucket of the hash space holds about ``rows_per_bucket`` rows."""
     digits = 1
-    while rows > rows_per_bucket * 16**digits and digits < 5:
+    while rows > rows_per_bucket * 16**digits and digits < MAX_DIGITS:
         digits += 1
     return digits
 
 
-def hash_rank(
-    df: DataFrame, id_col: str, seed: int, rows: int, first: int | None = None, out: str = "_rank"
-) -> DataFrame:
-    """Rank rows (from 1) by seeded hash, ties by id.
+def within_first(
+    df: DataFrame, id_col: str, seed: int, positions: Sequence[int], rows: int, rows_per_bucket: int = 200_000
+) -> list[Column]:
+    """For each position p a condition that holds for exactly the first p rows of the order.
 
-    With ``first`` only ranks up to that number are produced, and hash buckets beyond it are
-    filtered out before the shuffle.
+    ``rows`` is the number of rows of ``df``; ids must be unique.
     """
-    digits = prefix_digits(rows)
-    keyed = df.withColumn("_h", order_key(seed, id_col)).withColumn("_b", F.substring("_h", 1, digits))
-    counts = keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))
-    # At most 16^5 bucket rows, whatever the input size.
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("_b", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_start"))
-    if first is not None:
-        starts = starts.filter(F.col("_start") < first)
-    inside = Window.partitionBy("_b").orderBy("_h", id_col)
-    ranked = (
-        keyed.join(F.broadcast(starts), "_b")
-        .withColumn(out, F.col("_start") + F.row_number().over(inside))
-        .drop("_h", "_b", "_start")
-    )
-    return ranked if first is None else ranked.filter(F.col(out) <= first)
+    inner = [p for p in set(positions) if 0 < p < rows]
+    found = {}
+    if inner:
+        digits = prefix_digits(rows, rows_per_bucket)
+        keyed = df.select(F.col(id_col), order_key(seed, id_col).alias("_h")).withColumn("_b", F.substring("_h", 1, digits))
+        counts = keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))
+        # One row per bucket, at most 16^MAX_DIGITS whatever the input size.
+        upto = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+        ends = counts.select("_b", "_c", F.sum("_c").over(upto).alias("_end"))
+        borders = ends.withColumn("_p", F.explode(F.array(*[F.lit(p) for p in inner]))).filter(
+            (F.col("_end") - F.col("_c") < F.col("_p")) & (F.col("_p") <= F.col("_end"))
+        )
+        # One row per position.
+        for r in borders.collect():
+            place = r["_p"] - (r["_end"] - r["_c"])
+            one = keyed.filter(F.col("_b") == r["_b"]).withColumn("_r", F.row_number().over(Window.orderBy("_h", id_col)))
+            found[r["_p"]] = one.filter(F.col("_r") == place).first()
+    out = []
+    for p in positions:
+        if p <= 0 or p >= rows:
+            out.append(F.lit(p >= rows))
+        else:
+            h, last = found[p]["_h"], found[p][id_col]
+            key = order_key(seed, id_col)
+            out.append((key < h) | ((key == h) & (F.col(id_col) <= F.lit(last))))
+    return out

@@ -8,13 +8,13 @@ per key and block.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.plans.durable import materialise
-from millrace.plans.skew import split_hot
+from millrace.plans.skew import null_safe_join, split_hot
 
 ROWS_PER_BLOCK = 1_000_000
 MAX_BLOCKS = 4000
@@ -94,7 +94,7 @@ def with_running(
         "_blk",
         *[getattr(F, fn)(f"_tot_{out}").over(before).alias(f"_pre_{out}") for out, (fn, _) in running.items()],
     )
-    joined = inner.join(carried, [*keys, "_blk"])
+    joined = null_safe_join(inner, carried, [*keys, "_blk"])
     merged = {out: _merge(fn, F.col(f"_in_{out}"), F.col(f"_pre_{out}")) for out, (fn, _) in running.items()}
     return joined.select(*df.columns, *[c.alias(out) for out, c in merged.items()])
 
@@ -151,11 +151,28 @@ def order_statistics(
     percents: dict[str, float],
     rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
-    """The value at index min(floor(n * percent / 100), n - 1) of each key's sorted values, exactly.
+    """The value at index min(floor(n * percent / 100), n - 1) of each key's sorted values, exactly."""
 
-    Block counts tell in which block each wanted index lies; only those blocks are ranked.
-    """
-    keys = list(keys)
+    def index(percent: float) -> Callable[[Column], Column]:
+        return lambda n: F.least(F.floor(n * F.lit(percent) / F.lit(100.0)), n - 1)
+
+    return _values_by_index(df, list(keys), value, {name: index(p) for name, p in percents.items()}, rows_per_block)
+
+
+def values_at(df: DataFrame, value: str, indexes: dict[str, int], rows_per_block: int = ROWS_PER_BLOCK) -> dict:
+    """The values at zero-based indexes of the sorted column."""
+
+    def index(i: int) -> Callable[[Column], Column]:
+        return lambda n: F.lit(i).cast("bigint")
+
+    at = {name: index(i) for name, i in indexes.items()}
+    return _values_by_index(df, [], value, at, rows_per_block).first().asDict()
+
+
+def _values_by_index(
+    df: DataFrame, keys: list[str], value: str, at: dict[str, Callable[[Column], Column]], rows_per_block: int
+) -> DataFrame:
+    """Block counts tell in which block each wanted index lies; only those blocks are ranked."""
     counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_cnt"))
     blocked = with_block(counted, value, rows_per_block)
     per_block = blocked.groupBy(*keys, "_blk").agg(F.sum("_cnt").alias("_in_block"))
@@ -168,16 +185,7 @@ def order_statistics(
         F.coalesce(F.sum("_in_block").over(upto), F.lit(0)).alias("_before"),
         F.sum("_in_block").over(all_blocks).alias("_n"),
     )
-    names = list(percents)
-    wanted = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("stat"),
-                F.least(F.floor(F.col("_n") * F.lit(percents[name]) / F.lit(100.0)), F.col("_n") - 1).alias("idx"),
-            )
-            for name in names
-        ]
-    )
+    wanted = F.array(*[F.struct(F.lit(name).alias("stat"), index(F.col("_n")).alias("idx")) for name, index in at.items()])
     targets = (
         spans.withColumn("_w", F.explode(wanted))
         .filter((F.col("_w.idx") >= F.col("_before")) & (F.col("_w.idx") < F.col("_before") + F.col("_in_block")))
@@ -186,7 +194,7 @@ def order_statistics(
     )
     inside = Window.partitionBy(*keys, "_blk").orderBy(value)
     ranked = (
-        blocked.join(targets, [*keys, "_blk"])
+        null_safe_join(blocked, targets, [*keys, "_blk"])
         .withColumn("_hi", F.col("_before") + F.sum("_cnt").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("_lo", F.col("_hi") - F.col("_cnt"))
     )
@@ -196,7 +204,7 @@ def order_statistics(
         F.explode(F.filter("_wanted", lambda w: (w["idx"] >= F.col("_lo")) & (w["idx"] < F.col("_hi")))).alias("_w"),
     )
     return hits.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_w.stat") == name, F.col(value))).alias(name) for name in names]
+        *[F.max(F.when(F.col("_w.stat") == name, F.col(value))).alias(name) for name in at]
     )
 
 

@@ -16,6 +16,13 @@ MAX_HOT_KEYS = 1000
 SMALL_TOTAL = 5_000_000
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on columns of the same names where null equals null, as in groupBy."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in on})
+    cond = [left[k].eqNullSafe(renamed[f"_right_{k}"]) for k in on]
+    return left.join(renamed, cond, how).drop(*[f"_right_{k}" for k in on])
+
+
 def hot_key_join(
     big: DataFrame,
     small: DataFrame,
@@ -32,13 +39,14 @@ def hot_key_join(
     """
     on = list(on)
     if total <= small_total:
-        return big.join(small.drop(weight), on)
+        return null_safe_join(big, small.drop(weight), on)
     small = materialise(small, "hot-split")
     cut = total / MAX_HOT_KEYS
     hot = F.broadcast(small.filter(F.col(weight) > cut))
     cold = small.filter(F.col(weight) <= cut)
-    hot_part = big.join(hot.drop(weight), on)
-    cold_part = big.join(F.broadcast(hot.select(*on)), on, "left_anti").join(cold.drop(weight), on)
+    hot_part = null_safe_join(big, hot.drop(weight), on)
+    moved = null_safe_join(big, F.broadcast(hot.select(*on)), on, "left_anti")
+    cold_part = null_safe_join(moved, cold.drop(weight), on)
     return hot_part.unionByName(cold_part)
 
 
@@ -56,7 +64,4 @@ def split_hot(
         return df, None
     cut = max(limit, total // MAX_HOT_KEYS)
     hot = F.broadcast(counts.filter(F.col("_rows") > cut).select(*keys))
-    cond = [df[k].eqNullSafe(hot[k]) for k in keys]
-    cold_rows = df.join(hot, cond, "left_anti")
-    hot_rows = df.join(hot, cond, "left_semi")
-    return cold_rows, hot_rows
+    return null_safe_join(df, hot, keys, "left_anti"), null_safe_join(df, hot, keys, "left_semi")

@@ -6,8 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import Window, functions as F
 
-from millrace.plans.hashed import hash_rank
-from millrace.plans.ordered import greedy_spacing, needs_blocks, order_statistics, with_previous_rows, with_rank, with_running
+from millrace.plans.hashed import within_first
+from millrace.plans.ordered import greedy_spacing, needs_blocks, order_statistics, values_at, with_previous_rows, with_rank, with_running
 from millrace.plans.skew import hot_key_join, split_hot
 
 
@@ -105,14 +105,28 @@ def test_split_hot_keeps_every_row(series):
     assert split_hot(series, ["k"], 100_000)[1] is None
 
 
-def test_hash_rank_is_a_permutation_and_first_agrees(spark):
+def test_first_rows_of_the_seeded_order(spark):
+    import hashlib
+
     df = spark.range(500)
-    ranked = hash_rank(df, "id", 9, 10_000_000)
-    order = [r["id"] for r in ranked.orderBy("_rank").collect()]
-    assert sorted(order) == list(range(500)) and order != list(range(500))
-    assert [r["_rank"] for r in ranked.orderBy("_rank").collect()] == list(range(1, 501))
-    few = [r["id"] for r in hash_rank(df, "id", 9, 500, first=20).orderBy("_rank").collect()]
-    assert few == order[:20]
+    order = sorted(range(500), key=lambda i: (hashlib.md5(f"9|{i}".encode()).hexdigest(), i))
+    for per_bucket in (200_000, 3):
+        conditions = within_first(df, "id", 9, [0, 1, 20, 499, 500, 900], 500, per_bucket)
+        for p, condition in zip([0, 1, 20, 499, 500, 500], conditions):
+            assert sorted(r["id"] for r in df.filter(condition).collect()) == sorted(order[:p])
+
+
+def test_values_at(spark):
+    df = spark.createDataFrame([(v,) for v in [5, 1, 9, 3, 3, 7]], "v int")
+    assert values_at(df, "v", {"a": 0, "b": 2, "c": 5}, rows_per_block=2) == {"a": 1, "b": 3, "c": 9}
+
+
+def test_null_keys_are_a_group(spark):
+    df = spark.createDataFrame([(None, 1, 1.0), (None, 2, 2.0), ("a", 1, 3.0)], "k string, s int, v double")
+    for blocks in (True, False):
+        got = with_rank(df, ["k"], ["s"], rows_per_block=1, blocks=blocks)
+        assert sorted((str(r["k"]), r["_rank"]) for r in got.collect()) == [("None", 1), ("None", 2), ("a", 1)]
+    assert order_statistics(df, ["k"], "v", {"p": 50.0}).filter("k is null").first()["p"] == 2.0
 
 
 def test_block_borders_do_not_depend_on_partitions(spark, series):
