@@ -114,7 +114,7 @@ def early_stop(
     with_min = with_running(ranked, [run], [step], {"_prior": ("min", loss)}, rows_per_block, blocks)
     is_min = ~F.isnan(loss) & (F.col("_prior").isNull() | (F.col(loss) < F.col("_prior")))
     minima = with_min.filter(is_min).select(run, step, (-F.col(loss)).alias("_depth"))
-    better = greedy_spacing(minima.select(run, "_depth"), [run], "_depth", min_delta, True, key_rows, rows_per_block)
+    better = greedy_spacing(minima.select(run, "_depth"), [run], "_depth", min_delta, True, key_rows, rows_per_block, blocks)
     marks = minima.join(better, [run, "_depth"]).select(run, step, F.lit(True).alias("_improved"))
     joined = ranked.join(marks, [run, step], "left").withColumns(
         {

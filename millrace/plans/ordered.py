@@ -25,18 +25,21 @@ KEY_ROWS = 2_000_000
 
 def with_block(
     df: DataFrame, order: str, rows_per_block: int = ROWS_PER_BLOCK, out: str = "_blk"
-) -> DataFrame:
-    """Add a block number that never decreases as the numeric column ``order`` grows."""
+) -> DataFrame | None:
+    """Add a block number that never decreases as the numeric column ``order`` grows.
+
+    None if the whole table fits one block.
+    """
     rows = df.count()
     n = min(MAX_BLOCKS, -(-rows // rows_per_block))
     if n <= 1:
-        return df.withColumn(out, F.lit(0))
+        return None
     marks = [i / n for i in range(1, n)]
     value = F.col(order).cast("double")
     found = df.agg(F.percentile_approx(value, marks, 10 * n)).first()[0] or []
     bounds = sorted(set(found))
     if not bounds:
-        return df.withColumn(out, F.lit(0))
+        return None
     cut = Bucketizer(
         splits=[float("-inf"), *bounds, float("inf")],
         inputCol="_order_value",
@@ -71,14 +74,14 @@ def with_running(
     Without ``blocks`` an ordinary window per key is used: right when no key is heavy.
     """
     keys = list(keys)
-    if not blocks:
+    blocked = with_block(df, order[0], rows_per_block) if blocks else None
+    if blocked is None:
         whole = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         plain = {
             out: F.coalesce(F.sum(col).over(whole), F.lit(0)) if fn == "sum" else getattr(F, fn)(col).over(whole)
             for out, (fn, col) in running.items()
         }
         return df.withColumns(plain)
-    blocked = with_block(df, order[0], rows_per_block)
     here = Window.partitionBy(*keys, "_blk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     inner = blocked.select(
         "*",
@@ -175,6 +178,8 @@ def _values_by_index(
     """Block counts tell in which block each wanted index lies; only those blocks are ranked."""
     counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_cnt"))
     blocked = with_block(counted, value, rows_per_block)
+    if blocked is None:
+        return _values_in_one_block(counted, keys, value, at)
     per_block = blocked.groupBy(*keys, "_blk").agg(F.sum("_cnt").alias("_in_block"))
     all_blocks = Window.partitionBy(*keys)
     upto = all_blocks.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
@@ -198,11 +203,23 @@ def _values_by_index(
         .withColumn("_hi", F.col("_before") + F.sum("_cnt").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("_lo", F.col("_hi") - F.col("_cnt"))
     )
-    hits = ranked.select(
-        *keys,
-        value,
-        F.explode(F.filter("_wanted", lambda w: (w["idx"] >= F.col("_lo")) & (w["idx"] < F.col("_hi")))).alias("_w"),
-    )
+    return _hits(ranked, keys, value, at)
+
+
+def _values_in_one_block(
+    counted: DataFrame, keys: list[str], value: str, at: dict[str, Callable[[Column], Column]]
+) -> DataFrame:
+    whole = Window.partitionBy(*keys)
+    upto = whole.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counted.withColumns({"_hi": F.sum("_cnt").over(upto), "_n": F.sum("_cnt").over(whole)})
+    wanted = F.array(*[F.struct(F.lit(name).alias("stat"), index(F.col("_n")).alias("idx")) for name, index in at.items()])
+    return _hits(ranked.withColumns({"_lo": F.col("_hi") - F.col("_cnt"), "_wanted": wanted}), keys, value, at)
+
+
+def _hits(ranked: DataFrame, keys: list[str], value: str, at: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """Values whose rank span [_lo, _hi) holds a wanted index, one column per statistic."""
+    inside = F.filter("_wanted", lambda w: (w["idx"] >= F.col("_lo")) & (w["idx"] < F.col("_hi")))
+    hits = ranked.select(*keys, value, F.explode(inside).alias("_w"))
     return hits.groupBy(*keys).agg(
         *[F.max(F.when(F.col("_w.stat") == name, F.col(value))).alias(name) for name in at]
     )
@@ -216,16 +233,18 @@ def greedy_spacing(
     strict: bool = False,
     key_rows: int = KEY_ROWS,
     rows_per_block: int = ROWS_PER_BLOCK,
+    heavy_keys: bool = True,
 ) -> DataFrame:
     """Per key keep the lowest position, then each next one at least ``gap`` after the last kept.
 
     With ``strict`` the distance must exceed ``gap``.  Input and output are (keys, position)
     with distinct positions.  Keys up to ``key_rows`` rows are walked by one task each; heavier
-    keys are solved by pointer doubling, whose joins are on unique (key, rank) pairs.
+    keys are solved by pointer doubling, whose joins are on unique (key, rank) pairs.  Pass
+    ``heavy_keys=False`` if it is known that there are none.
     """
     keys = list(keys)
     points = df.select(*keys, position).distinct()
-    cold, hot = split_hot(points, keys, key_rows)
+    cold, hot = split_hot(points, keys, key_rows) if heavy_keys else (points, None)
     kept = cold.groupBy(*keys).applyInPandas(_spacing_walk(position, gap, strict), points.schema)
     if hot is None:
         return kept

@@ -165,6 +165,8 @@ def test_comparison_and_recommendation(spark):
     same = evaluate.compare_models(scores(spark, [1, 0], [1, 0]), ["q"])
     assert (same.first()["winner"], same.first()["p_value"]) == ("tie", 1.0)
     assert evaluate.recommend(same, "x", "y").first()["recommendation"].startswith("No clear winner. Both models are tied on 1/1")
+    empty = evaluate.compare_models(scores(spark, [1], [1]).limit(0), ["q"]).first()
+    assert (empty["model_a_value"], empty["p_value"], empty["winner"]) == (0.0, 1.0, "tie")
     zero = evaluate.compare_models(scores(spark, [0, 0], [1, 1]), ["q"]).first()
     assert zero["relative_change_pct"] == 0.0 and zero["winner"] == "model_b"
 
