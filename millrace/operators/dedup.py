@@ -5,8 +5,8 @@ band.  Each round takes the lowest undecided keys of every bucket as its leaders
 first round, a few later) and compares every row with the leaders before it, never with all
 members, so a bucket of copies costs one comparison per row.  A row is kept once all undecided
 rows before it in its buckets are known to differ; a row similar to a kept one is dropped.
-Buckets that stay large after the copies are gone are split by rare shingles, which loses no
-pair above the threshold.
+Buckets that stay large after the first round, when copies are gone, are split by rare
+shingles, which loses no pair above the threshold.
 """
 
 from __future__ import annotations
@@ -18,7 +18,11 @@ from millrace.plans.durable import materialise
 from millrace.plans.skew import SMALL_TOTAL, hot_key_join
 
 SHINGLE_WORDS = 5
+# Leaders per bucket in the second round; the number doubles each round up to the maximum.
 LEADERS = 8
+MAX_LEADERS = 64
+# Buckets still larger than this after the first round are split.
+LARGE_BUCKET = 16
 
 
 def band_shape(threshold: float, permutations: int = 128) -> tuple[int, int]:
@@ -43,7 +47,7 @@ def dedup_near(
     text: str,
     threshold: float = 0.85,
     permutations: int = 128,
-    large_bucket: int = 1000,
+    large_bucket: int = LARGE_BUCKET,
     small_total: int = SMALL_TOTAL,
 ) -> DataFrame:
     """Rows of ``df`` that are not near-duplicates of an earlier kept row; >= 1.0 disables."""
@@ -59,7 +63,7 @@ def near_duplicates(
     text: str,
     threshold: float = 0.85,
     permutations: int = 128,
-    large_bucket: int = 1000,
+    large_bucket: int = LARGE_BUCKET,
     small_total: int = SMALL_TOTAL,
 ) -> DataFrame:
     """The keys that ``dedup_near`` drops.
@@ -79,10 +83,11 @@ def near_duplicates(
     # Counting a written table reads file footers only.
     while total := members.count():
         rounds += 1
-        if rounds > 2:
+        if rounds == 2:
             members = _split_large(members, sets, key, total, threshold, large_bucket, small_total)
             total = members.count()
-        led = materialise(_with_leaders(members, key, 1 if rounds == 1 else LEADERS, total, small_total), "near-led")
+        leaders = 1 if rounds == 1 else min(MAX_LEADERS, LEADERS * 2 ** (rounds - 2))
+        led = materialise(_with_leaders(members, key, leaders, total, small_total), "near-led")
         complete = led.groupBy(key).agg(F.bool_and("complete").alias("_all")).filter("_all").select(key)
         pairs = led.select(key, F.explode("before").alias("leader")).distinct()
         if rounds == 1:
