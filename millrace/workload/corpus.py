@@ -623,10 +623,10 @@ def _(spark, sf):
 @query("corpus_report")
 def _(spark, sf):
     docs = load(spark, sf, "documents")
-    cleaned = clean.drop_empty(clean.clean_samples(docs, ["text"]), ["text"])
-    unique = clean.dedup_exact(cleaned, "doc_id", "text")
-    # A cut point: near_duplicates reads its input twice.
-    masked = materialise(pii.redact(unique, "mask", ["text"]).select("doc_id", "lang", "text"), "masked")
+    # Cut points: both de-duplications read their input twice.
+    cleaned = clean.drop_empty(clean.clean_samples(docs.select("doc_id", "lang", "text"), ["text"]), ["text"])
+    unique = clean.dedup_exact(materialise(cleaned, "cleaned"), "doc_id", "text")
+    masked = materialise(pii.redact(unique, "mask", ["text"]), "masked")
     kept = dedup.dedup_near(masked, "doc_id", "text", 0.8)
     return kept.groupBy("lang").agg(F.count("*").alias("documents"), F.sum(F.length("text")).alias("characters"))
 
