@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from millrace.plans.durable import materialise
 
-__all__ = ["WORD", "crc_bucket", "documents", "materialise", "numbered", "table", "text_or_empty", "words_in"]
+__all__ = ["WORD", "crc_bucket", "documents", "fresh", "materialise", "numbered", "table", "text_or_empty", "words_in"]
 
 # A word is a run of characters that are neither a space nor one of \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -55,3 +55,11 @@ def numbered(rows: DataFrame, by: str, order: Sequence[str], into: str, total: i
         .withColumn(into, F.col("_first") + place - 1)
         .drop("_block", "_first")
     )
+
+
+def fresh(name: str, taken: Sequence[str]) -> str:
+    """``name``, or with underscores before it if a column is called so (Spark ignores case)."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name = "_" + name
+    return name

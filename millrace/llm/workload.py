@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import kdtree, mixing
-from millrace.llm.common import documents, materialise, numbered
+from millrace.llm import decontaminate, digest, kdtree, langid, mixing
+from millrace.llm.common import crc_bucket, documents, materialise, numbered, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +26,56 @@ def query(name: str, sql: str | None = None):
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
 
+@query("op3_fingerprints")
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quartile bucket digests of every text and of its edit with the next document's start."""
+    return digest.fingerprints(documents(spark, sf_dir))
+
+
+_BENCH_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+
+@query(
+    "op4_decontamination",
+    f"""
+    with d as (select row_number() over () as r, doc_id, {_BENCH_WORDS} as w from documents),
+    windows as (
+      select distinct item_id, len, array_to_string(w[i : i + len - 1], ' ') as words
+      from (select item_id, w, least(13, len(w)) as len, unnest(range(1, len(w) - least(13, len(w)) + 2)) as i
+            from (select item_id, {_BENCH_WORDS} as w from benchmark) where len(w) > 0)),
+    lengths as (select distinct len from windows),
+    places as (
+      select r, i, len, array_to_string(w[i : i + len - 1], ' ') as words
+      from (select r, w, len, unnest(range(1, len(w) - len + 2)) as i from d, lengths where len(w) >= len)),
+    hits as (select p.r, p.i, p.len, x.item_id from places p join windows x on p.len = x.len and p.words = x.words),
+    words as (select r, count(distinct pos) as n_hit from (select r, unnest(range(i, i + len)) as pos from hits) group by r),
+    items as (
+      select r, count(*) as n_items, string_agg(item, ',' order by item) as ids
+      from (select distinct r, cast(item_id as varchar) as item from hits where item_id is not null) group by r)
+    select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+           sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+    from d left join words using (r) left join items using (r)""",
+)
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside benchmark windows, and the items they belong to."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = decontaminate.find_occurrences(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "found.n_words", "found.n_hit", F.size("found.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("found.items"), ","), 256).alias("items_sha256"),
+        decontaminate.is_contaminated("found").alias("contaminated"),
+    )
+
+
+@query("op6_language_id")
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by code length, learned from two thirds of the documents."""
+    docs = documents(spark, sf_dir).withColumn("held_out", crc_bucket("doc_id", 3) == 1)
+    model = langid.train(docs.filter("not held_out"))
+    return langid.predict(docs, model, ["doc_id", "held_out"])
+
+
 @query(
     "op8_mixing",
     f"""
