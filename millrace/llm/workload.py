@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import decontaminate, digest, kdtree, langid, mixing
+from millrace.llm import decontaminate, digest, jaccard, kdtree, langid, mixing
 from millrace.llm.common import crc_bucket, documents, materialise, numbered, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,12 @@ def query(name: str, sql: str | None = None):
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
 
+@query("op2_jaccard_join")
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents linked by four-word shingles at a Jaccard similarity of 0.85."""
+    return jaccard.near_duplicates(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
 @query("op3_fingerprints")
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quartile bucket digests of every text and of its edit with the next document's start."""
