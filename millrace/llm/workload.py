@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import decontaminate, digest, jaccard, kdtree, langid, mixing
+from millrace.llm import decontaminate, digest, jaccard, kdtree, langid, lm, mixing
 from millrace.llm.common import crc_bucket, documents, materialise, numbered, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,6 +113,13 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op9_lm_scoring")
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under a backoff automaton of nine tenths of them."""
+    docs = documents(spark, sf_dir).withColumn("held_out", crc_bucket("doc_id", 10) == 0)
+    return lm.train_and_score(docs, ~F.col("held_out"), ["doc_id", "held_out"])
+
+
 @query("op10_sharding")
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sixteen shards of near-equal bytes from a k-d tree over what the texts say about themselves."""
