@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import decontaminate, digest, jaccard, kdtree, langid, lm, mixing
+from millrace.llm import decontaminate, digest, jaccard, kdtree, langid, lm, mixing, toxicity
 from millrace.llm.common import crc_bucket, documents, materialise, numbered, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,14 @@ def query(name: str, sql: str | None = None):
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
 
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from labels of four fifths of them."""
+    docs = documents(spark, sf_dir).select("doc_id", "text").withColumn("held_out", crc_bucket("doc_id", 5) == 0)
+    chain = toxicity.train(docs.filter("not held_out"), table(spark, sf_dir, "labels"))
+    return toxicity.tag(docs, chain).select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")
+
+
 @query("op2_jaccard_join")
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents linked by four-word shingles at a Jaccard similarity of 0.85."""
