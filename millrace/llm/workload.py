@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import decontaminate, digest, jaccard, kdtree, langid, lm, mixing, toxicity
+from millrace.llm import attribution, decontaminate, digest, jaccard, kdtree, langid, lm, mixing, toxicity, wrappers
 from millrace.llm.common import crc_bucket, documents, materialise, numbered, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op7_token_counts")
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document, from one encoding of the whole text."""
+    return attribution.section_tokens(documents(spark, sf_dir), ["doc_id"]).withColumn("tokens", F.col("tokens").cast("long"))
+
+
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
 
@@ -82,6 +88,13 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_html_extraction")
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Article text of every page by the wrapper of its host."""
+    found = wrappers.main_text(table(spark, sf_dir, "pages"), ["page_id", "url"])
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 @query("op6_language_id")
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by code length, learned from two thirds of the documents."""
