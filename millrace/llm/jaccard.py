@@ -7,12 +7,14 @@ the sets, which the similarity bounds by D for the sizes of a band.  With P = D
 blocks two linked sets agree in more than ``slack`` blocks (pigeonhole), which an equi-join on
 (band, block, parity word) finds; candidates are verified on the whole sets.
 
-The slack lets a set leave out up to that many blocks without losing a link: half of it goes to
-blocks of at most one shingle, the other half to blocks that very many sets share.
+The slack lets a set leave out up to that many blocks without losing a link: one part of it goes to
+blocks of at most one shingle, the other to blocks that very many sets share.  Sets with more
+shared blocks than that meet once more by their rarest shingles.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -23,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from millrace.llm.common import materialise
+from millrace.llm.common import fresh, materialise
 from millrace.llm.links import components
 
 _WORD = re.compile(rb"[^\x20\x09-\x0d]+")
@@ -33,9 +35,10 @@ SIMILARITY = 85
 BAND = 1.25
 # Sets of up to SMALL shingles use SEEDS independent cuts, as their blocks may all be empty.
 SMALL, SEEDS = 40, 3
-# Buckets with more open sets than this are joined leader by leader.
+# Buckets with more open sets than this are not joined pair by pair.
 LARGE = 64
-LEADERS = 8
+# Sets that a task compares with as many others.
+TILE = 500
 # A Bloom filter of the sets to verify is shipped up to this many bytes.
 BLOOM_BYTES = 32 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -79,10 +82,18 @@ def bands(similarity: int) -> tuple[tuple[int, ...], tuple[int, ...]]:
     return tuple(tops), tuple(t * (100 - similarity) // similarity for t in tops)
 
 
-def slack(difference: int) -> tuple[int, int]:
+@lru_cache
+def _few_share(similarity: int) -> float:
+    """Part of D + 1 by which blocks of few shingles may be left out, about twice the expected empty ones."""
+    share = 0.1
+    while math.exp(-similarity / (100 - similarity) / BAND / (1.1 + share)) > 0.56 * share / (1.1 + share):
+        share += 0.05
+    return share
+
+
+def slack(difference: int, similarity: int) -> tuple[int, int]:
     """Blocks beyond D + 1 that a set may leave out: those with few shingles, those that are shared by many."""
-    few = -(-(difference + 1) // 10)
-    return few, few
+    return math.ceil(_few_share(similarity) * (difference + 1)), math.ceil((difference + 1) / 10)
 
 
 def keys_of(found: np.ndarray, similarity: int = SIMILARITY) -> np.ndarray:
@@ -97,7 +108,7 @@ def keys_of(found: np.ndarray, similarity: int = SIMILARITY) -> np.ndarray:
     for band in range(own, -1, -1):
         if band < own and tops[band] * 100 < similarity * n:
             break
-        few, many = slack(differences[band])
+        few, many = slack(differences[band], similarity)
         blocks = differences[band] + 1 + few + many
         seeds = SEEDS if tops[band] <= SMALL else 1
         passed = False
@@ -234,6 +245,23 @@ class Verifier:
         checked = met.select("a", "b", (both * 100 >= (F.col("n_a") + F.col("n_b") - both) * self.similarity).alias("_near"))
         return materialise(checked.filter("_near").select("a", "b"), "similar")
 
+    def rarest(self, nodes: DataFrame) -> DataFrame:
+        """(key, node) of the shingles by which linked sets among ``nodes`` must meet.
+
+        Ordered from rare to frequent, two similar sets share one of their first
+        n - ceil(n * similarity / 100) + 1 shingles, whatever common passages they hold.
+        """
+        each = materialise(self.sets(nodes).select("node", F.size("found").alias("n"), F.explode("found").alias("key")), "tainted-sets")
+        counts = each.groupBy("key").agg(F.count(F.lit(1)).alias("sets"))
+        place = F.row_number().over(Window.partitionBy("node").orderBy("sets", "key"))
+        first = F.col("n") - F.ceil(F.col("n") * self.similarity / 100) + 1
+        return each.join(counts, "key").withColumn("_place", place).filter(F.col("_place") <= first).select("key", "node")
+
+    def sets(self, nodes: DataFrame) -> DataFrame:
+        """(node, found) of some nodes, in a written table."""
+        wanted = materialise(nodes.join(self.nodes, "node").select("text_key").distinct(), "wanted")
+        return materialise(self._sets(wanted).dropDuplicates(["node"]).join(nodes, "node", "left_semi"), "candidate-sets")
+
     def _sets(self, wanted: DataFrame) -> DataFrame:
         width = self.width
         count = wanted.count()
@@ -286,8 +314,8 @@ def linked_sets(docs: DataFrame, rows: DataFrame, width: int = SHINGLE, similari
     """(node, comp) of every set that is linked to a different one, from ``rows`` of ``sketched``.
 
     First every set meets the leader with which it shares most keys.  Then only buckets that still
-    hold sets of different components matter: up to LARGE sets meet each other, and sets of larger
-    buckets meet leaders in rounds until each bucket is done.
+    hold sets of different components matter: up to LARGE sets meet each other, larger buckets are
+    left out where the slack allows it, and the sets for which it does not meet by rare shingles.
     """
     verifier = Verifier(docs, rows, width, similarity)
     entries = rows.select(F.explode("keys").alias("key"), "node").repartition("key").sortWithinPartitions("key", "node")
@@ -298,26 +326,26 @@ def linked_sets(docs: DataFrame, rows: DataFrame, width: int = SHINGLE, similari
     links = verifier.links(best.select(F.col("leader").alias("a"), F.col("node").alias("b")))
     comps = components(links)
 
-    opened = materialise(_opened(shared.select("key", "node"), comps), "open-keys")
-    x, y = (opened.filter(F.col("members") <= LARGE).select("key", F.col("node").alias(s), F.col("comp").alias(f"comp_{s}")) for s in "ab")
-    pairs = x.join(y, "key").filter("a < b and comp_a <> comp_b").select("a", "b").distinct()
-    more = verifier.links(pairs)
-    links = links.unionByName(more)
-    if more.limit(1).count():
-        comps = components(links)
-
-    rest = materialise(_tainted(opened.filter(F.col("members") > LARGE), similarity), "large-keys")
-    while rest.limit(1).count():
-        rest = _opened(rest.select("key", "node", "weight"), comps)
-        place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("weight"), "node"))
-        rest = materialise(rest.withColumn("first", place <= LEADERS), "large-round")
-        heads = rest.filter("first").select("key", F.col("node").alias("a"), F.col("comp").alias("comp_a"))
-        pairs = heads.join(rest.select("key", F.col("node").alias("b"), F.col("comp").alias("comp_b")), "key").filter("comp_a <> comp_b")
-        more = verifier.links(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        links = links.unionByName(more)
+    def meet(opened: DataFrame) -> None:
+        """Link all sets of different components in the buckets of up to LARGE sets."""
+        nonlocal links, comps
+        x, y = (opened.filter(F.col("members") <= LARGE).select("key", F.col("node").alias(s), F.col("comp").alias(f"comp_{s}")) for s in "ab")
+        pairs = x.join(y, "key").filter("a < b and comp_a <> comp_b").select("a", "b").distinct()
+        more = verifier.links(pairs)
         if more.limit(1).count():
+            links = links.unionByName(more)
+            comps = components(links)
+
+    opened = materialise(_opened(shared.select("key", "node"), comps), "open-keys")
+    meet(opened)
+    tainted = materialise(_tainted(opened.filter(F.col("members") > LARGE), similarity), "tainted")
+    if tainted.limit(1).count():
+        opened = materialise(_opened(verifier.rarest(tainted), comps), "open-rare")
+        meet(opened)
+        dense = materialise(opened.filter(F.col("members") > LARGE).select("key", "node"), "dense")
+        if dense.limit(1).count():
+            links = links.unionByName(_dense_links(dense, verifier, similarity))
             comps = components(links)
-        rest = materialise(_opened(rest.filter("not first").select("key", "node", "weight"), comps), "large-keys")
     return comps
 
 
@@ -328,14 +356,68 @@ def _opened(shared: DataFrame, comps: DataFrame) -> DataFrame:
     return placed.join(keys.filter("_lo <> _hi").select("key", "members"), "key")
 
 
+def _dense_links(dense: DataFrame, verifier: Verifier, similarity: int) -> DataFrame:
+    """Links that connect what is linked among sets that share even their rarest shingles with many.
+
+    Such sets are variants of one text, nearly all of which would be candidates.  A family (sets
+    connected by such shingles) is dealt into blocks of TILE sets; a task compares two blocks by
+    counting common shingles in a matrix product and returns a spanning forest, never all pairs.
+    """
+    heads = dense.groupBy("key").agg(F.min("node").alias("head"))
+    family = components(dense.join(heads, "key").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct())
+    sizes = family.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("blocks"))
+    placed = family.join(sizes, "comp").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    tiles = placed.select("node", "comp", "block", other.alias("other")).select(
+        "node", "comp", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y")
+    )
+
+    def compare(key: tuple, part: pa.Table) -> pa.Table:
+        nodes = part.column("node").to_numpy()
+        sets = [np.asarray(v.as_py(), np.int64) for v in part.column("found")]
+        return pa.table(dict(zip("ab", _forest(nodes, sets, similarity))))
+
+    met = tiles.join(verifier.sets(family.select("node")), "node")
+    return materialise(met.groupBy("comp", "x", "y").applyInArrow(compare, "a long, b long"), "dense-links")
+
+
+def _forest(nodes: np.ndarray, sets: list[np.ndarray], similarity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of a spanning forest of the links between ``sets``."""
+    sizes = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    words, place, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.cumsum(often > 1) - 1
+    owner, column = owner[often[place] > 1], rank[place[often[place] > 1]]
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    for first in range(0, int((often > 1).sum()), 4096):
+        here = (column >= first) & (column < first + 4096)
+        part = np.zeros((len(sets), 4096), np.float32)
+        part[owner[here], column[here] - first] = 1
+        both += part @ part.T
+    common = np.rint(both).astype(np.int64)
+    linked = common * 100 >= (sizes[:, None] + sizes[None, :] - common) * similarity
+    left, a, b = np.ones(len(sets), bool), [], []
+    while left.any():
+        front = [int(np.argmax(left))]
+        left[front[0]] = False
+        while front:
+            at = front.pop()
+            found = np.flatnonzero(linked[at] & left)
+            left[found] = False
+            front += found.tolist()
+            a += [nodes[at]] * len(found)
+            b += nodes[found].tolist()
+    return np.array(a, np.int64), np.array(b, np.int64)
+
+
 def _tainted(opened: DataFrame, similarity: int) -> DataFrame:
-    """Rows of large buckets that the slack does not cover: a set may leave out so many of them per band."""
+    """Nodes with more large buckets in a band than the slack covers; the others lose no link without them."""
     _, differences = bands(similarity)
     band = F.col("key").bitwiseAND(F.lit(255)).cast("int")
-    allowed = F.element_at(F.array(*[F.lit(slack(d)[1]) for d in differences]), band + 1)
-    rows = opened.withColumn("_band", band)
-    weights = rows.groupBy("node", "_band").agg(F.count(F.lit(1)).alias("weight"))
-    return rows.join(weights, ["node", "_band"]).filter(F.col("weight") > allowed).select("key", "node", "weight")
+    allowed = F.element_at(F.array(*[F.lit(slack(d, similarity)[1]) for d in differences]), F.col("_band") + 1)
+    return opened.withColumn("_band", band).groupBy("node", "_band").agg(F.count(F.lit(1)).alias("weight")).filter(
+        F.col("weight") > allowed
+    ).select("node").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
@@ -366,8 +448,10 @@ def one_of_each(docs: DataFrame, width: int = 5, similarity: int = 80) -> DataFr
     order = F.struct(F.col("doc_id").isNull().alias("u"), F.col("doc_id").alias("i"), F.col("text_key").alias("t"))
     stays = marked.groupBy("comp").agg(F.min(order).alias("o")).select(F.col("o.i").alias("_id"), F.col("o.t").alias("_text"))
     goes = marked.join(stays, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_text")), "left_anti").distinct()
-    gone = goes.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text"))
-    left = docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_text")), "left_anti")
+    own_id, own_text = fresh("gone_id", docs.columns), fresh("gone_text", docs.columns)
+    gone = goes.select(F.col("doc_id").alias(own_id), F.col("text_key").alias(own_text))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(own_id)) & (F.xxhash64("text") == F.col(own_text))
+    left = docs.join(gone, same, "left_anti")
     if marked.groupBy("doc_id", "text_key").count().filter("count > 1").limit(1).count():
         wordless = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
         left = left.filter(~wordless).dropDuplicates(["doc_id", "text"]).unionByName(left.filter(wordless))

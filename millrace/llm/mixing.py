@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from millrace.llm.common import materialise, words_in
+from millrace.llm.common import fresh, materialise, words_in
 
 GOLDEN = 0.6180339887498949
 BLOCK_WORDS = 1024
@@ -170,11 +170,12 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
 
     Keeps all columns.  Identical rows share the larger of their counts.
     """
-    times = mix(docs, block_words).groupBy("row_key").agg(F.max("copies").alias("_copies"))
-    keyed = docs.withColumn("_row_key", F.xxhash64("doc_id", "source", "text"))
+    key, copies, copy = (fresh(n, docs.columns) for n in ("row_key", "copies", "copy"))
+    times = mix(docs, block_words).groupBy("row_key").agg(F.max("copies").alias(copies)).withColumnRenamed("row_key", key)
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "source", "text"))
     return (
-        keyed.join(times.withColumnRenamed("row_key", "_row_key"), "_row_key")
-        .filter("_copies > 0")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-        .drop("_row_key", "_copies", "_copy")
+        keyed.join(times, key)
+        .filter(F.col(copies) > 0)
+        .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))))
+        .drop(key, copies, copy)
     )

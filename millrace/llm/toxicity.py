@@ -102,6 +102,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_DOCS)
 
     Several labels of a document count as toxic if one is; null labels and null ids are no labels.
     """
+    docs = docs.select("doc_id", "text")
     known = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("_toxic"))
     known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
