@@ -88,8 +88,8 @@ def training_text(instruction: Column, output: Column, input_: Column | None = N
 def to_training_text(df: DataFrame) -> DataFrame:
     """Reduce instruction rows to their ``text``; other layouts pass unchanged.
 
-    Rows with a null output have no text and are left out; ``output`` missing as a column
-    counts as empty.
+    Rows with a null output have no text; ``training_text_rejects`` returns them.  ``output``
+    missing as a column counts as empty.
     """
     if "input_ids" in df.columns or "text" in df.columns or "instruction" not in df.columns:
         return df
@@ -99,6 +99,13 @@ def to_training_text(df: DataFrame) -> DataFrame:
     return rows.select(training_text(F.col("instruction"), output, input_).alias("text"))
 
 
+def training_text_rejects(df: DataFrame) -> DataFrame:
+    """Instruction rows that give no training text, with the reason; none for other layouts."""
+    rows = df.withColumn("reason", F.lit("output is null"))
+    given = "input_ids" in df.columns or "text" in df.columns or not {"instruction", "output"} <= set(df.columns)
+    return rows.limit(0) if given else rows.filter(F.col("output").isNull())
+
+
 def apply_chat_template(df: DataFrame) -> DataFrame:
     """Add ``text`` in the same layout and keep every other column."""
     input_ = F.col("input") if "input" in df.columns else None

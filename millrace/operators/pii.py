@@ -6,12 +6,10 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.functions.fixed import GIVEN_NAMES, NAME_TITLES, PERSON_SCORE, PII_PATTERNS, PII_PREFILTERS
+from millrace.functions.fixed import GIVEN_NAMES, NAME_TITLES, PERSON_SCORE, PII_PATTERNS, PII_PRETESTS
 from millrace.functions.kernels import find_entities
 from millrace.functions.text import tokens
 
-DIGIT_RUN = "[0-9]{3}"
-
 
 def person_pattern(given_names: Sequence[str] = GIVEN_NAMES) -> str:
     """Title or listed given name followed by one or two capitalised words.
@@ -33,10 +31,7 @@ def _patterns(threshold: float, persons: bool, given_names: Sequence[str]) -> di
 
 
 def _worth_trying(text: Column, kind: str) -> Column:
-    mark = PII_PREFILTERS.get(kind)
-    if kind == "PERSON":
-        return F.lit(True)
-    return F.contains(text, F.lit(mark)) if mark == "@" else text.rlike(DIGIT_RUN if kind != "IP_ADDRESS" else r"[0-9]\.")
+    return text.rlike(PII_PRETESTS[kind]) if kind in PII_PRETESTS else F.lit(True)
 
 
 def is_card(number: Column) -> Column:
@@ -44,7 +39,10 @@ def is_card(number: Column) -> Column:
 
 
 def long_texts(df: DataFrame, key: str, fields: Sequence[str] = (), turns: str | None = None) -> DataFrame:
-    """(key, field, text) rows of the named columns and of every turn."""
+    """(key, field, text) rows of the named columns and of every turn; a null text is a row too.
+
+    A row without fields and turns gives one row with null field and text, so no sample is lost.
+    """
     parts = [F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields]
     items = F.array(*parts) if parts else F.array().cast("array<struct<field:string,text:string>>")
     if turns is not None:
@@ -52,7 +50,7 @@ def long_texts(df: DataFrame, key: str, fields: Sequence[str] = (), turns: str |
             turns, lambda t, i: F.struct(F.concat(F.lit("turn_"), i.cast("string")).alias("field"), t["content"].alias("text"))
         )
         items = F.concat(items, F.coalesce(said, F.array().cast("array<struct<field:string,text:string>>")))
-    return df.select(key, F.explode(items).alias("x")).select(key, "x.field", "x.text").filter(F.col("text").isNotNull())
+    return df.select(key, F.explode_outer(items).alias("x")).select(key, "x.field", "x.text")
 
 
 def pii_scan(
@@ -139,7 +137,7 @@ def mask(text: Column, persons: bool = False, given_names: Sequence[str] = GIVEN
         else:
             masked = F.regexp_replace(masked, pattern, f"<{kind}>")
     # One cheap pass spares most texts the patterns.
-    return masked if persons else F.when(text.rlike(f"@|{DIGIT_RUN}|[0-9]\\."), masked).otherwise(text)
+    return masked if persons else F.when(text.rlike("|".join(PII_PRETESTS.values())), masked).otherwise(text)
 
 
 def synthetic(kind: str, value: Column, seed: int) -> Column:

@@ -16,6 +16,7 @@ from millrace.plans.ordered import (
     with_rank,
     with_running,
 )
+from millrace.plans.skew import null_safe_join
 
 
 def hourly_price(instance: Column, prices: dict[str, float] = INSTANCE_PRICES) -> Column:
@@ -58,7 +59,7 @@ def until_stop(logs: DataFrame, run: str, step: str, loss: str) -> DataFrame:
     Runs that never stop are not in the stop table, so only its keys are looked up.
     """
     stops = nonfinite_stops(logs, run, step, loss)
-    kept = logs.filter(_finite(loss)).join(stops, run, "left")
+    kept = null_safe_join(logs.filter(_finite(loss)), stops, [run], "left")
     return kept.filter(F.col("stop_step").isNull() | (F.col(step) < F.col("stop_step"))).drop("stop_step")
 
 
@@ -115,8 +116,8 @@ def early_stop(
     is_min = ~F.isnan(loss) & (F.col("_prior").isNull() | (F.col(loss) < F.col("_prior")))
     minima = with_min.filter(is_min).select(run, step, (-F.col(loss)).alias("_depth"))
     better = greedy_spacing(minima.select(run, "_depth"), [run], "_depth", min_delta, True, key_rows, rows_per_block, blocks)
-    marks = minima.join(better, [run, "_depth"]).select(run, step, F.lit(True).alias("_improved"))
-    joined = ranked.join(marks, [run, step], "left").withColumns(
+    marks = null_safe_join(minima, better, [run, "_depth"]).select(run, step, F.lit(True).alias("_improved"))
+    joined = null_safe_join(ranked, marks, [run, step], "left").withColumns(
         {
             "_at": F.when(F.col("_improved"), F.col("_rank")),
             "_level": F.when(F.col("_improved"), F.col(loss)),

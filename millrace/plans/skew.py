@@ -62,6 +62,7 @@ def split_hot(
     total, top = counts.agg(F.sum("_rows"), F.max("_rows")).first()
     if top is None or top <= limit:
         return df, None
-    cut = max(limit, total // MAX_HOT_KEYS)
-    hot = F.broadcast(counts.filter(F.col("_rows") > cut).select(*keys))
+    hot = counts.filter(F.col("_rows") > limit).select(*keys)
+    # Fewer than total / limit keys are hot; they travel whole only when that is a small number.
+    hot = F.broadcast(hot) if total <= limit * MAX_HOT_KEYS else hot
     return null_safe_join(df, hot, keys, "left_anti"), null_safe_join(df, hot, keys, "left_semi")

@@ -39,8 +39,39 @@ def infer_jsonl(spark: SparkSession, path: str) -> DataFrame:
     kind = objects.agg(F.schema_of_variant_agg("row")).first()[0]
     if kind in (None, "VOID"):
         return spark.createDataFrame([], T.StructType([]))
-    ddl = kind.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING")
-    return objects.select(F.variant_get("row", "$", ddl).alias("r")).select("r.*")
+    return objects.select(F.variant_get("row", "$", _row_type(kind)).alias("r")).select("r.*")
+
+
+def _row_type(kind: str) -> str:
+    """The inferred variant type as a row type: objects as structs, values never seen as text."""
+
+    def read(at: int) -> tuple[str, int]:
+        if kind.startswith("OBJECT<", at):
+            fields, at = [], at + len("OBJECT<")
+            while kind[at] != ">":
+                if kind[at] == "`":
+                    end = at + 1
+                    while kind[end] != "`" or kind.startswith("``", end):
+                        end += 2 if kind[end] == "`" else 1
+                    name, at = kind[at : end + 1], end + 1
+                else:
+                    end = kind.index(":", at)
+                    name, at = f"`{kind[at:end]}`", end
+                inner, at = read(at + len(": "))
+                fields.append(f"{name}: {inner}")
+                at += 2 if kind.startswith(", ", at) else 0
+            return f"STRUCT<{', '.join(fields)}>", at + 1
+        if kind.startswith("ARRAY<", at):
+            inner, at = read(at + len("ARRAY<"))
+            return f"ARRAY<{inner}>", at + 1
+        end, deep = at, 0
+        while end < len(kind) and (deep or kind[end] not in ",>"):
+            deep += {"(": 1, ")": -1}.get(kind[end], 0)
+            end += 1
+        plain = kind[at:end]
+        return "STRING" if plain == "VOID" else plain, end
+
+    return read(0)[0]
 
 
 def read_csv(
@@ -60,10 +91,14 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# Files up to this size in all are dealt over all cores before long texts are worked on.
+SPREAD_BYTES = 128 << 20
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for inputs of fewer files than cores; large inputs are left as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Use all cores for a small input, which is often a single file; others are left as they are."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size <= SPREAD_BYTES else df
 
 
 def ingest(spark: SparkSession, path: str, fmt: str | None = None, schema: T.StructType | str | None = None) -> DataFrame:

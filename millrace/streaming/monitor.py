@@ -67,8 +67,9 @@ def streaming_alarm(
                     continue
                 c = opened.get(p)
                 opened[p] = [1, v, v, v] if c is None else [c[0] + 1, c[1] + v, min(c[2], v), max(c[3], v)]
-        if opened and (nxt < 0 or min(opened) < nxt):
-            nxt = min(opened) if nxt < 0 else nxt
+        if opened:
+            # Open periods stay open until the watermark closes them, whatever order they begin in.
+            nxt = min(opened) if nxt < 0 else min(nxt, *opened)
         closed_upto = int(state.getCurrentWatermarkMs() // 1000 // period)
         rows = []
         while 0 <= nxt < closed_upto:

@@ -547,10 +547,10 @@ def _(spark, sf):
     return load(spark, sf, "documents").select("doc_id", template.estimate_tokens(F.col("text")).alias("estimate"))
 
 
-_TOKEN_SQL = f"""with r as (select pair_id, '<|im_start|>user' || {_NL} || prediction || '<|im_end|>' || {_NL} || '<|im_start|>assistant' || {_NL} as prompt, reference || '<|im_end|>' as answer from ({TURN_PAIRS_SQL})),
+_ALL_TOKENS_SQL = f"""with r as (select pair_id, '<|im_start|>user' || {_NL} || prediction || '<|im_end|>' || {_NL} || '<|im_start|>assistant' || {_NL} as prompt, reference || '<|im_end|>' as answer from ({TURN_PAIRS_SQL})),
     i as (select pair_id, list_append(list_transform(regexp_extract_all(prompt || answer, '{tokens.WORD_PATTERN}'), lambda x: ('0x' || substr(md5(x), 1, 8))::bigint % {tokens.EOS_ID}), {tokens.EOS_ID}) as ids,
-      len(regexp_extract_all(prompt, '{tokens.WORD_PATTERN}')) as np from r),
-    s as (select pair_id, ids[1:128] as ids, least(np, len(ids), 128) as ignored, len(ids) > 128 as cut from i)"""
+      len(regexp_extract_all(prompt, '{tokens.WORD_PATTERN}')) as np from r)"""
+_TOKEN_SQL = f"{_ALL_TOKENS_SQL}, s as (select pair_id, ids[1:128] as ids, least(np, len(ids), 128) as ignored, len(ids) > 128 as cut from i)"
 
 
 def _tokenised(spark, sf, longest=128):
@@ -583,12 +583,12 @@ def _(spark, sf):
 
 @query(
     "token_statistics",
-    f"""{_TOKEN_SQL} select count(*) as total_samples, round(avg(ignored), 6)::double as avg_input_tokens, round(avg(len(ids) - ignored), 6)::double as avg_output_tokens,
+    f"""{_ALL_TOKENS_SQL}, s as (select pair_id, ids, least(np, len(ids)) as ignored from i) select count(*) as total_samples, round(avg(ignored), 6)::double as avg_input_tokens, round(avg(len(ids) - ignored), 6)::double as avg_output_tokens,
       max(ignored)::bigint as max_input_tokens, max(len(ids) - ignored)::bigint as max_output_tokens, round(quantile_cont(len(ids), 0.5), 6)::double as p50,
       round(quantile_cont(len(ids), 0.9), 6)::double as p90, round(quantile_cont(len(ids), 0.95), 6)::double as p95, round(quantile_cont(len(ids), 0.99), 6)::double as p99 from s""",
 )
 def _(spark, sf):
-    stats = tokens.token_statistics(_tokenised(spark, sf))
+    stats = tokens.token_statistics(_tokenised(spark, sf, 2**30))
     return rounded(stats.withColumns({c: F.col(c).cast("bigint") for c in ("total_samples", "max_input_tokens", "max_output_tokens")}))
 
 

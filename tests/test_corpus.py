@@ -425,3 +425,30 @@ def test_token_statistics(spark):
     df = spark.createDataFrame([([-100] * p + [1] * r,) for p, r in [(1, 1), (2, 4), (3, 9)]], "labels array<int>")
     row = tokens.token_statistics(df).first()
     assert (row["total_samples"], row["avg_input_tokens"], row["max_output_tokens"], row["p50"]) == (3, 2.0, 9, 6.0)
+
+
+def test_every_card_like_number_passes_the_pretest(spark):
+    spaced = "card " + "-".join("4111111111111111") + " end"
+    texts = spark.createDataFrame([(1, "f", spaced), (2, "f", None), (3, "f", "nothing")], "id long, field string, text string")
+    assert [r["entity_type"] for r in pii.pii_scan(texts, "id", persons=False).collect()] == ["CREDIT_CARD"]
+    assert texts.select(pii.mask(F.col("text")).alias("t")).first()["t"] == "card <CREDIT_CARD> end"
+    report = pii.pii_report(texts, "id").first()
+    assert (report["samples_with_pii"], report["samples_clean"]) == (1, 2)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.data())
+def test_patterns_imply_their_pretests(data):
+    import re
+
+    from millrace.functions.fixed import PII_PATTERNS, PII_PRETESTS
+
+    for kind, (pattern, _) in PII_PATTERNS.items():
+        text = data.draw(st.from_regex(pattern))
+        assert re.search(PII_PRETESTS[kind], text)
+
+
+def test_rows_without_training_text_are_returned(spark):
+    rows = spark.createDataFrame([("a", "b"), ("c", None)], "instruction string, output string")
+    assert convert.to_training_text(rows).count() == 1
+    assert [(r["instruction"], r["reason"]) for r in convert.training_text_rejects(rows).collect()] == [("c", "output is null")]

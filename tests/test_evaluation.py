@@ -159,7 +159,7 @@ def scores(spark, a, b):
 def test_comparison_and_recommendation(spark):
     better = evaluate.compare_models(scores(spark, [0.1] * 30, [0.5 + i / 100 for i in range(30)]), ["q"])
     row = better.first()
-    assert row["winner"] == "model_b" and row["p_value"] == 0.0 and row["method"] == "multinomial"
+    assert row["winner"] == "model_b" and row["p_value"] == 0.0 and row["method"] == "poisson"
     assert row["relative_change_pct"] == pytest.approx((row["model_b_value"] - 0.1) / 0.1 * 100)
     assert evaluate.recommend(better, "x", "y").first()["recommendation"] == "Model B (y) is recommended. It wins on 1/1 metrics with 0 ties."
     same = evaluate.compare_models(scores(spark, [1, 0], [1, 0]), ["q"])
@@ -175,13 +175,13 @@ def test_bootstrap_agrees_between_methods_and_with_resampling(spark):
     rng = random.Random(8)
     a = [rng.random() for _ in range(60)]
     b = [x + rng.gauss(0.03, 0.2) for x in a]
-    exact = evaluate.bootstrap_p(scores(spark, a, b), ["q"]).first()
-    poisson = evaluate.bootstrap_p(scores(spark, a, b), ["q"], max_histogram=5).first()
+    exact = evaluate.bootstrap_p(scores(spark, a, b), ["q"], method="multinomial").first()
+    poisson = evaluate.bootstrap_p(scores(spark, a, b), ["q"]).first()
     d = [y - x for x, y in zip(a, b)]
     crossed = sum(sum(rng.choices(d, k=60)) <= 0 for _ in range(4000)) / 4000
     assert exact["p_value"] == pytest.approx(crossed, abs=0.06)
     assert poisson["method"] == "poisson" and poisson["p_value"] == pytest.approx(crossed, abs=0.06)
-    assert exact["p_value"] == evaluate.bootstrap_p(scores(spark, a, b).repartition(7), ["q"]).first()["p_value"]
+    assert exact["p_value"] == evaluate.bootstrap_p(scores(spark, a, b).repartition(7), ["q"], method="multinomial").first()["p_value"]
     assert evaluate.bootstrap_p(scores(spark, a, b).limit(0), ["q"]).first()["p_value"] == 1.0
 
 

@@ -204,3 +204,16 @@ def test_stop_sequences_and_ids(spark):
     assert [(r["t"], r["finish_reason"]) for r in got] == [("a END b ", "stop_sequence"), ("none", "stop"), ("none", "length")]
     ids = requests.with_request_id(spark.createDataFrame([("x",), (None,)], "request_id string")).collect()
     assert ids[0]["request_id"] == "x" and len(ids[1]["request_id"]) == 36
+
+
+def test_equal_deployments_stay_apart(spark):
+    deployed = spark.createDataFrame([("e", 100, {"k": "v"}), ("e", 100, {"k": "v"}), (None, 100, None)], "endpoint string, at long, tags map<string,string>")
+    alarms = spark.createDataFrame([("e", 150), ("e", 90)], "endpoint string, at long")
+    found = serving.canary_verdict(deployed, alarms, "endpoint", "at", "at", 60).collect()
+    assert sorted(r["status"] for r in found) == ["completed", "rolled_back", "rolled_back"]
+
+
+def test_early_stop_of_a_run_without_a_name(spark):
+    rows = [(None, s, v) for s, v in enumerate([3.0, 2.0, 2.5, 1.0])] + [("r", 0, 1.0)]
+    found = runs.early_stop(spark.createDataFrame(rows, "run string, step long, loss double"), "run", "step", "loss", 2).filter("run is null").orderBy("step").collect()
+    assert [(r["best_loss"], r["counter"]) for r in found] == [(3.0, 0), (2.0, 0), (2.0, 1), (1.0, 0)]

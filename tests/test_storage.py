@@ -261,3 +261,13 @@ def test_stream_clean_redact_and_drift(spark, tmp_path):
     assert {r["text"] for r in cleaned.collect()} == {"I cannot mail <EMAIL_ADDRESS>"}
     found = drain_to_table(monitor.streaming_output_drift(stream, "ts", "text", {"refusal_rate": 0.0}), "t").collect()
     assert len(found) >= 8 and all(r["drifted"] and r["n"] == 4 for r in found)
+
+
+def test_inferred_names_may_hold_type_words(spark, tmp_path):
+    rows = ['{"VOID_REASON": "x", "OBJECT<a": null, "n": {"VOID": [null, 1.5], "b c": []}}', '{"VOID_REASON": "y"}']
+    path = tmp_path / "rows.jsonl"
+    path.write_text("\n".join(rows))
+    found = readers.infer_jsonl(spark, str(path)).collect()
+    assert sorted(r["VOID_REASON"] for r in found) == ["x", "y"]
+    first = next(r for r in found if r["VOID_REASON"] == "x")
+    assert first["OBJECT<a"] is None and [v and float(v) for v in first["n"]["VOID"]] == [None, 1.5]
