@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,8 +30,36 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/millrace/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and continue from the written table."""
+# Tables written inside the scopes that are open now, innermost last.
+_scopes: list[list[str]] = []
+
+
+def materialise(df: DataFrame, label: str, outlives: bool = False) -> DataFrame:
+    """Write ``df`` once to the shared folder and continue from the written table.
+
+    Inside ``temporary`` the table is removed at the end of the scope, or with ``outlives`` at the
+    end of the scope around it.
+    """
     path = new_path(df.sparkSession, label)
+    open_scopes = _scopes[:-1] if outlives else _scopes
+    if open_scopes:
+        open_scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables written inside, once no table that outlives the scope needs them."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a written table wherever it is stored."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
