@@ -97,7 +97,7 @@ SPREAD_BYTES = 128 << 20
 
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores for a small input, which is often a single file; others are left as they are."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size <= SPREAD_BYTES else df
 
 

@@ -369,12 +369,10 @@ def _alert_rows(spark, sf):
       when 'view' then case when value > 50 then 'INFO' else 'WARNING' end else case when value >= 100 then 'CRITICAL' else 'WARNING' end end as severity,
       case event_type when 'signup' then 'Training Alert: ' || case when value > 50 then 'Failed' else 'done' end || ' - m' || user_id when 'error' then 'Drift Alert: m' || user_id
       when 'click' then 'Deployment rollback: m' || user_id when 'view' then 'Deployment ' || case when value > 50 then 'complete' else 'paused' end || ': m' || user_id
-      else 'Cost Alert' end as subject from events""",
+      else 'Cost Alert: ' || round(value / 100::double * 100)::bigint || '% of budget ($' || printf('%.2f', value) || '/$100.00)' end as subject from events""",
 )
 def _(spark, sf):
-    found = serving.alert_events(_alert_rows(spark, sf))
-    subject = F.when(F.col("kind") == "cost", F.substring("subject", 1, 10)).otherwise(F.col("subject"))
-    return found.select("event_id", "severity", subject.alias("subject"))
+    return serving.alert_events(_alert_rows(spark, sf)).select("event_id", "severity", "subject")
 
 
 @query("alert_messages")

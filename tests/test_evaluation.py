@@ -161,10 +161,10 @@ def test_comparison_and_recommendation(spark):
     row = better.first()
     assert row["winner"] == "model_b" and row["p_value"] == 0.0 and row["method"] == "poisson"
     assert row["relative_change_pct"] == pytest.approx((row["model_b_value"] - 0.1) / 0.1 * 100)
-    assert evaluate.recommend(better, "x", "y").first()["recommendation"] == "Model B (y) is recommended. It wins on 1/1 metrics with 0 ties."
+    assert evaluate.recommend(better, "x", "y").first()["recommendation"] == "Take model B (y): it is ahead in 1 of 1 metrics, and 0 are even."
     same = evaluate.compare_models(scores(spark, [1, 0], [1, 0]), ["q"])
     assert (same.first()["winner"], same.first()["p_value"]) == ("tie", 1.0)
-    assert evaluate.recommend(same, "x", "y").first()["recommendation"].startswith("No clear winner. Both models are tied on 1/1")
+    assert evaluate.recommend(same, "x", "y").first()["recommendation"].startswith("Neither model is ahead: 1 of 1 metrics")
     empty = evaluate.compare_models(scores(spark, [1], [1]).limit(0), ["q"]).first()
     assert (empty["model_a_value"], empty["p_value"], empty["winner"]) == (0.0, 1.0, "tie")
     zero = evaluate.compare_models(scores(spark, [0, 0], [1, 1]), ["q"]).first()
