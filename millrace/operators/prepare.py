@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators import catalog, clean, dedup, pii, tokens, validate
 from millrace.operators.template import render_template
+from millrace.plans.durable import materialise, temporary
 from millrace.sources.readers import ingest
 from millrace.sources.writers import write_splits
 
@@ -28,6 +29,7 @@ class PrepareConfig:
     max_samples: int | None = None
     pii_strategy: str | None = "mask"
     abort_on_pii: bool = False
+    persons: bool = False
     near_threshold: float | None = 0.85
     train: float = 0.9
     validation: float = 0.05
@@ -59,7 +61,8 @@ def prepare_corpus(spark: SparkSession, config: PrepareConfig, rows: DataFrame |
         if step < config.resume_from:
             return
         start = time.monotonic()
-        build().write.mode("overwrite").parquet(path(step))
+        with temporary(spark):
+            build().write.mode("overwrite").parquet(path(step))
         before = count(step - 1) if step > 1 else count(1)
         report.append((step, STEPS[step - 1], before, count(step), time.monotonic() - start))
 
@@ -75,7 +78,7 @@ def prepare_corpus(spark: SparkSession, config: PrepareConfig, rows: DataFrame |
     tokens.require_samples(final)
     manifest = write_splits(final, f"{config.work_dir}/tokenized-{int(time.time() * 1000)}", config.name)
     stats = tokens.token_statistics(final).first().asDict()  # one row
-    described = manifest.select("*", *[F.lit(v).alias(k) for k, v in stats.items()], F.lit(config.template).alias("template"))
+    described = manifest.select("*", *[F.lit(v).alias(k) for k, v in stats.items()], F.lit(config.template).alias("template"), F.lit(config.version).alias("version"))
     described.coalesce(1).write.mode("overwrite").json(f"{config.work_dir}/manifest")
     report.append((7, "publish", count(6), count(6), time.monotonic() - start))
     report.append((8, "report", count(6), count(6), 0.0))
@@ -127,8 +130,10 @@ def _with_content_ids(data: DataFrame) -> DataFrame:
 def _redact(data: DataFrame, config: PrepareConfig) -> DataFrame:
     texts = pii.long_texts(data, "sample_id", config.fields)
     if config.abort_on_pii:
-        pii.pii_gate(texts)
-    return data if config.pii_strategy is None else pii.redact(data, config.pii_strategy, config.fields, seed=config.seed)
+        pii.pii_gate(texts, persons=config.persons)
+    if config.pii_strategy is None:
+        return data
+    return pii.redact(data, config.pii_strategy, config.fields, seed=config.seed, persons=config.persons)
 
 
 def _clean(data: DataFrame, config: PrepareConfig) -> DataFrame:
@@ -136,11 +141,12 @@ def _clean(data: DataFrame, config: PrepareConfig) -> DataFrame:
     if config.near_threshold is None:
         return cleaned
     texted = cleaned.withColumn("_text", clean.primary_text(["instruction", "input", "output"]))
-    unique = clean.dedup_exact(texted, "sample_id", "_text")
+    # Both readers below go over their input several times, so it is written first.
+    unique = materialise(clean.dedup_exact(texted, "sample_id", "_text"), "corpus-unique")
     return dedup.dedup_near(unique, "sample_id", "_text", config.near_threshold).drop("_text")
 
 
 def _tokenize(data: DataFrame, config: PrepareConfig) -> DataFrame:
     done = tokens.tokenize_with_labels(data, "rendered", config.template, config.max_length)
     kept = tokens.drop_unlabeled(done).select("sample_id", "input_ids", "attention_mask", "labels", "was_truncated")
-    return tokens.split_dataset(kept, "sample_id", config.train, config.validation, config.seed)
+    return tokens.split_dataset(materialise(kept, "corpus-tokens"), "sample_id", config.train, config.validation, config.seed)

@@ -63,3 +63,12 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a written table wherever it is stored."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def written_bytes(table: DataFrame) -> int:
+    """Bytes of the files that a written table is read from."""
+    spark, total = table.sparkSession, 0
+    for file in table.inputFiles():
+        where = spark._jvm.org.apache.hadoop.fs.Path(file)
+        total += where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).getLen()
+    return total

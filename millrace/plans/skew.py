@@ -6,12 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.plans.durable import materialise
+from millrace.plans.durable import materialise, written_bytes
 
 # At most this many keys can each hold more than total/MAX_HOT_KEYS rows, so a table of
 # hot keys has a proven size bound and may be broadcast.
 MAX_HOT_KEYS = 1000
 
+# Rows of hot keys are broadcast up to this many bytes as written; beyond, they are copied to SALTS tasks.
+BROADCAST_BYTES = 16 << 20
+SALTS = 64
+
 # Below this many rows a single task copes with any key and nothing is split.
 SMALL_TOTAL = 5_000_000
 
@@ -34,17 +38,24 @@ def hot_key_join(
     """Inner join where ``small`` has one row per key and ``weight`` = rows of ``big`` with it.
 
     ``total`` is the number of rows of ``big`` or an upper bound.  Heavy keys (fewer than
-    MAX_HOT_KEYS by pigeonhole) are joined by broadcast, so their rows never move; the rest is
-    an ordinary shuffle join in which no key is heavy.
+    MAX_HOT_KEYS by pigeonhole) are joined by broadcast if their rows are small, so the rows of
+    ``big`` never move, and by salted copies if they are not; the rest is an ordinary shuffle join
+    in which no key is heavy.
     """
     on = list(on)
     if total <= small_total:
         return null_safe_join(big, small.drop(weight), on)
     small = materialise(small, "hot-split")
     cut = total / MAX_HOT_KEYS
-    hot = F.broadcast(small.filter(F.col(weight) > cut))
+    hot = materialise(small.filter(F.col(weight) > cut), "hot-keys")
     cold = small.filter(F.col(weight) <= cut)
-    hot_part = null_safe_join(big, hot.drop(weight), on)
+    hot_rows = hot.drop(weight)
+    if written_bytes(hot) <= BROADCAST_BYTES:
+        hot_part = null_safe_join(big, F.broadcast(hot_rows), on)
+    else:
+        salted = hot_rows.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        dealt = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(SALTS)).cast("int"))
+        hot_part = null_safe_join(dealt, salted, [*on, "_salt"]).drop("_salt")
     moved = null_safe_join(big, F.broadcast(hot.select(*on)), on, "left_anti")
     cold_part = null_safe_join(moved, cold.drop(weight), on)
     return hot_part.unionByName(cold_part)

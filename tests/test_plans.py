@@ -134,3 +134,26 @@ def test_block_borders_do_not_depend_on_partitions(spark, series):
     many = with_rank(series.repartition(16), ["k"], ["step"], rows_per_block=37)
     assert collect(one, "k", "step", "_rank") == collect(many, "k", "step", "_rank")
     assert np.isfinite([r["v"] for r in one.collect()]).all()
+
+
+def test_hot_rows_too_large_to_broadcast_are_salted(spark, monkeypatch):
+    from millrace.plans import skew
+
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 0)
+    big = spark.range(3000).select((F.col("id") % 7 * (F.col("id") % 3)).alias("k"), "id").withColumn("k", F.when(F.col("k") > 0, F.col("k")))
+    small = big.groupBy("k").agg(F.count("*").alias("w"), F.max("id").alias("top"))
+    got = skew.hot_key_join(big, small, ["k"], "w", 3000, small_total=0)
+    want = skew.null_safe_join(big, small.drop("w"), ["k"])
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))
+
+
+def test_temporary_tables_go_and_others_stay(spark):
+    from millrace.plans.durable import materialise, temporary
+
+    with temporary(spark):
+        inner = materialise(spark.range(3), "inner")
+        outer = materialise(inner.selectExpr("id + 1 as id"), "outer", outlives=True)
+        path = inner.inputFiles()[0].removeprefix("file://")
+    import os
+
+    assert not os.path.exists(path) and outer.count() == 3
