@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm import decontaminate, jaccard, kdtree, mixing, toxicity
-from millrace.llm.common import crc_bucket, documents, fresh, materialise, table
+from millrace.llm.common import crc_bucket, documents, fresh, materialise, table, temporary
 
 SHARDS = 16
 
@@ -58,6 +58,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+    with temporary(spark):
+        for name, stage in STAGES:
+            docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}", outlives=name == STAGES[-1][0])
     return docs

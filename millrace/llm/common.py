@@ -6,9 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from millrace.plans.durable import materialise
+from millrace.plans.durable import materialise, temporary
 
-__all__ = ["WORD", "crc_bucket", "documents", "fresh", "materialise", "numbered", "table", "text_or_empty", "words_in"]
+__all__ = ["WORD", "crc_bucket", "documents", "fresh", "materialise", "numbered", "small_or_shuffled", "table", "temporary", "text_or_empty", "words_in"]
 
 # A word is a run of characters that are neither a space nor one of \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -57,6 +57,15 @@ def numbered(rows: DataFrame, by: str, order: Sequence[str], into: str, total: i
     )
 
 
+# Tables of a few numbers a row are broadcast up to this many rows (some 32 MB), after they were counted.
+BROADCAST_ROWS = 1_000_000
+
+
+def small_or_shuffled(keys: DataFrame) -> DataFrame:
+    """A written table of narrow rows with a broadcast hint if it is small, so that texts stay where they are."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+
+
 def fresh(name: str, taken: Sequence[str]) -> str:
     """``name``, or with underscores before it if a column is called so (Spark ignores case)."""
     used = {c.lower() for c in taken}

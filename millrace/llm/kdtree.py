@@ -15,7 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.llm.common import materialise
+from millrace.llm.common import materialise, temporary
 
 BINS = 4096
 # Ties within a bin are ordered by the top 24 bits of the key, 12 bits at a time.
@@ -85,6 +85,11 @@ def fit_tree(points: DataFrame, dims: list[str], shards: int | None = None, targ
     share (fewer than LARGE * shards of them) are placed first, heaviest to the lightest shard, and
     the splits fill up what room they leave.  An empty table gives a tree of empty shards.
     """
+    with temporary(points.sparkSession):
+        return _fit(points, dims, shards, target_bytes)
+
+
+def _fit(points: DataFrame, dims: list[str], shards: int | None, target_bytes: int | None) -> Tree:
     total = float(points.agg(F.sum("w")).first()[0] or 0)
     if shards is None:
         shards = max(1, math.ceil(total / target_bytes))

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from millrace.llm.common import fresh, materialise, words_in
+from millrace.llm.common import fresh, materialise, small_or_shuffled, temporary, words_in
 
 GOLDEN = 0.6180339887498949
 BLOCK_WORDS = 1024
@@ -157,12 +157,14 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     Reads doc_id, text and source; other columns are ignored.  Null and empty texts have size 0,
     take no words and stay once.  Repeated rows are rows of their own.  An empty table gives none.
     """
-    rows = rows_of(docs)
-    sources = materialise(targets(rows), "mix-sources")
-    found = draw(streams(rows, sources), schedule(sources, block_words), block_words)
-    return found.join(sources.select("ord", "source_size", "target"), "ord").select(
-        "doc_id", "size", "source_size", "target", "taken", "copies", "row_key"
-    )
+    with temporary(docs.sparkSession):
+        rows = rows_of(docs)
+        sources = materialise(targets(rows), "mix-sources")
+        found = draw(streams(rows, sources), schedule(sources, block_words), block_words)
+        whole = found.join(sources.select("ord", "source_size", "target"), "ord").select(
+            "doc_id", "size", "source_size", "target", "taken", "copies", "row_key"
+        )
+        return materialise(whole, "mix", outlives=True)
 
 
 def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -172,6 +174,7 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
     """
     key, copies, copy = (fresh(n, docs.columns) for n in ("row_key", "copies", "copy"))
     times = mix(docs, block_words).groupBy("row_key").agg(F.max("copies").alias(copies)).withColumnRenamed("row_key", key)
+    times = small_or_shuffled(materialise(times, "mix-copies"))
     keyed = docs.withColumn(key, F.xxhash64("doc_id", "source", "text"))
     return (
         keyed.join(times, key)

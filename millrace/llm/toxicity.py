@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from millrace.llm.common import materialise
+from millrace.llm.common import materialise, temporary
 from millrace.llm.lanes import WORD, Lanes, numbered_words, slices
 
 # The classifier learns from at most this many labelled documents, those with the lowest digests.
@@ -236,6 +236,11 @@ def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_DOCS) -> Chain:
 
     Without toxic labels every score is 0; without others every score is 1.
     """
+    with temporary(docs.sparkSession):
+        return _train(docs, labels, most)
+
+
+def _train(docs: DataFrame, labels: DataFrame, most: int) -> Chain:
     spark = docs.sparkSession
     sample = labelled_sample(docs, labels, most)
     toxic, total = sample.agg(F.sum("toxic"), F.count(F.lit(1))).first()
