@@ -105,7 +105,7 @@ def rouge(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def bleu(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Corpus BLEU-4.  ``reference`` is a string or, for several references, an array."""
+    """Corpus BLEU-4 with its precisions and lengths.  ``reference`` is a string or, for several references, an array."""
     many = pairs.schema["reference"].dataType.typeName() == "array"
     refs = F.col("reference") if many else F.array("reference")
     split = pairs.select(
@@ -135,6 +135,8 @@ def bleu(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         *by,
         F.when((lowest > 0) & (F.col("_ref") > 0), mean * penalty).otherwise(0.0).alias("bleu"),
         F.coalesce(F.when((F.col("_ref") > 0) & (ratio > 0), penalty), F.lit(0.0)).alias("brevity_penalty"),
+        F.array(*precisions).alias("precisions"),
+        F.coalesce(ratio, F.lit(0.0)).alias("length_ratio"),
         F.col("_t1").alias("translation_length"),
         F.col("_ref").alias("reference_length"),
     )

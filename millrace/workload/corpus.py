@@ -711,6 +711,21 @@ def _(spark, sf):
     return found.select("manifest.name", "manifest.version", "manifest.num_samples", "lineage.pii_scan_result")
 
 
+@query("get_lineage", "select 'parquet' as source_format, '2' as pipeline_version, count(*) as num_samples from documents")
+def _(spark, sf):
+    path = new_path(spark, "registry")
+    documents = load(spark, sf, "documents")
+    manifest = catalog.dataset_checksum(documents, ["text"], "documents").select(
+        F.lit("documents").alias("name"), F.lit("2.0.0").alias("version"), F.lit(sf).alias("source_path"), "num_samples", "sha256_checksum"
+    )
+    dataset_id = catalog.register_dataset(manifest, catalog.lineage_of(sf, "parquet", "", "2", []), path, "tester")
+    registry = spark.read.parquet(path)
+    counted = catalog.get_dataset(registry, dataset_id).select("dataset_id", "manifest.num_samples")
+    return catalog.get_lineage(registry, dataset_id).join(counted, "dataset_id").select(
+        "source_format", "pipeline_version", "num_samples"
+    )
+
+
 @query("register_and_get", "select 'documents' as name, (select count(*) from documents) as num_samples, 'parquet' as source_format, true as has_train_path")
 def _(spark, sf):
     path = new_path(spark, "registry")

@@ -135,10 +135,14 @@ def _bleu_toks(col: str) -> str:
     select round(case when least(coalesce(q1, 0), coalesce(q2, 0), coalesce(q3, 0), coalesce(q4, 0)) > 0
         then exp((ln(q1) + ln(q2) + ln(q3) + ln(q4)) / 4) * case when hyp > ref then 1.0 else exp(1 - ref / hyp) end else 0.0 end, 6)::double as bleu,
       round(case when hyp > ref then 1.0 else exp(1 - ref / hyp) end, 6)::double as brevity_penalty,
+      round(coalesce(q1, 0), 6)::double as precision_1, round(coalesce(q2, 0), 6)::double as precision_2, round(coalesce(q3, 0), 6)::double as precision_3,
+      round(coalesce(q4, 0), 6)::double as precision_4, round(coalesce(hyp / ref, 0), 6)::double as length_ratio,
       hyp::bigint as translation_length, ref::bigint as reference_length from s""",
 )
 def _(spark, sf):
-    return rounded(m.bleu(turn_pairs(spark, sf)))
+    found = m.bleu(turn_pairs(spark, sf))
+    each = {f"precision_{n}": F.col("precisions")[n - 1] for n in (1, 2, 3, 4)}
+    return rounded(found.withColumns(each).drop("precisions"))
 
 
 @query(

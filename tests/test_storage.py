@@ -271,3 +271,19 @@ def test_inferred_names_may_hold_type_words(spark, tmp_path):
     assert sorted(r["VOID_REASON"] for r in found) == ["x", "y"]
     first = next(r for r in found if r["VOID_REASON"] == "x")
     assert first["OBJECT<a"] is None and [v and float(v) for v in first["n"]["VOID"]] == [None, 1.5]
+
+
+def test_stream_alarm_keeps_periods_that_begin_late(spark, tmp_path):
+    import time as clock
+
+    where = tmp_path / "in"
+    where.mkdir()
+    for at, value in (("10:00:00", 1.0), ("09:55:00", 7.0), ("11:00:00", 0.0)):
+        one = spark.createDataFrame([("a", f"2024-01-01 {at}", value)], "k string, ts string, v double").withColumn("ts", F.to_timestamp("ts"))
+        one.coalesce(1).write.mode("append").parquet(str(where))
+        clock.sleep(1.1)
+    schema = spark.read.parquet(str(where)).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(where))
+    got = drain_to_table(monitor.streaming_alarm(stream, "k", "ts", "v", "sum", ">", 5.0, 1, "notBreaching"), "t").collect()
+    values = [r["value"] for r in sorted(got, key=lambda r: r["period"])]
+    assert values[:2] == [7.0, 1.0]
