@@ -32,7 +32,6 @@ _PIECE = re.compile(
     re.S | re.I,
 )
 _MARK = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
-_SPACE = re.compile(r"\s+")
 
 INLINE = set(
     "a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split()
@@ -124,7 +123,7 @@ def read_page(source: str) -> Page:
 
     def flush() -> None:
         nonlocal linked
-        text = _SPACE.sub(" ", "".join(pieces)).strip()
+        text = " ".join("".join(pieces).split())
         if text:
             items.append(Slot(tuple(labels), [len(texts)]))
             texts.append(text)
@@ -205,16 +204,16 @@ def fold(items: Iterable) -> list:
         keys.append(_key(item))
         again = isinstance(item, Tag) and item.label.startswith("/")
         while again:
-            again = False
+            again, last = False, keys[-1]
             for period in range(1, min(LONGEST_PERIOD, len(out) - 1) + 1):
-                before = out[-period - 1]
-                if isinstance(before, Group) and keys[-period - 1][1:] == tuple(keys[-period:]):
-                    for x, y in zip(before.body, out[-period:]):
+                earlier = keys[-period - 1]
+                if type(earlier) is tuple and earlier[-1] == last and earlier[1:] == tuple(keys[-period:]):
+                    for x, y in zip(out[-period - 1].body, out[-period:]):
                         _join(x, y)
                     del out[-period:], keys[-period:]
                     again = True
                     break
-                if 2 * period <= len(out) and keys[-period:] == keys[-2 * period : -period]:
+                if earlier == last and 2 * period <= len(out) and keys[-period:] == keys[-2 * period : -period]:
                     first, second = out[-2 * period : -period], out[-period:]
                     for x, y in zip(first, second):
                         _join(x, y)
