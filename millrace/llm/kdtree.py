@@ -58,7 +58,9 @@ def _key_bits(key: Column) -> Column:
 
 
 def _bin(x: Column, lo: float, width: float) -> Column:
-    return F.greatest(F.lit(0), F.least(F.lit(BINS - 1), F.floor((x - F.lit(lo)) / F.lit(width) * BINS).cast("int")))
+    # Points of other nodes may lie far outside, so the place is limited before it becomes a number.
+    place = (x - F.lit(lo)) / F.lit(width) * BINS
+    return F.floor(F.greatest(F.lit(0.0), F.least(F.lit(BINS - 1.0), place))).cast("int")
 
 
 def _walk(node: Node, dims: Mapping[str, Column], key: Column, leaf) -> Column:

@@ -129,6 +129,8 @@ class Model:
 def freeze(counts: pd.DataFrame, min_share: float = MIN_SHARE) -> Model:
     """The table of code lengths from (lang, code, n) rows; lang is learned as it is written."""
     langs = sorted(counts["lang"].unique())
+    if not langs:
+        return Model([], np.zeros(K**ORDER, np.int32), np.zeros((K, 0), np.float32))
     total = max(1, counts["n"].sum())
     # States of a longer order come after those of the shorter ones, which stay as fallbacks.
     cost = np.full((K, len(langs)), np.log(K))

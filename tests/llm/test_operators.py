@@ -484,7 +484,7 @@ def shards_of(docs, **how):
 
 def test_shards_are_even_and_keep_groups(spark):
     docs = sample(spark, "/root/testdata/sf0.01")
-    hot = spark.range(400).select((F.col("id") + 10_000).alias("doc_id"), F.lit("same text " * 50).alias("text"))
+    hot = spark.range(200).select((F.col("id") + 10_000).alias("doc_id"), F.lit("same text " * 50).alias("text"))
     placed, _ = shards_of(docs.select("doc_id", "text").union(hot), shards=16)
     found = rows(placed)
     loads, homes = Counter(), defaultdict(set)
