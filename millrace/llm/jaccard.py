@@ -23,9 +23,9 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.llm.common import fresh, materialise
+from millrace.llm.common import fresh, materialise, small_or_shuffled, temporary
 from millrace.llm.links import components
 
 _WORD = re.compile(rb"[^\x20\x09-\x0d]+")
@@ -36,7 +36,7 @@ BAND = 1.25
 # Sets of up to SMALL shingles use SEEDS independent cuts, as their blocks may all be empty.
 SMALL, SEEDS = 40, 3
 # Buckets with more open sets than this are not joined pair by pair.
-LARGE = 64
+LARGE = 16
 # Sets that a task compares with as many others.
 TILE = 500
 # A Bloom filter of the sets to verify is shipped up to this many bytes.
@@ -136,30 +136,43 @@ def _node(found: np.ndarray) -> int:
     return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(found.tobytes())).view(np.int64)))
 
 
+def _describe(width: int):
+    """(doc_id, text_key, text) rows to (doc_id, text_key, n, node)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, sizes, nodes = _Hashes(), [], []
+            for text in batch.column(2):
+                found = shingles(text.as_py(), hashes, width)
+                sizes.append(len(found))
+                nodes.append(_node(found) if len(found) else None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())],
+                names=["doc_id", "text_key", "n", "node"],
+            )
+
+    return run
+
+
 def _sketch(width: int, similarity: int):
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("keys", pa.list_(pa.int64()))]
-    )
+    """Texts to (key, node); a task sends the keys of equal sets once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
             hashes = _Hashes()
-            for part in range(0, batch.num_rows, 1000):
-                rows = batch.slice(part, 1000)
-                sizes, nodes, keys = [], [], []
-                for text in rows.column(2):
+            for part in range(0, batch.num_rows, 500):
+                keys, nodes, sizes = [np.zeros(0, np.int64)], [], []
+                for text in batch.slice(part, 500).column(0):
                     found = shingles(text.as_py(), hashes, width)
                     node = _node(found) if len(found) else None
-                    sizes.append(len(found))
-                    nodes.append(node)
-                    # A task sends the keys of equal sets once.
-                    keys.append(keys_of(found, similarity) if node is not None and node not in seen else ())
+                    if node is None or node in seen:
+                        continue
                     seen.add(node)
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), rows.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                    schema=schema,
-                )
+                    keys.append(keys_of(found, similarity))
+                    nodes.append(node)
+                    sizes.append(len(keys[-1]))
+                yield pa.RecordBatch.from_pydict({"key": np.concatenate(keys), "node": np.repeat(np.array(nodes, np.int64), sizes)})
 
     return run
 
@@ -234,16 +247,17 @@ class Verifier:
         near = pairs.join(a, "a").join(b, "b").filter(
             F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.similarity
         )
-        near = materialise(near, "candidates")
-        wanted = materialise(
-            near.select(F.col("text_a").alias("text_key")).union(near.select("text_b")).distinct(), "wanted"
-        )
-        sets = materialise(self._sets(wanted), "candidate-sets").dropDuplicates(["node"])
-        met = near.select("a", "b", "n_a", "n_b").join(sets.withColumnsRenamed({"node": "a", "found": "found_a"}), "a")
-        met = met.join(sets.withColumnsRenamed({"node": "b", "found": "found_b"}), "b")
-        both = F.size(F.array_intersect("found_a", "found_b"))
-        checked = met.select("a", "b", (both * 100 >= (F.col("n_a") + F.col("n_b") - both) * self.similarity).alias("_near"))
-        return materialise(checked.filter("_near").select("a", "b"), "similar")
+        with temporary(self.docs.sparkSession):
+            near = materialise(near, "candidates")
+            wanted = materialise(
+                near.select(F.col("text_a").alias("text_key")).union(near.select("text_b")).distinct(), "wanted"
+            )
+            sets = materialise(self._sets(wanted), "candidate-sets").dropDuplicates(["node"])
+            met = near.select("a", "b", "n_a", "n_b").join(sets.withColumnsRenamed({"node": "a", "found": "found_a"}), "a")
+            met = met.join(sets.withColumnsRenamed({"node": "b", "found": "found_b"}), "b")
+            both = F.size(F.array_intersect("found_a", "found_b"))
+            checked = met.select("a", "b", (both * 100 >= (F.col("n_a") + F.col("n_b") - both) * self.similarity).alias("_near"))
+            return materialise(checked.filter("_near").select("a", "b"), "similar", outlives=True)
 
     def rarest(self, nodes: DataFrame) -> DataFrame:
         """(key, node) of the shingles by which linked sets among ``nodes`` must meet.
@@ -302,43 +316,48 @@ class Verifier:
         return texts.mapInArrow(lambda batches: run(sift(batches)), "node long, found array<long>")
 
 
-def sketched(docs: DataFrame, width: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
-    """doc_id, text_key, set size n, node (digest of the set, null if empty) and join keys, in a written table."""
+def sketched(docs: DataFrame, width: int = SHINGLE, similarity: int = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """Two written tables: documents (doc_id, text_key, set size n, node: digest of the set, null if
+    empty), and the join keys that several sets have (key, node, leader: the key's first node)."""
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), F.col("text").cast("binary").alias("text"))
-    return materialise(
-        rows.mapInArrow(_sketch(width, similarity), "doc_id long, text_key long, n long, node long, keys array<long>"), "sketches"
-    )
+    described = materialise(rows.mapInArrow(_describe(width), "doc_id long, text_key long, n long, node long"), "documents")
+    # Texts are read once more instead of storing their keys, which are as large as the texts.
+    entries = rows.select("text").mapInArrow(_sketch(width, similarity), "key long, node long")
+    dealt = entries.repartition("key").sortWithinPartitions("key", "node")
+    return described, materialise(dealt.mapInArrow(_shared, "key long, node long, leader long"), "shared-keys")
 
 
-def linked_sets(docs: DataFrame, rows: DataFrame, width: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
-    """(node, comp) of every set that is linked to a different one, from ``rows`` of ``sketched``.
+def linked_sets(
+    docs: DataFrame, rows: DataFrame, shared: DataFrame, width: int = SHINGLE, similarity: int = SIMILARITY
+) -> DataFrame:
+    """(node, comp) of every set that is linked to a different one, from the tables of ``sketched``.
 
     First every set meets the leader with which it shares most keys.  Then only buckets that still
     hold sets of different components matter: up to LARGE sets meet each other, larger buckets are
     left out where the slack allows it, and the sets for which it does not meet by rare shingles.
     """
     verifier = Verifier(docs, rows, width, similarity)
-    entries = rows.select(F.explode("keys").alias("key"), "node").repartition("key").sortWithinPartitions("key", "node")
-    shared = materialise(entries.mapInArrow(_shared, "key long, node long, leader long"), "shared-keys")
-
-    votes = shared.filter("node <> leader").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("votes"))
+    # A leader that shares a few keys only is no likely partner; the second step misses nothing.
+    votes = shared.filter("node <> leader").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("votes"), F.min(_band("key")).alias("band"))
+    votes = votes.filter(F.col("votes") > _allowed("band", similarity) / 2)
     best = votes.groupBy("node").agg(F.max_by("leader", F.struct("votes", "leader")).alias("leader"))
     links = verifier.links(best.select(F.col("leader").alias("a"), F.col("node").alias("b")))
     comps = components(links)
 
-    def meet(opened: DataFrame) -> None:
-        """Link all sets of different components in the buckets of up to LARGE sets."""
+    def meet(opened: DataFrame, enough=None) -> None:
+        """Link sets of different components in the buckets of up to LARGE sets; ``enough`` sifts the pairs."""
         nonlocal links, comps
         x, y = (opened.filter(F.col("members") <= LARGE).select("key", F.col("node").alias(s), F.col("comp").alias(f"comp_{s}")) for s in "ab")
-        pairs = x.join(y, "key").filter("a < b and comp_a <> comp_b").select("a", "b").distinct()
-        more = verifier.links(pairs)
+        pairs = x.join(y, "key").filter("a < b and comp_a <> comp_b")
+        more = verifier.links((enough(pairs) if enough else pairs).select("a", "b").distinct())
         if more.limit(1).count():
             links = links.unionByName(more)
             comps = components(links)
 
     opened = materialise(_opened(shared.select("key", "node"), comps), "open-keys")
-    meet(opened)
-    tainted = materialise(_tainted(opened.filter(F.col("members") > LARGE), similarity), "tainted")
+    weights = materialise(_large_keys(opened, similarity), "large-keys")
+    meet(opened, lambda pairs: _agreeing(pairs, weights, similarity))
+    tainted = materialise(weights.filter("weight > allowed").select("node").distinct(), "tainted")
     if tainted.limit(1).count():
         opened = materialise(_opened(verifier.rarest(tainted), comps), "open-rare")
         meet(opened)
@@ -410,14 +429,38 @@ def _forest(nodes: np.ndarray, sets: list[np.ndarray], similarity: int) -> tuple
     return np.array(a, np.int64), np.array(b, np.int64)
 
 
-def _tainted(opened: DataFrame, similarity: int) -> DataFrame:
-    """Nodes with more large buckets in a band than the slack covers; the others lose no link without them."""
+def _band(key: str) -> Column:
+    return F.col(key).bitwiseAND(F.lit(255)).cast("int")
+
+
+def _allowed(band: str, similarity: int) -> Column:
+    """Blocks shared by many that the slack lets a set leave out in a band."""
     _, differences = bands(similarity)
-    band = F.col("key").bitwiseAND(F.lit(255)).cast("int")
-    allowed = F.element_at(F.array(*[F.lit(slack(d, similarity)[1]) for d in differences]), F.col("_band") + 1)
-    return opened.withColumn("_band", band).groupBy("node", "_band").agg(F.count(F.lit(1)).alias("weight")).filter(
-        F.col("weight") > allowed
-    ).select("node").distinct()
+    return F.element_at(F.array(*[F.lit(slack(d, similarity)[1]) for d in differences]), F.col(band) + 1)
+
+
+def _large_keys(opened: DataFrame, similarity: int) -> DataFrame:
+    """(node, band, weight, allowed): how many large buckets a node has in a band.
+
+    A node with no more of them than allowed loses no link without them.
+    """
+    large = opened.filter(F.col("members") > LARGE).withColumn("band", _band("key"))
+    return large.groupBy("node", "band").agg(F.count(F.lit(1)).alias("weight")).withColumn("allowed", _allowed("band", similarity))
+
+
+def _agreeing(pairs: DataFrame, weights: DataFrame, similarity: int) -> DataFrame:
+    """Pairs that agree in as many blocks as linked sets must.
+
+    Linked sets agree in more blocks than both parts of the slack together.  At most one part is
+    left out for its few shingles, and large buckets are not counted here, so what remains is more
+    than the other part less the large buckets of either set.
+    """
+    counted = pairs.withColumn("band", _band("key")).groupBy("a", "b", "band").agg(F.count(F.lit(1)).alias("agree"))
+    known = weights.select("node", "band", "weight")
+    for side in "ab":
+        counted = counted.join(known.withColumnsRenamed({"node": side, "weight": f"w_{side}"}), [side, "band"], "left")
+    left_out = F.least(F.coalesce("w_a", F.lit(0)), F.coalesce("w_b", F.lit(0)))
+    return counted.filter(F.col("agree") > _allowed("band", similarity) - left_out)
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
@@ -429,10 +472,12 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, similarity: int = SIM
     without words have an empty set and link with nothing.  Repeated rows and equal texts share a
     set and are linked through it, never in pairs.  Only doc_id and text are read.
     """
-    rows = sketched(docs, width, similarity)
-    comps = linked_sets(docs, rows, width, similarity)
-    small = rows.select("doc_id", "text_key", F.col("n").alias("n_shingles"), "node")
-    placed = materialise(small.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "placed")
+    with temporary(docs.sparkSession):
+        rows, shared = sketched(docs, width, similarity)
+        comps = linked_sets(docs, rows, shared, width, similarity)
+        small = rows.select("doc_id", "text_key", F.col("n").alias("n_shingles"), "node")
+        whole = small.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        placed = materialise(whole, "placed", outlives=True)
     firsts = placed.filter("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("_first"))
     return placed.join(firsts, "comp", "left").select(
         "doc_id", "text_key", "n_shingles", F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("_first")).alias("component_id"), "comp"
@@ -448,10 +493,11 @@ def one_of_each(docs: DataFrame, width: int = 5, similarity: int = 80) -> DataFr
     order = F.struct(F.col("doc_id").isNull().alias("u"), F.col("doc_id").alias("i"), F.col("text_key").alias("t"))
     stays = marked.groupBy("comp").agg(F.min(order).alias("o")).select(F.col("o.i").alias("_id"), F.col("o.t").alias("_text"))
     goes = marked.join(stays, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_text")), "left_anti").distinct()
+    goes = materialise(goes, "copies")
     own_id, own_text = fresh("gone_id", docs.columns), fresh("gone_text", docs.columns)
     gone = goes.select(F.col("doc_id").alias(own_id), F.col("text_key").alias(own_text))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col(own_id)) & (F.xxhash64("text") == F.col(own_text))
-    left = docs.join(gone, same, "left_anti")
+    left = docs.join(small_or_shuffled(gone), same, "left_anti")
     if marked.groupBy("doc_id", "text_key").count().filter("count > 1").limit(1).count():
         wordless = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
         left = left.filter(~wordless).dropDuplicates(["doc_id", "text"]).unionByName(left.filter(wordless))

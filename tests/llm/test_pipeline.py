@@ -10,7 +10,7 @@ from millrace.llm.common import materialise
 def tables(spark, tmp_path, documents):
     folder = str(tmp_path)
     documents.write.parquet(f"{folder}/documents.parquet")
-    spark.createDataFrame([(1, " ".join(f"long{i}" for i in range(100, 120)))], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    spark.createDataFrame([(1, " ".join(f"long{i}" for i in range(100, 300)))], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     spark.createDataFrame([(1, 0, 0), (8, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     return folder
 
