@@ -5,22 +5,29 @@ probability; a word without an arc takes the failure arc to the next shorter con
 weighs what the state's arcs leave over (absolute discounting, so every state's probabilities
 sum to one).  At the root every word has its additively smoothed probability.
 
-All words are counted and scored.  The root's arcs are a table as large as the vocabulary that
-meets the texts in a join; arcs of the longer contexts need a share of all tokens, which bounds
-the automaton that is shipped to the executors.
+Every n-gram of the training texts is an arc, so the automaton grows with the corpus and is never
+in one place.  Texts are cut into batches.  A batch sends the digests of its distinct n-grams with
+their counts to the parts that the digests fall into; a part adds up the counts of all batches and
+answers each of them.  One batch of those that have an n-gram owns it and counts it for its
+context, so the arcs of a context are counted in the next round, that of one word less.  The state
+after a word is the longest seen context of the words before it, so with the answers of all rounds
+a batch scores its tokens at once.
+
+``Automaton`` is the same model with its arcs in memory, for a corpus or shares that are small.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from millrace.llm.common import materialise
 from millrace.llm.lanes import Lanes, numbered_words, slices
@@ -29,7 +36,11 @@ from millrace.llm.lanes import Lanes, numbered_words, slices
 END = b" "
 ADD = 0.1
 DISCOUNT = 0.75
-# Least shares of all tokens: words inside the automaton (at most 1 / share of them), words of
+# N-grams of a size are dealt by digest into at least so many parts (fewer below PART_LEAST n-grams
+# each), and more of them where a part would have more than PART_MOST.
+PARTS = 1024
+PART_LEAST, PART_MOST = 1_000, 4_000_000
+# For ``Automaton`` only, least shares of all tokens: words inside the automaton (at most 1 / share of them), words of
 # two-word and of three-word arcs, and arcs themselves.
 WORD_SHARE = 1e-6
 PAIR_SHARE = 2e-5
@@ -221,70 +232,231 @@ def build(known: Known, arcs: pd.DataFrame) -> Automaton:
     )
 
 
-def score(docs: DataFrame, automaton: Automaton, vocabulary: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """``keep`` columns with n_tokens, n_known, train_tokens, base_score and score.
+def _pack(numbers: np.ndarray) -> bytes:
+    """Whole numbers by byte planes, compressed."""
+    planes = np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), numbers.itemsize).T
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack(data: bytes, size: int, kind: type = np.int64) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data, size * width, codec="zstd"), np.uint8).reshape(width, size)
+    return np.ascontiguousarray(planes.T).view(kind).reshape(size)
+
+
+def _extended(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Digest of the n-gram of a context and a word, by their digests."""
+    x = context * np.uint64(0x9E3779B97F4A7C15) + word
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class Batch:
+    """Tokens of some texts, and their n-grams by rising digest."""
+
+    def __init__(self, row: dict):
+        self.sizes = np.frombuffer(row["sizes"], np.int64)
+        ids = _unpack(row["ids"], row["n_tokens"], np.int32)
+        self.word = np.frombuffer(row["words"], np.uint64)[ids]
+        self.text_of = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        self.trained = np.frombuffer(row["trained"], np.bool_)[self.text_of]
+
+    def ends(self, size: int) -> np.ndarray:
+        """Places of the last words of all n-grams."""
+        return np.flatnonzero(self.text_of[size - 1 :] == self.text_of[: max(0, len(self.text_of) - size + 1)]) + size - 1
+
+    def grams(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct digests, places of the last words, and for each place the n-gram's rank."""
+        at = self.ends(size)
+        key = self.word[at - size + 1]
+        for back in range(size - 2, -1, -1):
+            key = _extended(key, self.word[at - back])
+        keys, rank = np.unique(key, return_inverse=True)
+        return keys, at, rank
+
+    def ask(self, batch: int, size: int, parts: int, longer: np.ndarray | None) -> pa.RecordBatch:
+        """A row for each part with digests, counts in training texts and owned arcs of the n-grams.
+
+        ``longer`` has the ranks of the n-grams of one word more that this batch owns.
+        """
+        keys, at, rank = self.grams(size)
+        n = np.bincount(rank[self.trained[at]], minlength=len(keys)).astype(np.int64)
+        arcs = np.zeros(len(keys), np.int64)
+        if longer is not None:
+            over, ends, of = self.grams(size + 1)
+            place = np.zeros(len(self.word), np.int64)
+            place[at] = rank
+            context = np.zeros(len(over), np.int64)
+            context[of] = place[ends - 1]
+            arcs = np.bincount(context[longer], minlength=len(keys)).astype(np.int64)
+        width = (1 << 64) // parts + 1
+        cuts = np.searchsorted(keys, np.array([k * width for k in range(1, parts)], np.uint64))
+        cuts = np.concatenate([[0], cuts, [len(keys)]])
+        full = np.flatnonzero(np.diff(cuts))
+        rows = [(k, cuts[k], cuts[k + 1]) for k in full]
+        return pa.RecordBatch.from_pydict({
+            "part": pa.array(full, pa.int32()),
+            "batch": pa.array([batch] * len(rows), pa.int64()),
+            "size": pa.array([size] * len(rows), pa.int32()),
+            "n_keys": pa.array([b - a for _, a, b in rows], pa.int64()),
+            "keys": pa.array([_pack(np.diff(keys[a:b], prepend=np.uint64(0))) for _, a, b in rows], pa.binary()),
+            "n": pa.array([_pack(n[a:b]) for _, a, b in rows], pa.binary()),
+            "arcs": pa.array([_pack(arcs[a:b]) for _, a, b in rows], pa.binary()),
+        })
+
+
+_ASKED = "part int, batch long, size int, n_keys long, keys binary, n binary, arcs binary"
+_ANSWER = "part int, batch long, size int, n_keys long, n binary, arcs binary, owned binary, total long, distinct long"
+
+
+def _answer(asked: pa.Table) -> pa.Table:
+    """Counts over all batches for each row of a part; the first batch that has a trained n-gram owns it."""
+    asked = asked.sort_by("batch")
+    sizes = asked.column("n_keys").to_numpy()
+    read = {c: asked.column(c).to_pylist() for c in ("keys", "n", "arcs")}
+    keys = np.concatenate([np.cumsum(_unpack(x, m, np.uint64), dtype=np.uint64) for x, m in zip(read["keys"], sizes)])
+    order = np.argsort(keys, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], np.diff(keys[order]) != 0]))
+    times = np.diff(np.append(first, len(keys)))
+
+    def summed(name: str) -> tuple[np.ndarray, np.ndarray]:
+        sums = np.add.reduceat(np.concatenate([_unpack(x, m) for x, m in zip(read[name], sizes)])[order], first)
+        whole = np.empty(len(keys), np.int64)
+        whole[order] = np.repeat(sums, times)
+        return sums, whole
+
+    (sums, n), (_, arcs) = summed("n"), summed("arcs")
+    owned = np.zeros(len(keys), np.int8)
+    owned[order[first]] = sums > 0
+    cuts = np.concatenate([[0], np.cumsum(sizes)])
+    spans = list(zip(cuts[:-1], cuts[1:]))
+    once = np.zeros(len(sizes), np.int64)
+    once[0] = 1
+    return pa.table({
+        "part": asked.column("part"), "batch": asked.column("batch"), "size": asked.column("size"), "n_keys": asked.column("n_keys"),
+        "n": pa.array([_pack(n[a:b]) for a, b in spans], pa.binary()),
+        "arcs": pa.array([_pack(arcs[a:b]) for a, b in spans], pa.binary()),
+        "owned": pa.array([_pack(owned[a:b]) for a, b in spans], pa.binary()),
+        "total": once * int(sums.sum()), "distinct": once * int((sums > 0).sum()),
+    })
+
+
+def _answered(answers: pa.Table, size: int, kinds: dict[str, type]) -> list[np.ndarray]:
+    """Columns of a batch's answers on n-grams of a size, by rising digest."""
+    rows = [r for r in answers.to_pylist() if r["size"] == size]
+    rows.sort(key=lambda r: r["part"])
+    return [np.concatenate([np.zeros(0, kind), *[_unpack(r[c], r["n_keys"], kind) for r in rows]]) for c, kind in kinds.items()]
+
+
+def _score(batch: Batch, answers: pa.Table, mass: float) -> tuple[np.ndarray, ...]:
+    """Known tokens, log10 of the root's probability and of the automaton's, summed over each text."""
+    counts = {size: _answered(answers, size, {"n": np.int64, "arcs": np.int64}) for size in (1, 2, 3)}
+
+    def spread(size: int) -> tuple[np.ndarray, np.ndarray]:
+        """For every place the count and the arcs of the n-gram that ends there; 0 where a text has none."""
+        _, at, rank = batch.grams(size)
+        out = np.zeros((2, len(batch.word)))
+        out[:, at] = [counts[size][0][rank], counts[size][1][rank]]
+        return out[0], out[1]
+
+    (n1, arcs1), (n2, arcs2), (n3, _) = spread(1), spread(2), spread(3)
+    root = (n1 + ADD) / mass
+    p = root
+    # Of a word after the word before it, then after the two before it; without a seen context as before.
+    for size, n, context, arcs in ((2, n2, n1, arcs1), (3, n3, n2, arcs2)):
+        at = batch.ends(size)
+        at = at[context[at - 1] > 0]
+        whole = context[at - 1]
+        longer = np.maximum(n[at] - DISCOUNT, 0.0) / whole + DISCOUNT * arcs[at - 1] / whole * p[at]
+        p = p.copy()
+        p[at] = longer
+    texts = len(batch.sizes)
+    return (
+        np.bincount(batch.text_of, n1 > 0, texts).astype(np.int64),
+        np.bincount(batch.text_of, np.log10(root), texts),
+        np.bincount(batch.text_of, np.log10(p), texts),
+    )
 
-    One walk per text through the automaton; what the root's arcs of all other words add is
-    joined from the vocabulary by word.  Null texts count as empty: they are their end alone.
-    """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(automaton)
-    rows = docs.select(*keep, F.col(text).cast("binary").alias("_text"))
-    added = "_row long, _n_tokens long, _inside long, _base double, _walked double, _words array<long>, _times array<int>"
-    schema = T.StructType([*docs.select(*keep).schema.fields, *T.StructType.fromDDL(added).fields])
+
+def _batches(docs: DataFrame, training: Column, keep: list[str], text: str) -> DataFrame:
+    """A written table with a row for each batch of texts: their ``keep`` columns, tokens and words."""
+    rows = docs.select(*keep, F.coalesce(training, F.lit(False)).alias("_trained"), F.col(text).cast("binary").alias("_text"))
+    kept = T.ArrayType(T.StructType(docs.select(*keep).schema.fields))
+    schema = T.StructType([T.StructField("kept", kept), *T.StructType.fromDDL("batch long, n_tokens long, sizes binary, ids binary, words binary, trained binary").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = shared.value
-        row = uuid.uuid4().int >> 66 & ~0xFFFFFFFF  # a task numbers its rows from a place of its own
-        for batch in slices(batches, len(keep)):
-            ids, sizes, words = numbered_words(batch.column(len(keep)), END)
-            hashes = _hashes(words)
-            known_id = found.known.ids(hashes)
-            token = known_id[ids]
-            text_of = np.repeat(np.arange(len(sizes)), sizes)
-            inside = token >= 0
-            paid = found.walk(token, sizes)
-            base = np.zeros(len(token))
-            base[inside] = found.root_logp[token[inside]]
-            outside = np.flatnonzero(~inside)
-            pair, times = np.unique(text_of[outside] * len(words) + ids[outside], return_counts=True)
-            offsets = np.searchsorted(pair // max(1, len(words)), np.arange(len(sizes) + 1)).astype(np.int32)
+        number = uuid.uuid4().int >> 66 & ~0xFFFFFFFF  # a task numbers its batches from a place of its own
+        for batch in slices(batches, len(keep) + 1):
+            ids, sizes, words = numbered_words(batch.column(len(keep) + 1), END)
+            own = pa.StructArray.from_arrays(batch.columns[: len(keep)], names=keep)
+            trained = np.array(batch.column(len(keep)).to_pylist(), np.bool_)
             yield pa.RecordBatch.from_arrays(
                 [
-                    *batch.columns[: len(keep)],
-                    pa.array(row + np.arange(len(sizes))),
-                    pa.array(sizes),
-                    pa.array(np.bincount(text_of, inside, len(sizes)).astype(np.int64)),
-                    pa.array(np.bincount(text_of, base, len(sizes))),
-                    pa.array(np.bincount(text_of, paid, len(sizes))),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes[pair % max(1, len(words))])),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(times.astype(np.int32))),
+                    pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), own), pa.array([number]), pa.array([len(ids)]),
+                    *[pa.array([x], pa.binary()) for x in (sizes.tobytes(), _pack(ids), _hashes(words).tobytes(), trained.tobytes())],
                 ],
                 names=schema.names,
             )
-            row += len(sizes)
-
-    walked = materialise(rows.mapInArrow(run, schema), "walked")
-    known = automaton.known
-    other = walked.select("_row", F.explode(F.arrays_zip("_words", "_times")).alias("w")).select("_row", F.col("w._words").alias("word"), F.col("w._times").alias("times"))
-    met = other.join(vocabulary, "word", "left")
-    n = F.coalesce("n", F.lit(0))
-    rest = met.groupBy("_row").agg(
-        F.sum(F.col("times") * F.log10((n + F.lit(ADD)) / F.lit(known.mass))).alias("_rest"),
-        F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("_more"),
-    )
-    whole = walked.drop("_words", "_times").join(rest, "_row", "left")
-    added = F.coalesce("_rest", F.lit(0.0))
-    return whole.select(
-        *keep, F.col("_n_tokens").alias("n_tokens"), (F.col("_inside") + F.coalesce("_more", F.lit(0))).alias("n_known"),
-        F.lit(known.total).cast("long").alias("train_tokens"), (F.col("_base") + added).alias("base_score"),
-        (F.col("_walked") + added).alias("score"),
-    )
+            number += 1
 
+    return materialise(rows.mapInArrow(run, schema), "token-batches")
 
-def train_and_score(docs: DataFrame, training: Column, keep: list[str]) -> DataFrame:
-    """Scores of all texts by a model of the rows where ``training`` holds."""
-    learned = docs.filter(training)
-    vocabulary = count_words(learned)
-    known = known_words(vocabulary)
-    return score(docs, build(known, count_arcs(learned, known)), vocabulary, keep)
+
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a table written inside go when it is written, not when the driver collects its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def train_and_score(docs: DataFrame, training: Column, keep: list[str], text: str = "text") -> DataFrame:
+    """``keep`` columns of all texts with n_tokens, n_known, train_tokens, base_score and score, by a
+    model of all words, pairs and triples of the rows where ``training`` holds.
+
+    Null texts count as empty: they are their end alone.
+    """
+    batches = _batches(docs, training, keep, text)
+    tokens = batches.drop("kept")
+    whole = batches.agg(F.sum("n_tokens")).first()[0] or 0
+    parts = max(1, min(PARTS, whole // PART_LEAST), -(-whole // PART_MOST))
+
+    def first(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                yield Batch(row).ask(row["batch"], 3, parts, None)
+
+    def following(size: int):
+        def run(own: pa.Table, answers: pa.Table) -> pa.Table:
+            (owned,) = _answered(answers, size + 1, {"owned": np.int8})
+            row = own.to_pylist()[0]
+            return pa.Table.from_batches([Batch(row).ask(row["batch"], size, parts, np.flatnonzero(owned))])
+
+        return run
+
+    asked, found = tokens.mapInArrow(first, _ASKED), []
+    for size in (3, 2, 1):
+        with _shuffles_removed(docs.sparkSession):
+            found.append(materialise(asked.groupBy("part").applyInArrow(_answer, _ANSWER), f"answers-{size}"))
+        if size > 1:
+            owned = found[-1].select("part", "batch", "size", "n_keys", "owned")
+            asked = tokens.groupBy("batch").cogroup(owned.groupBy("batch")).applyInArrow(following(size - 1), _ASKED)
+    total, distinct = (int(x or 0) for x in found[-1].agg(F.sum("total"), F.sum("distinct")).first())
+    mass = total + ADD * (distinct + 1)
+    schema = T.StructType([*docs.select(*keep).schema.fields, *T.StructType.fromDDL("n_tokens long, n_known long, train_tokens long, base_score double, score double").fields])
+
+    def last(own: pa.Table, answers: pa.Table) -> pa.Table:
+        kept = own.column("kept").combine_chunks().flatten()
+        batch = Batch(own.drop_columns("kept").to_pylist()[0])
+        known, base, score = _score(batch, answers, mass)
+        columns = [*kept.flatten(), batch.sizes, known, np.full(len(known), total), base, score]
+        return pa.Table.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], names=schema.names)
+
+    answers = found[0].unionByName(found[1]).unionByName(found[2]).select("part", "batch", "size", "n_keys", "n", "arcs")
+    return batches.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(last, schema)

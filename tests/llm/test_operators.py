@@ -466,6 +466,32 @@ def test_automaton_sums_to_one_and_equals_backoff(spark):
         assert (10**paid).sum() == pytest.approx(1.0)
 
 
+def test_lm_equals_backoff_over_all_ngrams(spark, monkeypatch):
+    """Rare pairs and triples count at any size: 60,000 other tokens make them less than 2e-5 of all."""
+    texts = [f"rare{i % 40} pair{i % 7} word{i % 3} rare{i % 5}" for i in range(60)] + [" ".join(f"f{k * i % 97}" for k in range(200)) for i in range(300)]
+    held = ["rare1 pair1 word1 new rare1 pair1", "f1 f2 rare3 pair3", "", "new"]
+    docs = spark.createDataFrame([(i, t, i < 360) for i, t in enumerate(texts + held)], "doc_id long, text string, trained boolean").repartition(5)
+    monkeypatch.setattr(lm, "PART_LEAST", 5_000, raising=False)
+    tokens = {i: [*t.split(), " "] for i, t in enumerate(texts + held)}
+    grams = [Counter(tuple(own[k : k + size]) for i, own in tokens.items() if i < 360 for k in range(len(own) - size + 1)) for size in (1, 2, 3)]
+    arcs = Counter(g[:-1] for size in (1, 2) for g in grams[size])
+    total = sum(grams[0].values())
+
+    def p(context, word):
+        if not context:
+            return (grams[0][(word,)] + 0.1) / (total + 0.1 * (len(grams[0]) + 1))
+        n = grams[len(context) - 1][context]
+        if not n:
+            return p(context[1:], word)
+        return max(grams[len(context)][(*context, word)] - 0.75, 0) / n + 0.75 * arcs[context] / n * p(context[1:], word)
+
+    found = rows(lm.train_and_score(docs, F.col("trained"), ["doc_id"]))
+    assert len(found) == 364
+    for r in found:
+        own = tokens[r["doc_id"]]
+        assert r["score"] == pytest.approx(sum(math.log10(p(tuple(own[max(0, k - 2) : k]), w)) for k, w in enumerate(own)), rel=1e-9)
+
+
 def test_lm_without_training_rows(spark, odd_documents):
     found = rows(lm.train_and_score(odd_documents, F.lit(False), ["doc_id"]))
     assert len(found) == 13 and all(r["n_known"] == 0 and r["train_tokens"] == 0 and math.isfinite(r["score"]) for r in found)
