@@ -17,6 +17,7 @@ import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -59,7 +60,8 @@ ASIDE_WORDS = set(
 MAIN_WORDS = set("article main content post entry story maincontent articlebody storybody postbody".split())
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 LONGEST_PERIOD = 24
-# A slot whose text never changes on at least so many pages belongs to the template.
+# A slot outside of article and main parts whose text never changes on at least so many pages with
+# different articles belongs to the template.
 SAME_PAGES = 5
 
 
@@ -74,6 +76,8 @@ class Slot:
     links: int = 0
     same: int | None = None
     optional: bool = False
+    # Digests of the articles it was the same with, the least SAME_PAGES of them.
+    articles: list[int] = field(default_factory=list)
 
     key = "#"
 
@@ -270,6 +274,7 @@ def _add(known, other):
     known.optional |= other.optional
     for x, y in zip(_slots([known]), _slots([other])):
         x.same = y.same if not x.pages else x.same if x.same == y.same or not y.pages else None
+        x.articles = sorted({*x.articles, *y.articles})[:SAME_PAGES] if x.same is not None else []
         x.pages, x.chars, x.links = x.pages + y.pages, x.chars + y.chars, x.links + y.links
     return known
 
@@ -291,11 +296,14 @@ def generalise(wrapper: list | None, other: list) -> list:
 
 def observe(page: Page) -> list:
     """The page's items as a wrapper of one page."""
-    for slot in _slots(page.items):
+    slots = [(s, _region(s.path)) for s in _slots(page.items)]
+    best = max((r for _, r in slots), default=0)
+    article = zlib.crc32("\n".join(page.texts[i] for i in sorted(i for s, r in slots if r == best for i in s.places)).encode("utf-8", "replace"))
+    for slot, region in slots:
         text = [page.texts[i] for i in slot.places]
         slot.pages, slot.chars, slot.links = 1, sum(map(len, text)), sum(page.links[i] for i in slot.places)
         slot.same = zlib.crc32("\n".join(text).encode("utf-8", "replace"))
-        slot.places = []
+        slot.places, slot.articles = [], [article] if region == 1 else []
     return page.items
 
 
@@ -305,7 +313,7 @@ def dump(items: list) -> str:
             return [x.label, x.optional]
         if isinstance(x, Group):
             return ["+", x.optional, [plain(y) for y in x.body]]
-        return ["#", x.optional, list(x.path), x.pages, x.chars, x.links, x.same]
+        return ["#", x.optional, list(x.path), x.pages, x.chars, x.links, x.same, x.articles]
 
     return json.dumps([plain(x) for x in items], ensure_ascii=False, separators=(",", ":"))
 
@@ -315,7 +323,7 @@ def load(text: str) -> list:
         if x[0] == "+":
             return Group([item(y) for y in x[2]], x[1])
         if x[0] == "#":
-            return Slot(tuple(x[2]), [], x[3], x[4], x[5], x[6], x[1])
+            return Slot(tuple(x[2]), [], x[3], x[4], x[5], x[6], x[1], x[7])
         return Tag(x[0], x[1])
 
     return [item(x) for x in json.loads(text)]
@@ -330,6 +338,7 @@ def expression(items: list) -> str:
     return "".join(out)
 
 
+@lru_cache(1 << 16)
 def _region(path: tuple[str, ...]) -> int:
     """0 no article text, 1 no sign, 2 in a main part, 3 in an article."""
     level, heading = 1, bool(path) and path[-1].split(".")[0] in HEADINGS
@@ -354,9 +363,9 @@ def article_slots(wrapper: list) -> set[int]:
     changing = any(s.same is None and s.pages > 1 for s in slots)
     out = set()
     for s in slots:
-        template = changing and s.same is not None and s.pages >= SAME_PAGES
-        linked = _region(s.path) == 1 and 2 * s.links > s.chars
-        if not template and not linked:
+        template = changing and s.same is not None and len(s.articles) >= SAME_PAGES
+        linked = 2 * s.links > s.chars
+        if _region(s.path) != 1 or not template and not linked:
             out.add(id(s))
     return out
 
@@ -370,7 +379,7 @@ def extract(wrapper: list, page: Page, good: set[int]) -> str:
         theirs = list(_slots([known])) if known is not None else []
         for k, slot in enumerate(_slots([own])):
             region = _region(slot.path)
-            if region and (known is None or id(theirs[k]) in good):
+            if region > 1 or region and (known is None or id(theirs[k]) in good):
                 chosen += [(i, region) for i in slot.places]
     best = max((r for _, r in chosen), default=0)
     return "\n".join(page.texts[i] for i, r in sorted(chosen) if r == best)

@@ -266,6 +266,19 @@ def test_constant_text_of_a_plain_host_is_template(spark):
     assert {r["text"] for r in rows(wrappers.main_text(table, ["page_id"]))} == {f"Story {n} goes on" for n in range(8)}
 
 
+def test_shared_text_of_articles_and_copies_is_kept(spark):
+    shared = "<h2>Summary</h2><ul><li>one</li><li>two</li></ul><p>Until next time</p>"
+    own = [(n, "http://a.example/", f"<body><p>Site</p><article><h1>Title {n}</h1><p>Story {n}</p>{shared}</article></body>") for n in range(8)]
+    # Copies of one page, and other pages, of a host without a sign of the article.
+    copies = [(100 + n, "http://b.example/", f"<body><h1>Title</h1><p>Story</p>{shared}</body>") for n in range(6)]
+    others = [(200 + n, "http://b.example/", f"<body><h1>Other {n}</h1><p>Tale {n}</p></body>") for n in range(3)]
+    table = spark.createDataFrame(own + copies + others, "page_id long, url string, html string").repartition(3)
+    ends = "\nSummary\none\ntwo\nUntil next time"
+    for r in rows(wrappers.main_text(table, ["page_id"])):
+        n = r["page_id"]
+        assert r["text"] == (f"Title {n}\nStory {n}{ends}" if n < 100 else f"Title\nStory{ends}" if n < 200 else f"Other {n - 200}\nTale {n - 200}")
+
+
 def test_wrapper_expression_has_optional_and_repeated_groups():
     whole = None
     for _, _, source in pages("article")[:4]:
