@@ -19,6 +19,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from millrace.llm.common import materialise
+
 ORDER = 3
 # Contexts of the full order below this share of all training symbols are not states of their own,
 # so there are at most 1 / MIN_SHARE of them.
@@ -126,22 +128,32 @@ class Model:
         return out
 
 
-def freeze(counts: pd.DataFrame, min_share: float = MIN_SHARE) -> Model:
-    """The table of code lengths from (lang, code, n) rows; lang is learned as it is written."""
-    langs = sorted(counts["lang"].unique())
+def count_orders(counts: DataFrame, min_share: float = MIN_SHARE) -> list[DataFrame]:
+    """(lang, code, n) for contexts of 0 to ORDER symbols; those of ORDER symbols have ``min_share`` of all.
+
+    A language has at most K ** ORDER rows of each shorter order, and K / min_share of the full one.
+    """
+    whole = counts.agg(F.sum("n")).first()[0] or 0
+    context = F.expr(f"code div {K}").alias("_context")
+    heavy = counts.groupBy(context).agg(F.sum("n").alias("_whole")).filter(F.col("_whole") >= min_share * max(1, whole))
+    code = lambda order: (F.col("code") % K ** (order + 1)).alias("code")
+    shorter = [counts.groupBy("lang", code(order)).agg(F.sum("n").alias("n")) for order in range(ORDER)]
+    full = counts.select("*", context).join(heavy, "_context", "left_semi")
+    return [*shorter, full.select("lang", "code", "n")]
+
+
+def freeze(orders: list[pd.DataFrame]) -> Model:
+    """The table of code lengths from (lang, code, n) rows of each order; lang is learned as it is written."""
+    langs = sorted(orders[0]["lang"].unique())
     if not langs:
         return Model([], np.zeros(K**ORDER, np.int32), np.zeros((K, 0), np.float32))
-    total = max(1, counts["n"].sum())
     # States of a longer order come after those of the shorter ones, which stay as fallbacks.
     cost = np.full((K, len(langs)), np.log(K))
     state_of = np.zeros(1, np.int64)
     for order in range(ORDER + 1):
-        grams = counts.assign(code=counts["code"] % K ** (order + 1)).groupby(["lang", "code"], sort=True)["n"].sum().reset_index()
+        grams = orders[order].sort_values(["lang", "code"], ignore_index=True)
         context = (grams["code"] // K).to_numpy()
-        heavy = grams["n"].groupby(context).sum()
-        if order == ORDER:
-            heavy = heavy[heavy >= min_share * total]
-        kept = heavy.index.to_numpy(dtype=np.int64)
+        kept = np.unique(context).astype(np.int64)
         shorter = state_of[np.arange(K**order) % K ** max(0, order - 1)]
         own = cost.reshape(-1, K, len(langs))[shorter[kept]].reshape(-1, len(langs))
         local = np.full(K**order, -1)
@@ -163,9 +175,10 @@ def freeze(counts: pd.DataFrame, min_share: float = MIN_SHARE) -> Model:
 
 
 def train(docs: DataFrame, min_share: float = MIN_SHARE) -> Model:
-    """Model of all rows with text and lang.  The counts that reach the driver are distinct runs of
-    ORDER + 1 symbols per language, a number that the alphabet bounds and not the corpus."""
-    return freeze(count_contexts(docs).toPandas(), min_share)
+    """Model of all rows with text and lang.  The runs are counted by order and sifted before they
+    reach the driver; see ``count_orders`` for their number, which grows with that of the languages."""
+    counts = materialise(count_contexts(docs), "contexts")
+    return freeze([rows.toPandas() for rows in count_orders(counts, min_share)])
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:

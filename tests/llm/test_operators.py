@@ -343,6 +343,23 @@ def test_code_lengths_equal_a_plain_context_tree(spark):
             assert model.lengths([text.encode()])[0, number] == pytest.approx(bits, rel=1e-5)
 
 
+def test_rare_contexts_stay_in_spark(spark):
+    """Only runs whose context has the share reach the driver; the shorter orders are whole."""
+    docs = spark.createDataFrame([("x", "abab " * 200 + "qzjk wvxp"), ("y", "abba " * 200)], "lang string, text string")
+    counts = [r.asDict() for r in langid.count_contexts(docs).collect()]
+    total = sum(r["n"] for r in counts)
+    found = langid.count_orders(langid.count_contexts(docs), 0.01)
+    for order, part in enumerate(found):
+        want, context = Counter(), Counter()
+        for r in counts:
+            want[r["lang"], r["code"] % langid.K ** (order + 1)] += r["n"]
+            context[r["code"] // langid.K] += r["n"]
+        if order == langid.ORDER:
+            want = {k: n for k, n in want.items() if context[k[1] // langid.K] >= 0.01 * total}
+            assert len(want) < len(counts)
+        assert {(r["lang"], r["code"]): r["n"] for r in part.collect()} == want
+
+
 def test_language_of_odd_rows(spark, odd_documents):
     model = langid.train(odd_documents)
     found = rows(langid.predict(odd_documents, model, ["doc_id", "text"]))
