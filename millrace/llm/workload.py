@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import attribution, decontaminate, digest, jaccard, kdtree, langid, lm, mixing, toxicity, wrappers
+from millrace.llm import attribution, decontaminate, digest, infill, jaccard, kdtree, langid, linefreq, lm, mixing, toxicity, whitening, wrappers
 from millrace.llm.common import crc_bucket, documents, materialise, numbered, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +156,91 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered(placed, "shard", ["doc_id", "key"], "slot", rows.count()).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+_LINE_KEY = r"""array_to_string(regexp_extract_all(translate(regexp_replace(l, '[0-9]', '0', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+'), ' ')"""
+
+
+@query(
+    "op11_line_frequency",
+    rf"""
+    with docs as (
+      select row_number() over () as r, doc_id, source, coalesce(text, '') as t,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+    lines as (
+      select r, source, t, l, len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) as words, {_LINE_KEY} as key
+      from (select r, source, t, unnest(string_split(t, chr(10))) as l from docs)
+      where regexp_matches(l, '[^\x20\x09-\x0D]')),
+    repeats as (select r, sum(n - 1) as n_dup_lines from (select r, l, count(*) as n from lines group by r, l) group by r),
+    windows as (
+      select r, i, array_to_string(w[i : i + 7], ' ') as k
+      from (select r, w, unnest(range(1, len(w) - 6)) as i from docs where len(w) >= 8)),
+    twice as (select r, i from (select r, i, count(*) over (partition by r, k) as n from windows) where n > 1),
+    inside as (select r, count(distinct p) as n_repeat_words from (select r, unnest(range(i, i + 8)) as p from twice) group by r),
+    hosts as (select source, count(distinct t) as host_docs from docs group by source),
+    frequent as (
+      select f.source, f.key from (select source, key, count(distinct t) as n from lines group by source, key) f
+      join hosts h on f.source is not distinct from h.source where n >= {linefreq.LINE_DOCS} and n >= {linefreq.LINE_SHARE} * host_docs),
+    gone as (
+      select r, sum(words) as removed_words, count(*) as removed_lines
+      from lines l join frequent f on l.source is not distinct from f.source and l.key = f.key group by r),
+    base as (
+      select r, doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) as bigint) as word_chars,
+             cast(len(regexp_extract_all(t, '[#*$%&|<>]')) as bigint) as n_symbols from docs),
+    counted as (
+      select b.*, cast(coalesce(n_dup_lines, 0) as bigint) as n_dup_lines, cast(coalesce(n_repeat_words, 0) as bigint) as n_repeat_words,
+             cast(coalesce(removed_lines, 0) as bigint) as removed_lines, cast(n_words - coalesce(removed_words, 0) as bigint) as left_words
+      from base b left join repeats using (r) left join inside using (r) left join gone using (r)),
+    judged as (select *, n_words < {linefreq.LEAST_WORDS} or 100 * n_repeat_words > {linefreq.MOST_REPEATED} * n_words as base_failed from counted)
+    select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, removed_lines, left_words,
+           not base_failed and left_words >= {linefreq.LEFT_SHARE} * n_words and left_words >= {linefreq.LEAST_WORDS} as kept
+    from judged""",
+)
+def op11_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every document and whether enough of it is left without the frequent lines of its source."""
+    docs = documents(spark, sf_dir).select("doc_id", "text", "source")
+    rows = linefreq.line_rules(docs, cleaned=False)
+    return rows.select(
+        "doc_id", *[f"quality.{c}" for c in linefreq.COUNTS], "quality.base_failed",
+        F.size("quality.removed").cast("long").alias("removed_lines"), "quality.left_words", "quality.kept",
+    )
+
+
+@query(
+    "op12_fill_in_middle",
+    """
+    with docs as (
+      select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as u,
+             sha256('1:' || coalesce(cast(doc_id as varchar), '')) as k from documents),
+    keys as (
+      select *, len(u) as n, cast('0x' || k[1:8] as bigint) as h1, cast('0x' || k[9:16] as bigint) as h2,
+             cast('0x' || k[17:24] as bigint) as h3, cast('0x' || k[25:32] as bigint) as h4 from docs),
+    cuts as (
+      select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+             case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain'
+                  when h4 % 100 < 20 then 'spm' else 'psm' end as form from keys),
+    parts as (
+      select *, array_to_string(u[1 : a], '') as prefix, array_to_string(u[a + 1 : b], '') as middle, array_to_string(u[b + 1 : n], '') as suffix from cuts)
+    select doc_id, cast(n as bigint) as n, form,
+           case when form <> 'plain' then cast(length(prefix) as bigint) end as prefix_chars,
+           case when form <> 'plain' then cast(length(middle) as bigint) end as middle_chars,
+           sha256(case form when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                            when 'spm' then '<S>' || suffix || '<P>' || prefix || '<M>' || middle else t end) as output_sha256,
+           sha256(t) as restored_sha256
+    from parts""",
+)
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix, suffix and middle of every document by cuts that its id decides, and the text rebuilt from them."""
+    rows = infill.infill(documents(spark, sf_dir).select("doc_id", "text"))
+    back = infill.restored("infill.output", "infill.form")
+    return rows.select(
+        "doc_id", "infill.n", "infill.form", "infill.prefix_chars", "infill.middle_chars",
+        F.sha2("infill.output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
+@query("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four whitened components of every embedding, fitted on all distinct vectors."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), ["vec_id"])
