@@ -21,14 +21,14 @@ class Numbers(dict):
         return number
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
-    """Parts of batches whose texts (a binary column) have about TOGETHER_BYTES."""
+def slices(batches: Iterator[pa.RecordBatch], text: int, together: int = TOGETHER_BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of batches whose texts (a binary column) have about ``together`` bytes."""
     for batch in batches:
         sizes = np.array([0 if v.as_py() is None else len(v.as_buffer()) for v in batch.column(text)], np.int64)
         first = 0
         while first < batch.num_rows:
             last, size = first + 1, sizes[first]
-            while last < batch.num_rows and size + sizes[last] <= TOGETHER_BYTES:
+            while last < batch.num_rows and size + sizes[last] <= together:
                 size += sizes[last]
                 last += 1
             yield batch.slice(first, last - first)

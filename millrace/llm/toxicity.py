@@ -4,8 +4,9 @@ Documents carry the labels, so tokens are labelled first: a feature of a word (t
 a prefix or a suffix) is telling when the documents it occurs in are toxic far more often than
 chance allows, and a token of a toxic document with such a feature is toxic.  A chain with two
 labels is trained on windows around these tokens and around others.  Forward-backward marginals
-of whole texts give the offending spans, and their largest and their sum give the score of the
-document, calibrated on the labels.
+of whole texts give the offending spans, and the largest marginal and the sum inside the spans
+give the score of the document, calibrated on the labels.  Words outside the spans add nothing, so
+clean text does not raise a score however much of it there is.
 """
 
 from __future__ import annotations
@@ -30,6 +31,10 @@ PURITY, MARGIN = 0.9, 3.0
 REACH, WINDOWS = 6, 2
 BITS = 18
 SLOTS = 9
+# Texts that are walked together, and words whose emissions a task remembers.
+TOGETHER_BYTES, KNOWN_WORDS = 2 << 20, 100_000
+# The highest score of a text without a span.
+SPANLESS = 0.5 - 1e-9
 _EDGES = b".,;:!?()[]{}<>\"'|*_-~`"
 _FLOOR, _CEIL = 1e-9, 1e9
 
@@ -83,18 +88,20 @@ class Chain:
         return forward * backward
 
     def summary(self, odds: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Per sequence: log of the largest odds, and log of 1 plus the expected number of toxic words."""
+        """Per sequence: log of the largest odds, and log of 1 plus the expected number of toxic words in spans."""
         out = np.zeros((len(sizes), 2))
         out[:, 0] = np.log(_FLOOR)
         filled = np.flatnonzero(sizes)
         if len(filled):
             starts = (np.cumsum(sizes) - sizes)[filled]
             out[filled, 0] = np.log(np.maximum(np.maximum.reduceat(odds, starts), _FLOOR))
-            out[filled, 1] = np.log1p(np.add.reduceat(odds / (1 + odds), starts))
+            out[filled, 1] = np.log1p(np.add.reduceat(np.where(odds >= 1, odds / (1 + odds), 0.0), starts))
         return out
 
     def scores(self, summary: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.scale[0] + summary @ self.scale[1:], -500, 500)))
+        found = 1 / (1 + np.exp(-np.clip(self.scale[0] + summary @ self.scale[1:], -500, 500)))
+        # A chain that saw one kind of label only scores every text alike.
+        return np.where((summary[:, 0] < 0) & self.scale[1:].any(), np.minimum(found, SPANLESS), found)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_DOCS) -> DataFrame:
@@ -223,10 +230,22 @@ def _calibrate(summary: np.ndarray, toxic: np.ndarray, decay: float = 1e-2) -> n
     return w
 
 
+def _remembered(chain: Chain, words: list[bytes], known: dict[bytes, float]) -> np.ndarray:
+    """Emissions of distinct words; those of up to KNOWN_WORDS and the words at hand are kept for the next slice."""
+    if len(known) > KNOWN_WORDS:
+        known.clear()
+    new = [w for w in words if w not in known]
+    for first in range(0, len(new), 10_000):
+        some = new[first : first + 10_000]
+        known.update(zip(some, chain.emissions(some).tolist()))
+    return np.fromiter(map(known.__getitem__, words), np.float64, len(words))
+
+
 def _summaries(batches: Iterator[pa.RecordBatch], chain: Chain, text: int):
-    for batch in slices(batches, text):
+    known: dict[bytes, float] = {}
+    for batch in slices(batches, text, TOGETHER_BYTES):
         ids, sizes, words = numbered_words(batch.column(text))
-        emission = chain.emissions(words)
+        emission = _remembered(chain, words, known)
         odds = chain.marginals(emission[ids] if len(words) else np.zeros(0), sizes)
         yield batch, sizes, odds
 
