@@ -17,7 +17,7 @@ from __future__ import annotations
 import math
 import re
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from millrace.llm.common import fresh, materialise, small_or_shuffled, temporary
 from millrace.llm.links import components
 
-_WORD = re.compile(rb"[^\x20\x09-\x0d]+")
+_GAP = re.compile(rb"[\x20\x09-\x0d]")
 SHINGLE = 4
 SIMILARITY = 85
 # Each band of set sizes reaches to this multiple of its smallest size.
@@ -52,23 +52,71 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = found = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
-def shingles(text: bytes | None, hashes: dict, width: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct hashes of the word shingles; fewer words than ``width`` are one shingle."""
-    words = _WORD.findall(text.lower()) if text else []
-    if not words:
-        return np.zeros(0, np.uint64)
-    one = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    reach = min(width, len(words))
-    whole = np.full(len(words) - reach + 1, reach, np.uint64)
-    for k in range(reach):
-        whole = (whole * _ODD) ^ _mixed(one[k : k + len(whole)] + np.uint64(k))
-    return np.unique(_mixed(whole))
+# A word is hashed as a polynomial of one random number for each byte value, whose base is _ODD.
+_BYTES = _mixed(np.arange(1, 257, dtype=np.uint64) * _ODD)
+_SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+# Bytes that are hashed in one go; a cut never falls into a word.
+GO_BYTES = 1 << 19
+
+
+@lru_cache(maxsize=1)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse."""
+    up, down = np.full(size, _ODD), np.full(size, np.uint64(pow(int(_ODD), -1, 1 << 64)))
+    up[0] = down[0] = 1
+    return np.cumprod(up), np.cumprod(down)
+
+
+def word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word in order, and the byte where it starts."""
+    hashes, places, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+    while at < len(text):
+        end = at + GO_BYTES
+        if end < len(text):
+            gap = _GAP.search(text, end)
+            end = gap.start() if gap else len(text)
+        data = np.frombuffer(text, np.uint8, min(end, len(text)) - at, at)
+        size = max(GO_BYTES, 1 << (len(data) - 1).bit_length())
+        up, down = _powers(size)
+        inside = np.zeros(len(data) + 2, np.int8)
+        inside[1:-1] = ~_SPACE[data]
+        edges = np.diff(inside)
+        starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+        upto = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_BYTES[data] * up[: len(data)], out=upto[1:])
+        hashes.append((upto[ends] - upto[starts]) * down[starts])
+        places.append(starts + at)
+        at += len(data)
+    return np.concatenate(hashes), np.concatenate(places)
+
+
+def shingles(texts: Sequence[bytes | None], width: int = SHINGLE) -> Iterator[np.ndarray]:
+    """For each text the sorted distinct hashes of its word shingles; fewer words than ``width`` are one shingle."""
+    first = 0
+    while first < len(texts):
+        last, size = first + 1, len(texts[first] or b"")
+        while last < len(texts) and size + len(texts[last] or b"") <= GO_BYTES:
+            size += len(texts[last] or b"")
+            last += 1
+        yield from _shingles([t or b"" for t in texts[first:last]], width)
+        first = last
+
+
+def _shingles(texts: list[bytes], width: int) -> Iterator[np.ndarray]:
+    hashes, places = word_hashes(b" ".join(texts).lower())
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    upto = np.concatenate([[0], np.searchsorted(places, ends)])
+    one = _mixed(hashes)
+    factors = _mixed(np.arange(1, width + 1, dtype=np.uint64) * _ODD) | np.uint64(1)
+    whole = np.full(max(0, len(one) - width + 1), width, np.uint64)
+    for k in range(width):
+        whole += one[k : k + len(whole)] * factors[k]
+    whole = _mixed(whole)
+    for begin, end in zip(upto[:-1].tolist(), upto[1:].tolist()):
+        if begin < end < begin + width:
+            yield _mixed((one[begin:end] * factors[: end - begin]).sum(keepdims=True) + np.uint64(end - begin))
+        else:
+            yield np.unique(whole[begin : max(begin, end - width + 1)])
 
 
 @lru_cache
@@ -136,43 +184,28 @@ def _node(found: np.ndarray) -> int:
     return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(found.tobytes())).view(np.int64)))
 
 
-def _describe(width: int):
-    """(doc_id, text_key, text) rows to (doc_id, text_key, n, node)."""
+def _describe(width: int, similarity: int):
+    """(doc_id, text_key, text) rows to (doc_id, text_key, n, node, keys); of equal sets in a task only the first has its keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hashes, sizes, nodes = _Hashes(), [], []
-            for text in batch.column(2):
-                found = shingles(text.as_py(), hashes, width)
-                sizes.append(len(found))
-                nodes.append(_node(found) if len(found) else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())],
-                names=["doc_id", "text_key", "n", "node"],
-            )
-
-    return run
-
-
-def _sketch(width: int, similarity: int):
-    """Texts to (key, node); a task sends the keys of equal sets once."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            hashes = _Hashes()
-            for part in range(0, batch.num_rows, 500):
-                keys, nodes, sizes = [np.zeros(0, np.int64)], [], []
-                for text in batch.slice(part, 500).column(0):
-                    found = shingles(text.as_py(), hashes, width)
+        seen: set[int | None] = {None}
+        for whole in batches:
+            for part in range(0, whole.num_rows, 500):
+                batch = whole.slice(part, 500)
+                sizes, nodes, keys, counts = [], [], [np.zeros(0, np.int64)], []
+                for found in shingles([text.as_py() for text in batch.column(2)], width):
                     node = _node(found) if len(found) else None
-                    if node is None or node in seen:
-                        continue
-                    seen.add(node)
-                    keys.append(keys_of(found, similarity))
+                    sizes.append(len(found))
                     nodes.append(node)
-                    sizes.append(len(keys[-1]))
-                yield pa.RecordBatch.from_pydict({"key": np.concatenate(keys), "node": np.repeat(np.array(nodes, np.int64), sizes)})
+                    keys.append(np.zeros(0, np.int64) if node in seen else keys_of(found, similarity))
+                    counts.append(len(keys[-1]))
+                    seen.add(node)
+                ends = np.concatenate([[0], np.cumsum(counts)])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), lists],
+                    names=["doc_id", "text_key", "n", "node", "keys"],
+                )
 
     return run
 
@@ -283,9 +316,8 @@ class Verifier:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                hashes, nodes, sets = _Hashes(), [], []
-                for text in batch.column(1):
-                    found = shingles(text.as_py(), hashes, width)
+                nodes, sets = [], []
+                for found in shingles([text.as_py() for text in batch.column(1)], width):
                     if len(found):
                         nodes.append(_node(found))
                         sets.append(found.view(np.int64))
@@ -320,9 +352,9 @@ def sketched(docs: DataFrame, width: int = SHINGLE, similarity: int = SIMILARITY
     """Two written tables: documents (doc_id, text_key, set size n, node: digest of the set, null if
     empty), and the join keys that several sets have (key, node, leader: the key's first node)."""
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), F.col("text").cast("binary").alias("text"))
-    described = materialise(rows.mapInArrow(_describe(width), "doc_id long, text_key long, n long, node long"), "documents")
-    # Texts are read once more instead of storing their keys, which are as large as the texts.
-    entries = rows.select("text").mapInArrow(_sketch(width, similarity), "key long, node long")
+    whole = materialise(rows.mapInArrow(_describe(width, similarity), "doc_id long, text_key long, n long, node long, keys array<long>"), "documents")
+    described = whole.drop("keys")
+    entries = whole.filter(F.size("keys") > 0).select(F.explode("keys").alias("key"), "node")
     dealt = entries.repartition("key").sortWithinPartitions("key", "node")
     return described, materialise(dealt.mapInArrow(_shared, "key long, node long, leader long"), "shared-keys")
 
