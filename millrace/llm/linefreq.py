@@ -15,7 +15,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from millrace.llm.common import BROADCAST_ROWS, fresh, materialise
+from millrace.llm.common import fresh, materialise
+from millrace.plans.durable import written_bytes
 from millrace.plans.skew import hot_key_join, null_safe_join
 
 # Windows of so many words count as repeated when they occur twice in a text.
@@ -30,6 +31,8 @@ LINE_SHARE = 0.05
 LEFT_SHARE = 0.5
 # Bytes of text whose words are numbered together; a longer text is numbered alone.
 GO_BYTES = 2 << 20
+# Written tables are broadcast up to this size on disk; larger ones are shuffled.
+BROADCAST_BYTES = 8 << 20
 
 _SPACES = b"\t\n\x0b\x0c\r "
 _CONTINUATION = bytes(range(0x80, 0xC0))
@@ -166,11 +169,14 @@ def frequent_lines(texts: DataFrame, line_docs: int = LINE_DOCS, line_share: flo
     held = texts.select("host", F.explode(pair).alias("line"))
     counts = held.groupBy("host", "line.hi", "line.lo").agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") >= line_docs)
     hosts = materialise(texts.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs")), "line-hosts")
-    small = F.broadcast(hosts) if hosts.count() <= BROADCAST_ROWS else hosts
-    above = null_safe_join(counts, small, ["host"]).filter(F.col("n_docs") >= line_share * F.col("host_docs"))
+    above = null_safe_join(counts, _sized(hosts), ["host"]).filter(F.col("n_docs") >= line_share * F.col("host_docs"))
     return materialise(above.select("host", "hi", "lo", "n_docs"), "lines-frequent")
 
 
+def _sized(table: DataFrame) -> DataFrame:
+    return F.broadcast(table) if written_bytes(table) <= BROADCAST_BYTES else table
+
+
 def removals(texts: DataFrame, frequent: DataFrame) -> DataFrame:
     """Numbers and words of the frequent lines of every text that holds some: removed, removed_words.
 
@@ -179,7 +185,7 @@ def removals(texts: DataFrame, frequent: DataFrame) -> DataFrame:
     """
     places = texts.select(*TEXT, F.explode("lines").alias("line")).select(*TEXT, "line.hi", "line.lo", "line.at", "line.words")
     on = ["host", "hi", "lo"]
-    if frequent.count() <= BROADCAST_ROWS:
+    if written_bytes(frequent) <= BROADCAST_BYTES:
         marked = null_safe_join(places, F.broadcast(frequent.drop("n_docs")), on)
     else:
         total = texts.agg(F.sum(F.size("lines"))).first()[0] or 0
@@ -208,8 +214,8 @@ def line_rules(
     described = materialise(describe(docs.select(row.alias("row"), F.col(host).alias("host"), F.col(text).alias("text"))), "line-described")
     texts = distinct_texts(described)
     gone = removals(texts, frequent_lines(texts, line_docs, line_share))
-    gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
-    marked = null_safe_join(described.drop("lines"), gone, TEXT, "left")
+    # Beyond the size of a broadcast, copies of one text meet its row by a shuffle that AQE splits.
+    marked = null_safe_join(described.drop("lines"), _sized(gone), TEXT, "left")
     left = F.col("n_words") - F.coalesce("removed_words", F.lit(0))
     quality = F.struct(
         *COUNTS, base_failed().alias("base_failed"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"),
