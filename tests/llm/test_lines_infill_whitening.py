@@ -104,7 +104,7 @@ def test_copies_are_one_document(spark):
 def test_all_lines_joined_by_shuffle(spark, monkeypatch):
     docs = line_documents(5)
     table = spark.createDataFrame([(i, t, h) for i, (t, h) in enumerate(docs)], "doc_id long, text string, source string")
-    monkeypatch.setattr(linefreq, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(linefreq, "BROADCAST_BYTES", 0)
     found = {r["doc_id"]: r["quality"] for r in rows(linefreq.line_rules(table))}
     assert found == dict(enumerate(brute_lines(docs, 4, 0.05, 0.5)))
 

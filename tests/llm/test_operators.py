@@ -53,6 +53,30 @@ def test_toxicity_tags_spans_and_documents(spark):
         assert [r["text"][s["start"] : s["end"]].lower()[:4] for s in r["spans"]] == (["vile"] if r["doc_id"] % 4 == 0 else [])
 
 
+def test_clean_text_does_not_raise_a_score(spark):
+    docs, labels = toxic_corpus(spark)
+    chain = toxicity.train(docs, labels)
+    clean = " ".join(f"plain{i % 50}" for i in range(8))
+    mixed = "plain3 vilemonger plain4"
+    texts = [(0, clean), (1, " ".join([clean] * 5000)), (2, mixed), (3, mixed + " " + " ".join([clean] * 5000)), (4, "never seen words " * 3000)]
+    found = {r["doc_id"]: r for r in rows(toxicity.tag(spark.createDataFrame(texts, "doc_id long, text string"), chain))}
+    assert found[1]["score"] <= found[0]["score"] + 1e-6 and found[3]["score"] <= found[2]["score"] + 1e-6
+    assert found[2]["score"] >= 0.5 and found[3]["score"] >= 0.5 and found[4]["score"] < 0.5
+    assert all(r["spans"] for r in found.values() if r["score"] >= 0.5)
+
+
+def test_slices_and_memory_do_not_change_scores(spark, monkeypatch):
+    docs, labels = toxic_corpus(spark)
+    chain = toxicity.train(docs, labels)
+    whole = {r["doc_id"]: r["score"] for r in rows(toxicity.tag(docs, chain))}
+    for name, value in (("TOGETHER_BYTES", 100), ("KNOWN_WORDS", 5)):
+        monkeypatch.setattr(toxicity, name, value)
+    batch = docs.repartition(1).toArrow().combine_chunks().to_batches()[0]
+    batch = batch.set_column(1, "text", batch.column(1).cast("binary"))
+    scores = [s for _, sizes, odds in toxicity._summaries(iter([batch]), chain, 1) for s in chain.scores(chain.summary(odds, sizes))]
+    assert np.allclose(scores, [whole[i] for i in batch.column(0).to_pylist()])
+
+
 def test_marginals_equal_enumeration():
     chain = toxicity.Chain(steps=np.array([[0.3, -1.2], [0.1, 0.9]]))
     emission, sizes = np.array([0.5, -0.7, 1.1, 2.0, -0.4]), np.array([3, 0, 2])
@@ -108,6 +132,24 @@ def brute_components(docs, width, similarity):
     return Counter((docs[i][0], len(sets[i]), out[i]) for i in range(len(docs)))
 
 
+@pytest.mark.parametrize("width, go", [(4, 1 << 19), (5, 64), (1, 7)])
+def test_shingle_sets_equal_enumeration(monkeypatch, width, go):
+    draw = np.random.default_rng(width)
+    alphabet = [b"ab", b"AB", b"\xc3\xa9", b"c" * 90, b"d"]
+    texts = [b"".join(alphabet[draw.integers(5)] + b" \t\n"[(k := draw.integers(3)) : k + 1 + draw.integers(2)] for _ in range(draw.integers(0, 40))) for _ in range(60)]
+    monkeypatch.setattr(jaccard, "GO_BYTES", go)
+    jaccard._powers.cache_clear()
+    sets = list(jaccard.shingles([None, b"", b" \n ", *texts], width))
+    assert [len(s) for s in sets[:3]] == [0, 0, 0]
+    seen = {}
+    for text, found in zip(texts, sets[3:]):
+        words = text.lower().split()
+        want = {tuple(words[k : k + width]) for k in range(max(1, len(words) - width + 1))} if words else set()
+        assert len(found) == len(want) and (np.diff(found.astype(object)) > 0).all()
+        assert seen.setdefault(frozenset(want), found.tolist()) == found.tolist()
+    assert len({tuple(v) for v in seen.values()}) == len(seen)
+
+
 def copies(seed, n, length, edits):
     rng = np.random.default_rng(seed)
     base = [f"b{seed}x{rng.integers(0, 10**6)}" for _ in range(length)]

@@ -53,4 +53,4 @@ def test_run_equals_its_parts(spark):
 
 def test_queries_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in workload.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
