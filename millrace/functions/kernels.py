@@ -113,35 +113,50 @@ def _shingles(words, size):
     return np.unique(total)
 
 
-def signature_of(size: int, bands: int, rows: int):
-    """Arrow helper: text -> MinHash band keys, empty for a text without words."""
+def repeated_shingles_of(size: int):
+    """Arrow helper for rows of one text: (shingle, rows) of the shingles that several texts of a batch hold."""
 
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def signature(text: pd.Series) -> pd.Series:
-        rng = np.random.RandomState(1)
-        factors = rng.randint(1, 2**62, size=(bands * rows, 1), dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-        offsets = rng.randint(1, 2**62, size=(bands * rows, 1), dtype=np.int64).astype(np.uint64)
-        out = []
-        with np.errstate(over="ignore"):
-            for t in text:
-                found = _shingles(t.split(), size)
-                low = np.full(bands * rows, np.uint64(2**64 - 1))
-                # Blocks small enough for the processor cache.
-                for start in range(0, len(found), 512):
-                    part = factors * found[None, start : start + 512]
-                    part += offsets
-                    low = np.minimum(low, part.min(axis=1))
-                keys = []
-                if len(found):
-                    grid = low.reshape(bands, rows)
-                    key = np.arange(bands, dtype=np.uint64)
-                    for c in range(rows):
-                        key = _mix(key * _MULTIPLIERS[0] + grid[:, c])
-                    keys = key.view(np.int64)
-                out.append(keys)
-        return pd.Series(out)
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            with np.errstate(over="ignore"):
+                found = [_shingles((t or "").split(), size) for t in batch.column(0).to_pylist()]
+            values, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]), return_counts=True)
+            often = counts > 1
+            yield pa.RecordBatch.from_pydict({"shingle": values[often].view(np.int64), "rows": counts[often].astype(np.int64)})
+
+    return run
 
-    return signature
+
+def prefix_of(size: int, threshold: float, frequent):
+    """Arrow helper: text -> size and digest of its shingle set, and the set's prefix.
+
+    Shingles are ordered by the count that ``frequent`` (a broadcast of sorted shingles and their
+    counts) gives, then by value.  Two sets of Jaccard similarity >= t share one of their first
+    n - ceil(t * n) + 1 shingles in any order that is the same for all sets.
+    """
+
+    @F.pandas_udf("n int, hi long, lo long, prefix array<long>")
+    def prefix(text: pd.Series) -> pd.DataFrame:
+        from hashlib import blake2b
+        from math import ceil
+
+        known, counts = frequent.value
+        rows = []
+        for t in text:
+            with np.errstate(over="ignore"):
+                found = _shingles(t.split(), size)
+            n = len(found)
+            digest = np.frombuffer(blake2b(found.tobytes(), digest_size=16).digest(), np.int64)
+            own = found.view(np.int64)
+            if len(known) and n:
+                at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                own = own[np.lexsort((own, np.where(known[at] == own, counts[at], 0)))]
+            rows.append((n, digest[0], digest[1], own[: n - ceil(threshold * n - 1e-9) + 1] if n else own))
+        return pd.DataFrame(rows, columns=["n", "hi", "lo", "prefix"])
+
+    return prefix
 
 
 def shingles_of(size: int):

@@ -1,19 +1,23 @@
-"""Near-duplicate removal: MinHash bands for candidates, exact Jaccard for the decision.
-
-Rule: in key order, a row is dropped if it is similar to an earlier kept row that shares a
-band.  Each round takes the lowest undecided keys of every bucket as its leaders (one in the
-first round, a few later) and compares every row with the leaders before it, never with all
-members, so a bucket of copies costs one comparison per row.  A row is kept once all undecided
-rows before it in its buckets are known to differ; a row similar to a kept one is dropped.
-Buckets that stay large after the first round, when copies are gone, are split by rare
-shingles, which loses no pair above the threshold.
+"""Near-duplicate removal by a positional prefix filter, with an exact decision and no pair missed.
+
+Rule: in key order, a row is dropped if the Jaccard similarity of its shingle set and that of an
+earlier kept row reaches the threshold.
+
+All shingles have one order, frequent ones last, and a row is indexed by the first
+n - ceil(t * n) + 1 of its set.  Similar sets share one of these, so rows meet in the buckets of
+the index.  Rows with equal sets are one row.  Each round takes the lowest undecided keys of every
+bucket as its leaders (one in the first round, a few later) and compares every row with the
+leaders before it, never with all members, so a bucket of variants costs one comparison a row.
+Sizes and positions rule most comparisons out.  A row is kept once all undecided rows before it in
+its buckets are known to differ; a row similar to a kept one is dropped.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.functions.kernels import shingles_of, signature_of
+from millrace.functions.kernels import prefix_of, repeated_shingles_of, shingles_of
 from millrace.plans.durable import materialise
 from millrace.plans.skew import SMALL_TOTAL, hot_key_join
 
@@ -21,73 +25,61 @@ SHINGLE_WORDS = 5
 # Leaders per bucket in the second round; the number doubles each round up to the maximum.
 LEADERS = 8
 MAX_LEADERS = 64
-# Buckets still larger than this after the first round are split.
-LARGE_BUCKET = 16
-
-
-def band_shape(threshold: float, permutations: int = 128) -> tuple[int, int]:
-    """(bands, rows per band) for which a pair at the threshold is missed at most 1 time in 100."""
-    best = (permutations, 1)
-    for rows in range(1, permutations + 1):
-        bands = permutations // rows
-        if (1 - threshold**rows) ** bands <= 0.01:
-            best = (bands, rows)
-    return best
-
-
-def signatures(df: DataFrame, key: str, text: str, threshold: float, permutations: int = 128) -> DataFrame:
-    """(key, bands): the band keys of every row, some 170 bytes however long the text is."""
-    bands, rows = band_shape(threshold, permutations)
-    return df.select(F.col(key), signature_of(SHINGLE_WORDS, bands, rows)(F.coalesce(text, F.lit(""))).alias("bands"))
+# Shingles that some batch holds several times, and the corpus at least so often, are ordered by
+# their count; this many of them travel to the tasks (16 bytes each).  Others count as rare.  The
+# order decides how large buckets are, never which rows are dropped.
+FREQUENT_ROWS = 16
+FREQUENT_SHINGLES = 500_000
 
 
 def dedup_near(
-    df: DataFrame,
-    key: str,
-    text: str,
-    threshold: float = 0.85,
-    permutations: int = 128,
-    large_bucket: int = LARGE_BUCKET,
-    small_total: int = SMALL_TOTAL,
+    df: DataFrame, key: str, text: str, threshold: float = 0.85, small_total: int = SMALL_TOTAL, frequent_rows: int = FREQUENT_ROWS
 ) -> DataFrame:
     """Rows of ``df`` that are not near-duplicates of an earlier kept row; >= 1.0 disables."""
     if threshold >= 1.0:
         return df
-    dropped = near_duplicates(df, key, text, threshold, permutations, large_bucket, small_total)
+    dropped = near_duplicates(df, key, text, threshold, small_total, frequent_rows)
     return df.join(dropped, key, "left_anti")
 
 
+def frequent_shingles(df: DataFrame, text: str, least: int = FREQUENT_ROWS, most: int = FREQUENT_SHINGLES) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles in rising order, and how many rows were seen to hold each."""
+    repeated = df.select(F.col(text).alias("text")).mapInArrow(repeated_shingles_of(SHINGLE_WORDS), "shingle long, rows long")
+    counts = repeated.groupBy("shingle").agg(F.sum("rows").alias("rows")).filter(F.col("rows") >= least)
+    found = counts.orderBy(F.desc("rows"), "shingle").limit(most).toArrow()
+    shingle, rows = (np.asarray(found[c]) for c in ("shingle", "rows"))
+    order = np.argsort(shingle)
+    return shingle[order], rows[order]
+
+
 def near_duplicates(
-    df: DataFrame,
-    key: str,
-    text: str,
-    threshold: float = 0.85,
-    permutations: int = 128,
-    large_bucket: int = LARGE_BUCKET,
-    small_total: int = SMALL_TOTAL,
+    df: DataFrame, key: str, text: str, threshold: float = 0.85, small_total: int = SMALL_TOTAL, frequent_rows: int = FREQUENT_ROWS
 ) -> DataFrame:
-    """The keys that ``dedup_near`` drops.
+    """The keys that ``dedup_near`` drops.  Keys must be unique; rows without words are never dropped.
 
-    ``df`` is read twice, the second time only for rows that share a band with another: write it
-    to a table first if it is expensive to compute.
+    ``df`` is read three times, the last time only for rows that share a bucket with another:
+    write it to a table first if it is expensive to compute.
     """
-    rows = materialise(signatures(df, key, text, threshold, permutations), "near-rows")
-    members = rows.select(key, F.explode("bands").alias("bucket"))
-    bands, _ = band_shape(threshold, permutations)
-    members = materialise(_shared(members, key, rows.count() * bands, small_total), "near-members")
+    frequent = df.sparkSession.sparkContext.broadcast(frequent_shingles(df, text, frequent_rows))
+    own = prefix_of(SHINGLE_WORDS, threshold, frequent)(F.coalesce(text, F.lit(""))).alias("own")
+    rows = materialise(df.select(F.col(key), own).select(key, "own.*").filter("n > 0"), "near-rows")
+    # Of rows with equal sets the lowest key stands for all; the others are similar to whatever it is similar to.
+    firsts = rows.groupBy("hi", "lo").agg(F.min(key).alias(key)).select(key)
+    distinct = materialise(rows.join(firsts, key, "left_semi").select(key, "n", "prefix"), "near-distinct")
+    dropped = materialise(rows.select(key).join(distinct.select(key), key, "left_anti"), "near-equal")
+    members = distinct.select(key, "n", F.posexplode("prefix").alias("place", "bucket"))
+    places = distinct.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    members = materialise(_shared(members, places, small_total), "near-members")
     candidates = df.join(members.select(key).distinct(), key, "left_semi")
     shingles = shingles_of(SHINGLE_WORDS)(F.coalesce(text, F.lit("")))
     sets = materialise(candidates.select(key, shingles.alias("shingles")), "near-sets")
     sets = sets.select("*", F.size("shingles").alias("n"))
-    dropped, rounds = None, 0
+    rounds = 0
     # Counting a written table reads file footers only.
     while total := members.count():
         rounds += 1
-        if rounds == 2:
-            members = _split_large(members, sets, key, total, threshold, large_bucket, small_total)
-            total = members.count()
         leaders = 1 if rounds == 1 else min(MAX_LEADERS, LEADERS * 2 ** (rounds - 2))
-        led = materialise(_with_leaders(members, key, leaders, total, small_total), "near-led")
+        led = materialise(_with_leaders(members, key, leaders, total, threshold, small_total), "near-led")
         complete = led.groupBy(key).agg(F.bool_and("complete").alias("_all")).filter("_all").select(key)
         pairs = led.select(key, F.explode("before").alias("leader")).distinct()
         if rounds == 1:
@@ -98,32 +90,43 @@ def near_duplicates(
         keepers = complete.join(edges.select(key), key, "left_anti")
         gone = edges.join(keepers.withColumnRenamed(key, "leader"), "leader", "left_semi").select(key).distinct()
         gone = materialise(gone, "near-dropped")
-        dropped = gone if dropped is None else dropped.unionByName(gone)
+        dropped = dropped.unionByName(gone)
         decided = keepers.unionByName(gone)
-        members = materialise(
-            _shared(members.join(decided, key, "left_anti"), key, total, small_total), "near-members"
-        )
-    return dropped if dropped is not None else rows.select(key).limit(0)
+        members = materialise(_shared(members.join(decided, key, "left_anti"), total, small_total), "near-members")
+    return dropped
 
 
-def _shared(members: DataFrame, key: str, total: int, small_total: int) -> DataFrame:
+def _shared(members: DataFrame, total: int, small_total: int) -> DataFrame:
     """Memberships in buckets of at least two rows."""
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") > 1)
-    return hot_key_join(members, sizes, ["bucket"], "_size", total, small_total).select(key, "bucket")
+    return hot_key_join(members, sizes, ["bucket"], "_size", total, small_total).select(*members.columns)
+
+
+def _may_reach(n: Column, place: Column, other_n: Column, other_place: Column, threshold: float) -> Column:
+    """Whether sets of these sizes, whose first common shingle has these places, can be similar enough."""
+    rest = F.least(n - place, other_n - other_place)
+    needed = F.ceil(threshold / (1 + threshold) * (n + other_n) - 1e-9)
+    return (rest >= needed) & (F.least(n, other_n) >= threshold * F.greatest(n, other_n) - 1e-9)
 
 
-def _with_leaders(members: DataFrame, key: str, leaders: int, total: int, small_total: int) -> DataFrame:
-    """Memberships with the leaders before the row, and whether those are all rows before it."""
+def _with_leaders(members: DataFrame, key: str, leaders: int, total: int, threshold: float, small_total: int) -> DataFrame:
+    """Memberships with the leaders before the row that may be similar, and whether all rows before it are leaders.
+
+    A pair meets in the bucket of its first common shingle too, where sizes and places let a
+    similar pair pass.
+    """
     # Each task passes on only its own lowest keys per bucket.
     first = Window.partitionBy("bucket").orderBy(key)
     lowest = members.withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= leaders)
-    heads = lowest.groupBy("bucket").agg(F.sort_array(F.collect_list(key)).alias("_heads"))
+    head = F.struct(F.col(key).alias("k"), F.col("n").alias("n"), F.col("place").alias("place"))
+    heads = lowest.groupBy("bucket").agg(F.sort_array(F.collect_list(head)).alias("_heads"))
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("_size"))
     joined = hot_key_join(members, heads.join(sizes, "bucket"), ["bucket"], "_size", total, small_total)
+    near = F.filter("_heads", lambda h: (h["k"] < F.col(key)) & _may_reach(F.col("n"), F.col("place"), h["n"], h["place"], threshold))
     return joined.select(
         key,
-        F.filter("_heads", lambda h: h < F.col(key)).alias("before"),
-        (F.col(key) <= F.array_max("_heads")).alias("complete"),
+        F.transform(near, lambda h: h["k"]).alias("before"),
+        (F.col(key) <= F.element_at("_heads", -1)["k"]).alias("complete"),
     )
 
 
@@ -137,38 +140,5 @@ def _similar(
     )
     mine = pairs.join(sets, key)
     both = hot_key_join(mine, leader_sets, ["leader"], "_fan", total, small_total)
-    # Sets whose sizes differ too much cannot reach the threshold.
-    near = both.filter(F.least("n", "_ln") >= F.lit(threshold) * F.greatest("n", "_ln"))
     common = F.size(F.array_intersect("shingles", "_ls"))
-    return near.filter(common >= F.lit(threshold) * (F.col("n") + F.col("_ln") - common)).select(key, "leader")
-
-
-def _split_large(
-    members: DataFrame, sets: DataFrame, key: str, total: int, threshold: float, large_bucket: int, small_total: int
-) -> DataFrame:
-    """Replace every large bucket by one bucket per rare shingle of its rows.
-
-    Order the shingles by rising frequency.  Two sets of Jaccard similarity >= t share one among
-    their first n - ceil(t * n) + 1, so pairs that matter stay together and rows that only
-    share common passages part.  Buckets are marked by a hash of (bucket, shingle).
-    """
-    one = F.count(F.lit(1))
-    sizes = members.groupBy("bucket").agg(one.alias("_size"), one.alias("_weight"))
-    if sizes.filter(F.col("_size") > large_bucket).isEmpty():
-        return members
-    tagged = hot_key_join(members, sizes, ["bucket"], "_weight", total, small_total)
-    inside = tagged.filter(F.col("_size") > large_bucket).select(key, "bucket")
-    outside = tagged.filter(F.col("_size") <= large_bucket).select(key, "bucket")
-    affected = inside.select(key).distinct().join(sets, key)
-    words = materialise(affected.select(key, "n", F.explode("shingles").alias("shingle")), "near-words")
-    seen = words.groupBy("shingle").agg(one.alias("_df"), one.alias("_weight"))
-    order = Window.partitionBy(key).orderBy("_df", "shingle")
-    rare = (
-        hot_key_join(words, seen, ["shingle"], "_weight", words.count(), small_total)
-        .withColumn("_r", F.row_number().over(order))
-        .filter(F.col("_r") <= F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9) + 1)
-        .select(key, "shingle")
-    )
-    parts = inside.join(rare, key).select(key, F.xxhash64("bucket", "shingle").alias("bucket"))
-    split = materialise(outside.unionByName(parts).distinct(), "near-parts")
-    return materialise(_shared(split, key, split.count(), small_total), "near-split")
+    return both.filter(common >= F.lit(threshold) * (F.col("n") + F.col("_ln") - common)).select(key, "leader")

@@ -339,13 +339,15 @@ def _(spark, sf):
     return clean.dedup_exact(load(spark, sf, "documents"), "doc_id", "text").select("doc_id", F.md5("text").alias("text_md5"))
 
 
-_NEAR_SQL = f"""with recursive t as (select doc_id, {toks('text')} as t from documents),
+def _near_sql(threshold: float) -> str:
+    """Every pair of documents, then the drops in key order, each by its kept predecessors."""
+    return f"""with recursive t as (select doc_id, {toks('text')} as t from documents),
     s as (select distinct doc_id, array_to_string(list_slice(t, i, i + least(5, len(t)) - 1), ' ') as g
       from (select doc_id, t, unnest(range(1, greatest(len(t) - 4, 1) + 1)) as i from t where len(t) > 0)),
     n as (select doc_id, count(*) as n from s group by doc_id),
     e as (select a.doc_id as a, b.doc_id as b from s a join s b on a.g = b.g and a.doc_id < b.doc_id
       join n na on na.doc_id = a.doc_id join n nb on nb.doc_id = b.doc_id group by a.doc_id, b.doc_id, na.n, nb.n
-      having count(*) >= 0.8 * (na.n + nb.n - count(*))),
+      having count(*) >= {threshold} * (na.n + nb.n - count(*))),
     todo as (select b, list(a) as earlier, row_number() over (order by b) as k from e group by b),
     walk(k, dropped) as (select 0::bigint, []::bigint[] union all
       select w.k + 1, case when len(list_filter(t.earlier, lambda x: not list_contains(w.dropped, x))) > 0 then list_append(w.dropped, t.b) else w.dropped end
@@ -353,12 +355,17 @@ _NEAR_SQL = f"""with recursive t as (select doc_id, {toks('text')} as t from doc
     select unnest(dropped) as doc_id from (select dropped from walk order by k desc limit 1)"""
 
 
-@query("near_duplicates", _NEAR_SQL)
-def _(spark, sf):
-    return dedup.near_duplicates(load(spark, sf, "documents"), "doc_id", "text", 0.8)
+for _threshold in (0.5, 0.65, 0.8, 0.95):
+
+    @query("near_duplicates" + ("" if _threshold == 0.8 else f"_{_threshold:.2f}".replace("0.", "")), _near_sql(_threshold))
+    def _(spark, sf, threshold=_threshold):
+        return dedup.near_duplicates(load(spark, sf, "documents"), "doc_id", "text", threshold)
 
 
-@query("dedup_near")
+@query(
+    "dedup_near",
+    f"select lang, count(*) as kept from documents where doc_id not in ({_near_sql(0.8)}) group by lang",
+)
 def _(spark, sf):
     kept = dedup.dedup_near(load(spark, sf, "documents"), "doc_id", "text", 0.8)
     return kept.groupBy("lang").agg(F.count("*").alias("kept"))

@@ -232,12 +232,26 @@ def noisy_copies(seed, groups, copies, length, changes):
     return dict(enumerate(order))
 
 
-@pytest.mark.parametrize("options", [{}, {"large_bucket": 3, "small_total": 5}])
-def test_near_duplicates_match_brute_force(spark, options):
+@pytest.mark.parametrize("threshold, options", [(0.5, {}), (0.6, {"frequent_rows": 2, "small_total": 5}), (0.8, {"frequent_rows": 3}), (0.95, {"frequent_rows": 10**9})])
+def test_near_duplicates_match_brute_force(spark, threshold, options):
     texts = noisy_copies(2, 12, 8, 60, 2)
+    texts |= {len(texts) + k: t for k, t in enumerate(["", "one", "one", "two words", " ", texts[3]])}
     df = spark.createDataFrame(list(texts.items()), "id bigint, t string")
-    got = {r["id"] for r in dedup.near_duplicates(df, "id", "t", 0.6, **options).collect()}
-    assert got == greedy_drop(texts, 0.6)
+    got = [r["id"] for r in dedup.near_duplicates(df, "id", "t", threshold, **options).collect()]
+    assert len(got) == len(set(got)) and set(got) == greedy_drop(texts, threshold)
+
+
+def test_pairs_at_the_threshold_are_never_missed(spark):
+    # 12 of 16 shingles in common, 14 in each set: similarity 0.75 exactly.
+    texts = {}
+    for i in range(400):
+        words = [f"p{i}w{k}" for k in range(18)]
+        texts[2 * i] = " ".join(words[:18])
+        texts[2 * i + 1] = " ".join([*words[2:], f"p{i}x", f"p{i}y"])
+    both, either = shingle_set(texts[0]) & shingle_set(texts[1]), shingle_set(texts[0]) | shingle_set(texts[1])
+    assert 4 * len(both) == 3 * len(either)
+    df = spark.createDataFrame(list(texts.items()), "id bigint, t string")
+    assert {r["id"] for r in dedup.near_duplicates(df, "id", "t", 0.75).collect()} == set(range(1, 800, 2))
 
 
 def test_shared_passage_does_not_make_copies(spark):
@@ -245,7 +259,7 @@ def test_shared_passage_does_not_make_copies(spark):
     common = " ".join(f"c{i}" for i in range(40))
     texts = {i: common + " " + " ".join(f"u{i}_{j}" for j in range(40)) for i in range(120)}
     df = spark.createDataFrame(list(texts.items()), "id bigint, t string")
-    got = dedup.near_duplicates(df, "id", "t", 0.5, large_bucket=10)
+    got = dedup.near_duplicates(df, "id", "t", 0.5, frequent_rows=10)
     assert got.count() == 0
 
 
