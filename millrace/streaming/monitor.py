@@ -1,25 +1,23 @@
 """Live versions of the monitors.
 
-Late data: rows older than the watermark are dropped.  Stateful monitors keep state bounded per
-key (open periods, a window of losses, one time stamp).
+Late data: rows older than the watermark are dropped.  Stateful monitors (``stateful``) see a
+key's rows in event-time order and keep state bounded per key: the rows of one watermark delay, a
+window of losses, one time stamp.
 """
 
 from __future__ import annotations
 
-import json
 import logging
-import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from millrace.functions.kernels import ks_p_value
 from millrace.operators.clean import clean_text
 from millrace.operators.drift import OUTPUT_METRICS, ks_constant_statistic, output_features
 from millrace.operators.pii import mask
 from millrace.operators.validate import capture_sample
+from millrace.streaming.stateful import Losses, Spacing, Streaks, by_key
 
 _log = logging.getLogger(__name__)
 
@@ -37,139 +35,81 @@ def streaming_rollup(
     )
 
 
+# Items a quantile sketch keeps on its first level: ranks are right within about 0.25% of the rows
+# (2.3 / SKETCH_ITEMS ** 0.9, with 99% confidence), and exact up to so many rows.
+SKETCH_ITEMS = 2000
+
+
+def _statistic(value: str, statistic: str) -> Column:
+    """sum, avg, min or max of a period, or pNN from a mergeable quantile sketch."""
+    if statistic.startswith("p"):
+        sketch = F.kll_sketch_agg_double(F.col(value), SKETCH_ITEMS)
+        return F.kll_sketch_get_quantile_double(sketch, F.lit(float(statistic[1:]) / 100))
+    return getattr(F, statistic)(value).cast("double")
+
+
 def streaming_alarm(
     stream: DataFrame, key: str, ts: str, value: str, statistic: str, comparison: str, threshold: float,
     consecutive: int, missing: str, period: int = 300, delay: str = "10 minutes",
 ) -> DataFrame:
     """(key, period, value, breaching, in_alarm) for every closed period; timers close empty ones.
 
-    statistic is sum, avg, min or max.
+    statistic is sum, avg, min, max or pNN.  Periods are aggregated by Spark, map-side first, with
+    state per key and period; the streak of a key sees one row for each period.
     """
-    from operator import ge, gt, le, lt
-
-    test = {"<=": le, "<": lt, ">": gt, ">=": ge}[comparison]
-
-    def close(totals: list | None) -> tuple[float | None, bool]:
-        if totals is None:
-            return None, missing == "breaching"
-        count, total, low, high = totals
-        got = {"sum": total, "avg": total / count, "min": low, "max": high}[statistic]
-        return got, bool(test(got, threshold))
-
-    def step(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        nxt, streak, text = state.get if state.exists else (-1, 0, "{}")
-        opened = {int(k): v for k, v in json.loads(text).items()}
-        for pdf in batches:
-            at = pdf["_seconds"].to_numpy() // period
-            for p, v in zip(at, pdf[value].to_numpy()):
-                p, v = int(p), float(v)
-                if nxt >= 0 and p < nxt and p not in opened and p < state.getCurrentWatermarkMs() // 1000 // period:
-                    continue
-                c = opened.get(p)
-                opened[p] = [1, v, v, v] if c is None else [c[0] + 1, c[1] + v, min(c[2], v), max(c[3], v)]
-        if opened:
-            # Open periods stay open until the watermark closes them, whatever order they begin in.
-            nxt = min(opened) if nxt < 0 else min(nxt, *opened)
-        closed_upto = int(state.getCurrentWatermarkMs() // 1000 // period)
-        rows = []
-        while 0 <= nxt < closed_upto:
-            got, breach = close(opened.pop(nxt, None))
-            streak = streak + 1 if breach else 0
-            rows.append((group[0], nxt, got, breach, streak >= consecutive))
-            nxt += 1
-        state.update((nxt, streak, json.dumps(opened)))
-        if nxt >= 0:
-            state.setTimeoutTimestamp(max((nxt + 1) * period * 1000, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(rows, columns=[key, "period", "value", "breaching", "in_alarm"])
-
-    kind = stream.schema[key].dataType.simpleString()
-    rows = stream.withWatermark(ts, delay).select(
-        key, ts, F.col(value).cast("double").alias(value), F.unix_seconds(F.col(ts).cast("timestamp")).alias("_seconds")
+    rows = stream.withWatermark(ts, delay).filter(F.col(value).isNotNull()).select(key, ts, F.col(value).cast("double").alias("_v"))
+    closed = rows.groupBy(key, F.window(ts, f"{period} seconds")).agg(_statistic("_v", statistic).alias("value"))
+    periods = closed.select(
+        key, F.floor(F.unix_seconds("window.start") / period).alias("period"), "value", F.window_time("window").alias("ts")
     )
-    return rows.groupBy(key).applyInPandasWithState(
-        step,
+    kind = stream.schema[key].dataType.simpleString()
+    return by_key(
+        periods, key, Streaks(key, comparison, float(threshold), consecutive, missing, period),
         f"{key} {kind}, period bigint, value double, breaching boolean, in_alarm boolean",
-        "nxt bigint, streak bigint, opened string",
-        "append",
-        GroupStateTimeout.EventTimeTimeout,
     )
 
 
 def streaming_loss_monitor(
-    stream: DataFrame, run: str, step: str, loss: str, window: int = 50, factor: float = 3.0, plateau_steps: int = 500,
-    patience: int = 5, min_delta: float = 1e-4,
+    stream: DataFrame, run: str, step: str, loss: str, ts: str, window: int = 50, factor: float = 3.0, plateau_steps: int = 500,
+    patience: int = 5, min_delta: float = 1e-4, delay: str = "10 minutes",
 ) -> DataFrame:
     """Spike, plateau, non-finite and early-stop flags per logged loss.
 
-    Rows of a run must arrive in step order between batches; inside a batch they are sorted.
+    The losses of a run are judged in the order of their time stamps (ties by step) once the
+    watermark has passed them, in whatever order they arrive.  A run holds the losses of one delay
+    and of one window.
     """
-
-    def watch(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            recent, best, best_step, low, counter, stopped = state.get
-            recent = json.loads(recent)
-        else:
-            recent, best, best_step, low, counter, stopped = [], math.inf, 0, math.inf, 0, False
-        rows = []
-        for s, v in sorted((int(s), float(v)) for pdf in batches for s, v in zip(pdf[step], pdf[loss])):
-            if stopped:
-                break
-            if not math.isfinite(v):
-                stopped = True
-                rows.append((group[0], s, v, None, False, False, counter, True))
-                break
-            mean = math.fsum(recent) / len(recent) if recent else None
-            spike = mean is not None and mean > 0 and v > factor * mean
-            recent = (recent + [v])[-window:]
-            plateau = False
-            if v < best:
-                best, best_step = v, s
-            else:
-                plateau = s - best_step >= plateau_steps
-            if v < low - min_delta:
-                low, counter = v, 0
-            else:
-                counter += 1
-            rows.append((group[0], s, v, mean, spike, plateau, counter, counter >= patience))
-        state.update((json.dumps(recent), best, best_step, low, counter, stopped))
-        yield pd.DataFrame(
-            rows, columns=[run, step, loss, "rolling_mean", "is_spike", "is_plateau", "counter", "should_stop"]
-        )
-
     kind = stream.schema[run].dataType.simpleString()
-    return stream.select(run, step, loss).groupBy(run).applyInPandasWithState(
-        watch,
+    rows = stream.withWatermark(ts, delay).select(
+        run, ts, _millis(ts), F.col(step).cast("bigint").alias("step"), F.col(loss).cast("double").alias("loss")
+    )
+    return by_key(
+        rows, run, Losses(run, step, loss, ts, window, factor, plateau_steps, patience, min_delta),
         f"{run} {kind}, {step} bigint, {loss} double, rolling_mean double, is_spike boolean, is_plateau boolean, "
         "counter bigint, should_stop boolean",
-        "recent string, best double, best_step bigint, low double, counter bigint, stopped boolean",
-        "append",
-        GroupStateTimeout.NoTimeout,
     )
 
 
-def streaming_alert_dedup(stream: DataFrame, key: str, alert: str, at_us: str, window_seconds: int = 300) -> DataFrame:
-    """Alerts at least the window after the last kept one of their key, in order of arrival."""
-
-    def keep(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
-        rows = []
-        for at, name in sorted((int(a), n) for pdf in batches for a, n in zip(pdf[at_us], pdf[alert])):
-            if last is None or at - last >= window_seconds * 1_000_000:
-                last = at
-                rows.append((group[0], name, at))
-        state.update((last,))
-        yield pd.DataFrame(rows, columns=[key, alert, at_us])
+def streaming_alert_dedup(
+    stream: DataFrame, key: str, alert: str, ts: str, at_us: str = "at_us", window_seconds: int = 300, delay: str = "10 minutes"
+) -> DataFrame:
+    """(key, alert, at_us): alerts at least the window after the last kept one of their key, by event time.
 
+    ``at_us`` is the time stamp in microseconds; of simultaneous alerts the lowest is first.  A key
+    holds the alerts of one delay and one time.
+    """
     kinds = {c: stream.schema[c].dataType.simpleString() for c in (key, alert)}
-    return stream.select(key, alert, at_us).groupBy(key).applyInPandasWithState(
-        keep,
+    rows = stream.withWatermark(ts, delay).select(key, ts, _millis(ts), F.unix_micros(F.col(ts)).alias("at_us"), F.col(alert).alias("alert"))
+    return by_key(
+        rows, key, Spacing(key, alert, kinds[alert], ts, at_us, window_seconds * 1_000_000),
         f"{key} {kinds[key]}, {alert} {kinds[alert]}, {at_us} bigint",
-        "last bigint",
-        "append",
-        GroupStateTimeout.NoTimeout,
     )
 
 
+def _millis(ts: str) -> Column:
+    return F.unix_millis(F.col(ts)).alias("at_ms")
+
+
 def streaming_clean_redact(stream: DataFrame, key: str, text: str, percent: float = 100.0, seed: int = 42) -> DataFrame:
     """Stateless: seeded capture, cleaning and masking of a text column."""
     kept = stream if percent >= 100 else capture_sample(stream, key, percent, seed)

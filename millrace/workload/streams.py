@@ -54,25 +54,46 @@ def _(spark, sf):
     return drain_to_table(states, "alarm")
 
 
+@query(
+    "streaming_p99_alarm",
+    """with ranked as (select event_type, epoch_us(ts) // 86400000000 as period, value, row_number() over (partition by event_type, epoch_us(ts) // 86400000000 order by value) as r,
+      count(*) over (partition by event_type, epoch_us(ts) // 86400000000) as n from events),
+    v as (select event_type, period, min(value) as value from ranked where r >= ceil(0.99 * n) group by all),
+    l as (select (epoch_us(max(ts) - interval 10 minute) // 1000) // 86400000 - 1 as last from events),
+    g as (select event_type, unnest(range(min(period), (select last from l) + 1)) as period from v group by event_type),
+    f as (select g.event_type, g.period, v.value, coalesce(v.value > 95, false) as breaching from g left join v on v.event_type = g.event_type and v.period = g.period)
+    select event_type, period, value, breaching, count(*) over w >= 3 and count(*) filter (not breaching) over w = 0 as in_alarm from f
+    window w as (partition by event_type order by period rows between 2 preceding and current row)""",
+)
+def _(spark, sf):
+    states = monitor.streaming_alarm(_events(spark, sf), "event_type", "ts", "value", "p99", ">", 95.0, 3, "notBreaching", period=86_400)
+    return drain_to_table(states, "p99")
+
+
+# Rows after the final watermark still wait when the stream ends.
+_PASSED = "epoch_ms(ts) <= (select epoch_ms(max(ts) - interval 10 minute) from events)"
+
+
 @query(
     "streaming_loss_monitor",
-    """with m as (select user_id as run, event_id as step, value as loss, avg(value) over (partition by user_id order by event_id rows between 50 preceding and 1 preceding) as rolling_mean,
-      min(value) over (partition by user_id order by event_id rows between unbounded preceding and 1 preceding) as prior from events),
+    f"""with e as (select * from events where {_PASSED}),
+    m as (select user_id as run, event_id as step, ts, value as loss, avg(value) over (partition by user_id order by ts, event_id rows between 50 preceding and 1 preceding) as rolling_mean,
+      min(value) over (partition by user_id order by ts, event_id rows between unbounded preceding and 1 preceding) as prior from e),
     b as (select *, prior is null or loss < prior as is_best from m),
-    c as (select *, max(case when is_best then step end) over (partition by run order by step) as best_step from b)
+    c as (select *, arg_max(case when is_best then step end, case when is_best then (ts, step) end) over (partition by run order by ts, step) as best_step from b)
     select run, step, round(rolling_mean, 8)::double as rolling_mean, coalesce(rolling_mean > 0 and loss > 3 * rolling_mean, false) as is_spike,
       not is_best and step - best_step >= 500 as is_plateau from c""",
 )
 def _(spark, sf):
-    logs = _stream(spark, sf, "events").select(F.col("user_id").alias("run"), F.col("event_id").alias("step"), F.col("value").alias("loss"))
-    done = drain_to_table(monitor.streaming_loss_monitor(logs, "run", "step", "loss"), "loss")
+    logs = _events(spark, sf).select(F.col("user_id").alias("run"), F.col("event_id").alias("step"), F.col("value").alias("loss"), "ts")
+    done = drain_to_table(monitor.streaming_loss_monitor(logs, "run", "step", "loss", "ts"), "loss")
     return rounded(done.select("run", "step", "rolling_mean", "is_spike", "is_plateau"), 8)
 
 
-@query("streaming_alert_dedup", _GREEDY_SQL)
+@query("streaming_alert_dedup", _GREEDY_SQL.replace("from events group", f"from events where {_PASSED} group"))
 def _(spark, sf):
-    alerts = _events(spark, sf).select("event_type", "event_id", F.unix_micros("ts").alias("at_us"))
-    return drain_to_table(monitor.streaming_alert_dedup(alerts, "event_type", "event_id", "at_us", 86_400), "alerts").drop("at_us")
+    alerts = _events(spark, sf).select("event_type", "event_id", "ts")
+    return drain_to_table(monitor.streaming_alert_dedup(alerts, "event_type", "event_id", "ts", window_seconds=86_400), "alerts").drop("at_us")
 
 
 @query("streaming_clean_redact")

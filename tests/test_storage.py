@@ -223,26 +223,74 @@ def test_stream_alarm(event_files):
         assert (r["breaching"], r["in_alarm"]) == want[(r["run"], r["period"])]
 
 
-def test_stream_loss_monitor(event_files):
-    df, stream = event_files
-    got = {(r["run"], r["step"]): r for r in drain_to_table(monitor.streaming_loss_monitor(stream, "run", "step", "value", 5, 2.0, 60, 3, 0.5), "t").collect()}
-    spikes = runs.loss_spikes(df, "run", "step", "value", 5, 2.0).collect()
-    plateaus = runs.loss_plateau(df, "run", "step", "value", 60).collect()
-    stops = runs.early_stop(df, "run", "step", "value", 3, 0.5).collect()
-    assert len(got) == len(spikes) == 300
+@pytest.fixture()
+def shuffled_files(spark, tmp_path):
+    """Two rows a minute and run, each up to an hour late, in six files."""
+    import random
+    import time as clock
+
+    draw = random.Random(5)
+    rows = [(i % 3, i, f"2024-01-01 {i // 60:02d}:{i % 60:02d}:00", float(draw.randrange(1, 50)) * (6 if draw.random() < 0.05 else 1)) for i in range(900)]
+    schema = "run int, step bigint, at string, value double"
+    late = sorted(rows, key=lambda r: r[1] + draw.randrange(60))
+    assert late != rows
+    path = str(tmp_path / "shuffled")
+    for k in range(6):
+        part = spark.createDataFrame(late[k * 150 : k * 150 + 150], schema).withColumn("ts", F.col("at").cast("timestamp")).drop("at")
+        part.coalesce(1).write.mode("append").parquet(path)
+        clock.sleep(0.1)
+    df = spark.read.parquet(path)
+    return df, spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+# The last time stamp is 14:59; an hour and ten minutes before it the watermark stays.
+UPTO = 899 - 70
+
+
+def test_stream_loss_monitor_equals_batch_on_shuffled_arrival(shuffled_files):
+    df, stream = shuffled_files
+    live = monitor.streaming_loss_monitor(stream, "run", "step", "value", "ts", 5, 2.0, 60, 3, 0.5, delay="70 minutes")
+    got = {(r["run"], r["step"]): r for r in drain_to_table(live, "t").collect()}
+    assert sorted(s for _, s in got) == list(range(UPTO + 1))
+    seen = lambda rows: [r for r in rows.collect() if r["step"] <= UPTO]
+    spikes = seen(runs.loss_spikes(df, "run", "step", "value", 5, 2.0))
+    plateaus = seen(runs.loss_plateau(df, "run", "step", "value", 60))
+    stops = seen(runs.early_stop(df, "run", "step", "value", 3, 0.5))
     assert all(got[r["run"], r["step"]]["is_spike"] == r["is_spike"] for r in spikes) and any(r["is_spike"] for r in spikes)
     assert all(got[r["run"], r["step"]]["is_plateau"] == r["is_plateau"] for r in plateaus) and any(r["is_plateau"] for r in plateaus)
     assert all(got[r["run"], r["step"]]["counter"] == r["counter"] for r in stops)
 
 
-def test_stream_alert_dedup(event_files):
-    df, stream = event_files
-    us = F.unix_micros("ts").alias("us")
-    got = drain_to_table(monitor.streaming_alert_dedup(stream.select("run", "step", us), "run", "step", "us", 1000), "t")
-    want = serving.alert_dedup(df.select("run", "step", us), "run", "step", "us", 1000)
+def test_stream_loss_monitor_ends_at_a_nonfinite_loss(spark, shuffled_files):
+    df, stream = shuffled_files
+    broken = stream.withColumn("value", F.when((F.col("step") == 303), float("nan")).otherwise(F.col("value")))
+    got = drain_to_table(monitor.streaming_loss_monitor(broken, "run", "step", "value", "ts", delay="70 minutes"), "t")
+    last = {r["run"]: r["last"] for r in got.groupBy("run").agg(F.max("step").alias("last")).collect()}
+    assert last == {0: 303, 1: 829, 2: 827}
+    assert got.filter("step = 303").first()["should_stop"] is True
+
+
+def test_stream_alert_dedup_equals_batch_on_shuffled_arrival(shuffled_files):
+    df, stream = shuffled_files
+    got = drain_to_table(monitor.streaming_alert_dedup(stream, "run", "step", "ts", window_seconds=1000, delay="70 minutes"), "t")
+    want = serving.alert_dedup(df.filter(F.col("step") <= UPTO).select("run", "step", F.unix_micros("ts").alias("us")), "run", "step", "us", 1000)
     assert sorted(r["step"] for r in got.collect()) == sorted(r["step"] for r in want.collect())
 
 
+@pytest.mark.parametrize("statistic", ["p99", "p50", "max"])
+def test_stream_alarms_equal_batch_on_shuffled_arrival(shuffled_files, statistic):
+    df, stream = shuffled_files
+    got = drain_to_table(monitor.streaming_alarm(stream, "run", "ts", "value", statistic, ">", 45.0, 2, "breaching", 420, "70 minutes"), "t").collect()
+    # Seven rows a period: the exact value at rank ceil(p * n).
+    quantile = {"p99": 0.99, "p50": 0.5, "max": 1.0}[statistic]
+    rank = lambda v: F.element_at(F.sort_array(F.collect_list(v)), F.ceil(quantile * F.count(v) - 1e-9).cast("int"))
+    periods = df.groupBy("run", F.floor(serving.epoch("ts") / 420).alias("period")).agg(rank("value").alias("value"))
+    want = {(r["run"], r["period"]): r for r in serving.alarm_states(periods, "run", ">", 45.0, 2, "breaching").collect()}
+    assert len(got) > 300 // 3 and any(r["in_alarm"] for r in got) == any(want[r["run"], r["period"]]["in_alarm"] for r in got)
+    for r in got:
+        assert (r["value"], r["breaching"], r["in_alarm"]) == tuple(want[r["run"], r["period"]][c] for c in ("value", "breaching", "in_alarm"))
+
+
 def test_stream_metric_sink_logs_failures(spark, event_files, tmp_path, caplog):
     df, stream = event_files
     out = str(tmp_path / "metrics")
