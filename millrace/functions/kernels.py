@@ -47,6 +47,53 @@ def _longest_common_subsequence(left, right):
     return len(left) - row.bit_count()
 
 
+def _matched_places(left, right):
+    """Places in ``left`` of one longest common subsequence with ``right``: of several, that with the latest matches."""
+    width = len(right) + 1
+    best = [[0] * width]
+    for word in left:
+        above, row = best[-1], [0] * width
+        for j, other in enumerate(right):
+            row[j + 1] = above[j] + 1 if word == other else max(above[j + 1], row[j])
+        best.append(row)
+    places, i, j = set(), len(left), len(right)
+    while i and j:
+        if left[i - 1] == right[j - 1]:
+            i, j = i - 1, j - 1
+            places.add(i)
+        elif best[i][j - 1] > best[i - 1][j]:
+            j -= 1
+        else:
+            i -= 1
+    return places
+
+
+def _union_matches(prediction, reference):
+    """Words of the reference sentences that some prediction sentence matches in order, each word of either side once."""
+    from collections import Counter
+
+    free, other = Counter(w for s in reference for w in s), Counter(w for s in prediction for w in s)
+    hits = 0
+    for sentence in reference:
+        union = set()
+        for candidate in prediction:
+            union |= _matched_places(sentence, candidate)
+        for place in sorted(union):
+            word = sentence[place]
+            if free[word] > 0 and other[word] > 0:
+                hits += 1
+                free[word] -= 1
+                other[word] -= 1
+    return hits
+
+
+@F.pandas_udf(T.IntegerType())
+def sentence_matches(prediction: pd.Series, reference: pd.Series) -> pd.Series:
+    """Union of longest common subsequences over sentence pairs; sentences are lines of split words."""
+    sides = ([[line.split() for line in t.split("\n")] for t in side] for side in (prediction, reference))
+    return pd.Series([_union_matches(p, r) for p, r in zip(*sides)], dtype="int32")
+
+
 @F.pandas_udf(T.IntegerType())
 def common_tokens(prediction: pd.Series, reference: pd.Series) -> pd.Series:
     """Size of the multiset intersection of the whitespace tokens."""

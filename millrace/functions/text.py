@@ -39,6 +39,12 @@ def rouge_text(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "))
 
 
+def rouge_lines(text: Column) -> Column:
+    """``rouge_text`` of every line that has words, one a line."""
+    lines = F.transform(F.split(text, "\n"), rouge_text)
+    return F.array_join(F.array_remove(lines, ""), "\n")
+
+
 def bleu_text(text: Column) -> Column:
     """The mteval 13a word split, as space separated text."""
     out = F.regexp_replace(text, "-\n", "")

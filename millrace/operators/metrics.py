@@ -12,8 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.fixed import TOXIC_KEYWORDS
-from millrace.functions.kernels import bleu_matches, common_tokens, rouge_matches
-from millrace.functions.text import bleu_text, ngrams, normalised_answer, rouge_text, strip, tokens
+from millrace.functions.kernels import bleu_matches, common_tokens, rouge_matches, sentence_matches
+from millrace.functions.text import bleu_text, ngrams, normalised_answer, rouge_lines, rouge_text, strip, tokens
 from millrace.plans.skew import SMALL_TOTAL, hot_key_join
 
 
@@ -78,7 +78,11 @@ def batch_f1(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def rouge_per_row(pairs: DataFrame) -> DataFrame:
-    """Add rouge1, rouge2 and rougeL F-measures."""
+    """Add rouge1, rouge2, rougeL and rougeLsum F-measures.
+
+    rougeLsum takes every line as a sentence: words of a reference line count if they lie on a
+    longest common subsequence with any prediction line, each word once.
+    """
     ready = pairs.withColumns(
         {
             "_p": rouge_text(F.coalesce(F.col("prediction"), F.lit(""))),
@@ -86,7 +90,15 @@ def rouge_per_row(pairs: DataFrame) -> DataFrame:
         }
     )
     matched = ready.withColumns(
-        {"_m": rouge_matches("_p", "_r"), "_np": F.size(tokens(F.col("_p"))), "_nr": F.size(tokens(F.col("_r")))}
+        {
+            "_m": rouge_matches("_p", "_r"), "_np": F.size(tokens(F.col("_p"))), "_nr": F.size(tokens(F.col("_r"))),
+            "_sp": rouge_lines(F.coalesce(F.col("prediction"), F.lit(""))), "_sr": rouge_lines(F.coalesce(F.col("reference"), F.lit(""))),
+        }
+    )
+    # Where both sides are one line the plain subsequence is the union; only others are matched again.
+    several = F.contains("_sp", F.lit("\n")) | F.contains("_sr", F.lit("\n"))
+    matched = matched.withColumn(
+        "_u", F.coalesce(sentence_matches(F.when(several, F.col("_sp")).otherwise(""), F.when(several, F.col("_sr")).otherwise("")), F.lit(0))
     )
     zero = F.lit(0)
     return matched.withColumns(
@@ -96,12 +108,13 @@ def rouge_per_row(pairs: DataFrame) -> DataFrame:
                 F.col("_m.m2"), F.greatest(F.col("_np") - 1, zero), F.greatest(F.col("_nr") - 1, zero)
             ),
             "rougeL": f_measure(F.col("_m.lcs"), F.col("_np"), F.col("_nr")),
+            "rougeLsum": f_measure(F.when(several, F.col("_u")).otherwise(F.col("_m.lcs")), F.col("_np"), F.col("_nr")),
         }
-    ).drop("_p", "_r", "_m", "_np", "_nr")
+    ).drop("_p", "_r", "_m", "_np", "_nr", "_sp", "_sr", "_u")
 
 
 def rouge(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    return rouge_per_row(pairs).groupBy(*by).agg(*[_mean_or_zero(F.col(m)).alias(m) for m in ("rouge1", "rouge2", "rougeL")])
+    return rouge_per_row(pairs).groupBy(*by).agg(*[_mean_or_zero(F.col(m)).alias(m) for m in ("rouge1", "rouge2", "rougeL", "rougeLsum")])
 
 
 def bleu(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -16,6 +16,7 @@ from millrace.functions.kernels import ks_p_value
 from millrace.operators.clean import clean_text
 from millrace.operators.drift import OUTPUT_METRICS, ks_constant_statistic, output_features
 from millrace.operators.pii import mask
+from millrace.operators.sketches import QUANTILE_ITEMS
 from millrace.operators.validate import capture_sample
 from millrace.streaming.stateful import Losses, Spacing, Streaks, by_key
 
@@ -35,15 +36,10 @@ def streaming_rollup(
     )
 
 
-# Items a quantile sketch keeps on its first level: ranks are right within about 0.25% of the rows
-# (2.3 / SKETCH_ITEMS ** 0.9, with 99% confidence), and exact up to so many rows.
-SKETCH_ITEMS = 2000
-
-
 def _statistic(value: str, statistic: str) -> Column:
     """sum, avg, min or max of a period, or pNN from a mergeable quantile sketch."""
     if statistic.startswith("p"):
-        sketch = F.kll_sketch_agg_double(F.col(value), SKETCH_ITEMS)
+        sketch = F.kll_sketch_agg_double(F.col(value), QUANTILE_ITEMS)
         return F.kll_sketch_get_quantile_double(sketch, F.lit(float(statistic[1:]) / 100))
     return getattr(F, statistic)(value).cast("double")
 

@@ -339,9 +339,9 @@ def _(spark, sf):
     return clean.dedup_exact(load(spark, sf, "documents"), "doc_id", "text").select("doc_id", F.md5("text").alias("text_md5"))
 
 
-def _near_sql(threshold: float) -> str:
+def _near_sql(threshold: float, where: str = "true") -> str:
     """Every pair of documents, then the drops in key order, each by its kept predecessors."""
-    return f"""with recursive t as (select doc_id, {toks('text')} as t from documents),
+    return f"""with recursive t as (select doc_id, {toks('text')} as t from documents where {where}),
     s as (select distinct doc_id, array_to_string(list_slice(t, i, i + least(5, len(t)) - 1), ' ') as g
       from (select doc_id, t, unnest(range(1, greatest(len(t) - 4, 1) + 1)) as i from t where len(t) > 0)),
     n as (select doc_id, count(*) as n from s group by doc_id),
@@ -394,14 +394,14 @@ def _(spark, sf):
 
 @query(
     "cleaning_report",
-    f"""select count(*) as total_input, (select count(distinct text) from documents where lang <> 'fr') as total_output,
-      count(*) filter (lang = 'fr') as dropped_empty,
-      (count(*) filter (lang <> 'fr') - (select count(distinct text) from documents where lang <> 'fr'))::bigint as near_duplicates_removed from documents""",
+    f"""with near as ({_near_sql(0.8, "lang <> 'fr'")})
+    select count(*) as total_input, count(*) filter (lang <> 'fr') - (select count(*) from near) as total_output,
+      count(*) filter (lang = 'fr') as dropped_empty, (select count(*) from near) as near_duplicates_removed from documents""",
 )
 def _(spark, sf):
     docs = load(spark, sf, "documents").withColumn("text", F.when(F.col("lang") == "fr", " ").otherwise(F.col("text")))
     kept = clean.drop_empty(docs, ["text"])
-    return clean.cleaning_report(docs, kept, clean.dedup_exact(kept, "doc_id", "text"))
+    return clean.cleaning_report(docs, kept, dedup.dedup_near(kept, "doc_id", "text", 0.8))
 
 
 # ---- personal data -----------------------------------------------------------------------------
@@ -493,6 +493,32 @@ def _(spark, sf):
     return changed.filter(F.col("text") != F.col("before")).select("doc_id", F.md5("text").alias("text_md5"))
 
 
+@query(
+    "pii_gate",
+    f"""with hit as ({_PII_SQL}) select lang, count(*) as docs, count(*) filter (doc_id in (select doc_id from hit)) = 0 as passed from documents group by lang
+    union all select 'without', count(*), count(*) filter (doc_id in (select doc_id from hit)) = 0 from documents where doc_id not in (select doc_id from hit)""",
+)
+def _(spark, sf):
+    docs = load(spark, sf, "documents")
+    clean_docs = pii.redact(docs, "remove", ["text"]).withColumn("lang", F.lit("without"))
+    out = []
+    # One gate for each language, a handful of names.
+    for (lang,) in docs.select("lang").distinct().collect():
+        out.append((lang, docs.filter(F.col("lang").eqNullSafe(F.lit(lang)))))
+    rows = []
+    for lang, part in [*out, ("without", clean_docs)]:
+        try:
+            pii.pii_gate(part.select("text"))
+            passed = True
+        except pii.PersonalDataFound:
+            passed = False
+        rows.append(part.agg(F.lit(lang).cast("string").alias("lang"), F.count("*").alias("docs"), F.lit(passed).alias("passed")))
+    whole = rows[0]
+    for row in rows[1:]:
+        whole = whole.unionByName(row)
+    return whole
+
+
 @query("pii_person", f"select count(*) as docs, sum(len(regexp_extract_all(text, '{pii.person_pattern()}')))::bigint as names from documents")
 def _(spark, sf):
     counts = pii.entity_counts(F.col("text"), persons=True)

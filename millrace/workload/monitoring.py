@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions.fixed import INSTANCE_PRICES, REFUSAL_PHRASES
-from millrace.operators import drift, metrics, requests, runs, serving
+from millrace.operators import drift, metrics, requests, runs, serving, sketches
 from millrace.workload import TURN_PAIRS_SQL, load, query, rounded, toks, turn_pairs
 
 _REFUSAL = "(?i)(" + "|".join(p.replace("'", "''") for p in REFUSAL_PHRASES) + ")"
@@ -387,6 +387,18 @@ _GREEDY_SQL = """with recursive a as (select event_type, epoch_us(ts) as at_us,
     select a.event_type, a.event_id from walk w join a on a.event_type = w.event_type and a.at_us = w.at_us"""
 
 
+@query(
+    "latency_sketches",
+    """with r as (select event_type, epoch_us(ts) // 604800000000 as week, value, row_number() over w as r, count(*) over (partition by event_type, epoch_us(ts) // 604800000000) as n from events
+      window w as (partition by event_type, epoch_us(ts) // 604800000000 order by value))
+    select event_type, week, count(*) as n, min(case when r >= ceil(0.5 * n) then value end) as p50, min(case when r >= ceil(0.99 * n) then value end) as p99 from r group by all""",
+)
+def _(spark, sf):
+    events = _events(spark, sf).withColumn("day", F.floor(F.col("seconds") / 86_400))
+    daily = sketches.quantile_sketches(events, ["event_type", "day"], "value").withColumn("week", F.floor(F.col("day") / 7))
+    return sketches.quantiles(daily, ["event_type", "week"], {"p50": 0.5, "p99": 0.99})
+
+
 @query("alert_dedup", _GREEDY_SQL)
 def _(spark, sf):
     alerts = load(spark, sf, "events").select("event_type", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at_us"))

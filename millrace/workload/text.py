@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions.fixed import TOXIC_KEYWORDS
-from millrace.operators import evaluate, metrics as m, serving, tokens
+from millrace.operators import evaluate, metrics as m, serving, sketches, tokens
+from millrace.plans.durable import materialise
+from millrace.plans.skew import null_safe_join
 from millrace.workload import DOC_PAIRS_SQL, TURN_PAIRS_SQL, doc_pairs, load, query, rounded, toks, turn_pairs
 
 _KEYWORDS = ", ".join(f"'{w}'" for w in TOXIC_KEYWORDS)
@@ -110,7 +112,31 @@ def _(spark, sf):
 
 @query("rouge_l")
 def _(spark, sf):
-    return rounded(m.rouge_per_row(turn_pairs(spark, sf)).select("pair_id", F.col("rougeL").alias("rouge_l")))
+    return rounded(m.rouge_per_row(turn_pairs(spark, sf)).select("pair_id", F.col("rougeL").alias("rouge_l"), F.col("rougeLsum").alias("rouge_l_sum")))
+
+
+_GRAMS_SQL = f"""select lang, source, array_to_string(t[i : i + 1], ' ') as g
+    from (select lang, source, t, unnest(range(1, len(t))) as i from (select lang, source, {toks('lower(text)')} as t from documents) where len(t) > 1)"""
+
+
+@query(
+    "distinct_sketches",
+    f"""with g as ({_GRAMS_SQL}), s as (select lang, source, count(*) as n from g group by all)
+    select lang, sum(n)::bigint as total_ngrams, count(*) as sketches, (select count(distinct g) from g where g.lang is not distinct from s.lang) as exact_ngrams,
+      true as near, true as same_as_one_pass from s group by lang""",
+)
+def _(spark, sf):
+    docs = load(spark, sf, "documents")
+    stored = materialise(sketches.ngram_sketches(docs, "text", 2, ["lang", "source"]), "gram-sketches")
+    united = sketches.approx_distinct_n(stored, ["lang"]).select("lang", "total_ngrams", "distinct_ngrams")
+    once = sketches.approx_distinct_n(sketches.ngram_sketches(docs, "text", 2, ["lang"]), ["lang"]).select("lang", F.col("distinct_ngrams").alias("once"))
+    exact = m.distinct_n(docs, "text", 2, ["lang"]).select("lang", F.col("distinct_ngrams").alias("exact_ngrams"))
+    counts = stored.groupBy("lang").agg(F.count("*").alias("sketches"))
+    rows = null_safe_join(null_safe_join(null_safe_join(united, once, ["lang"]), exact, ["lang"]), counts, ["lang"])
+    # Three standard errors; a union may use another estimator than one pass, so they agree to one.
+    near = F.abs(F.col("distinct_ngrams") - F.col("exact_ngrams")) <= 0.02 * F.col("exact_ngrams")
+    same = F.abs(F.col("distinct_ngrams") - F.col("once")) <= 0.0065 * F.col("exact_ngrams")
+    return rows.select("lang", "total_ngrams", "sketches", "exact_ngrams", near.alias("near"), same.alias("same_as_one_pass"))
 
 
 def _bleu_toks(col: str) -> str:
@@ -354,6 +380,21 @@ def _(spark, sf):
     return rounded(rows.withColumn("relative_change_pct", F.round("relative_change_pct", 4)))
 
 
+_BASE_PAIRS = f"""with models as ({_MODELS_SQL}), pairs as (select pair_id * 2 as k2, text_a as prediction, reference from models union all select pair_id * 2 + 1, text_b, reference from models)"""
+
+
+@query(
+    "compare_against_base",
+    f"""{_BASE_PAIRS}, h as (select k2 % 2 as side, avg((lower(trim(prediction, e' \\t\\n\\r')) = lower(trim(reference, e' \\t\\n\\r')))::int) as hit from pairs group by all)
+    select 'exact_match' as metric, round(max(case when side = 0 then hit end), 6)::double as model_a_value, round(max(case when side = 1 then hit end), 6)::double as model_b_value from h""",
+)
+def _(spark, sf):
+    scored = evaluate.sample_scores(_two_models(spark, sf), ["rouge_l", "exact_match"], "text_a", "text_b")
+    # SQL has no longest common subsequence; the other metric is checked in the tests.
+    rows = evaluate.compare_against_base(scored).filter("metric = 'exact_match'")
+    return rounded(rows.select("metric", "model_a_value", "model_b_value"))
+
+
 @query("paired_bootstrap")
 def _(spark, sf):
     names = ["exact_match", "f1_token"]

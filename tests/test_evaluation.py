@@ -1,15 +1,17 @@
 """Metrics, model comparison and drift."""
 
+import bisect
 import itertools
 import math
 import random
+import re
 
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from millrace.functions.kernels import ks_p_value
-from millrace.operators import drift, evaluate, metrics as m
+from millrace.operators import drift, evaluate, metrics as m, sketches
 
 PAIRS = "id int, prediction string, reference string"
 
@@ -76,6 +78,80 @@ def test_f1_is_symmetric_and_rouge_l_matches_table(spark, rows):
         assert row["rouge1"] >= row["rougeL"] - 1e-12
 
 
+def union_lcs_by_hand(prediction, reference):
+    """Hits of rougeLsum by enumerating subsequences; small sentences without repeated words have one longest."""
+    hits, free = 0, {w for line in prediction for w in line}
+    for sentence in reference:
+        union = set()
+        for other in prediction:
+            best = ()
+            for size in range(min(len(sentence), len(other)), 0, -1):
+                found = [c for c in itertools.combinations(range(len(sentence)), size) if _is_subsequence([sentence[i] for i in c], other)]
+                if found:
+                    assert len(found) == 1 or size
+                    best = max(found, key=lambda c: c[::-1])
+                    break
+            union |= set(best)
+        for i in sorted(union):
+            if sentence[i] in free:
+                free.discard(sentence[i])
+                hits += 1
+    return hits
+
+
+def _is_subsequence(part, whole):
+    rest = iter(whole)
+    return all(w in rest for w in part)
+
+
+def test_rouge_l_sum_is_the_union_over_lines(spark):
+    cases = [
+        ("the cat sat", "the cat sat"), ("w1 w2 w6 w7 w8\nw1 w3 w8 w9 w5", "w1 w2 w3 w4 w5"), ("a b\nc d", "c d\na b"), ("a\n\n  \nb c", "b a c"), ("", "x\ny"), ("x\ny", ""),
+        ("One, two.\nThree!", "three two\none"), ("p q r\ns t", "t s\nr q p\nz"),
+    ]
+    for (p, r), row in zip(cases, m.rouge_per_row(pairs(spark, *cases)).orderBy("id").collect()):
+        a, b = ([re.findall("[a-z0-9]+", line.lower()) for line in side.split("\n")] for side in (p, r))
+        n, size = union_lcs_by_hand([s for s in a if s], [s for s in b if s]), sum(map(len, a)) + sum(map(len, b))
+        assert row["rougeLsum"] == pytest.approx(2 * n / size if n else 0.0), (p, r)
+    # The example that defines the measure: four of five reference words lie on one of two subsequences.
+    second = m.rouge_per_row(pairs(spark, cases[1])).first()
+    assert second["rougeLsum"] == pytest.approx(2 * 4 / 15)
+
+
+def test_compare_against_base_uses_both_metrics(spark):
+    rows = [(i, "a b c" if i % 2 else "x", "a b c", "a b c") for i in range(40)]
+    df = spark.createDataFrame(rows, "pair_id long, text_a string, text_b string, reference string")
+    scored = evaluate.sample_scores(df, ["rouge_l", "exact_match"], "text_a", "text_b")
+    found = {r["metric"]: r for r in evaluate.compare_against_base(scored).collect()}
+    assert set(found) == {"rouge_l", "exact_match"}
+    assert all((r["model_a_value"], r["model_b_value"], r["winner"]) == (0.5, 1.0, "model_b") for r in found.values())
+
+
+def test_quantile_sketches_merge_within_their_error(spark):
+    import random
+
+    draw = random.Random(1)
+    values = [draw.lognormvariate(3, 1) for _ in range(60_000)]
+    df = spark.createDataFrame([(i % 7, i % 2, v) for i, v in enumerate(values)] + [(0, 0, None), (0, 0, float("nan"))], "day int, k int, v double")
+    daily = sketches.quantile_sketches(df, ["k", "day"], "v")
+    assert daily.count() == 14
+    for row in sketches.quantiles(daily, ["k"], {"p50": 0.5, "p99": 0.99}).collect():
+        own = sorted(v for i, v in enumerate(values) if i % 2 == row["k"])
+        assert row["n"] == len(own)
+        for name, q in (("p50", 0.5), ("p99", 0.99)):
+            assert abs(bisect.bisect_right(own, row[name]) / len(own) - q) < 0.006
+
+
+def test_distinct_sketches_unite(spark):
+    texts = [(d, f"w{i % 5000} w{i * 7 % 9001} x") for d in range(3) for i in range(d * 3000, d * 3000 + 6000)] + [(9, "one"), (9, None)]
+    df = spark.createDataFrame(texts, "day int, t string")
+    stored = sketches.ngram_sketches(df, "t", 2, ["day"])
+    assert {r["day"] for r in stored.collect()} == {0, 1, 2}
+    exact, found = m.distinct_n(df, "t", 2).first(), sketches.approx_distinct_n(stored).first()
+    assert found["total_ngrams"] == exact["total_ngrams"] and found["distinct_ngrams"] == pytest.approx(exact["distinct_ngrams"], rel=0.02)
+    assert found["distinct_n"] + found["repetition_rate"] == pytest.approx(1.0)
+
+
 def test_rouge_splits_on_other_characters(spark):
     row = m.rouge_per_row(pairs(spark, ("The CAT-sat!", "the cat sat"))).first()
     assert row["rouge1"] == row["rouge2"] == row["rougeL"] == 1.0
