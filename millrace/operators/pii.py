@@ -9,18 +9,22 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.functions.fixed import GIVEN_NAMES, NAME_TITLES, PERSON_SCORE, PII_PATTERNS, PII_PRETESTS
 from millrace.functions.kernels import find_entities
 from millrace.functions.text import tokens
+from millrace.operators.names import mask_spans, person_spans
+from millrace.plans.durable import materialise
+from millrace.plans.skew import null_safe_join
 
 
 def person_pattern(given_names: Sequence[str] = GIVEN_NAMES) -> str:
     """Title or listed given name followed by one or two capitalised words.
 
-    A word list cannot match a language model: names outside the list and without a title are
-    missed.  Pass a longer list, or join the output of a recogniser of your own.
+    A short list cannot match a language model: names outside it and without a title are missed.
+    ``names`` and ``finder`` of the functions below take a table of any length or a recogniser.
     """
     titles = "|".join(NAME_TITLES)
     names = "|".join(given_names)
     word = "[A-Z][a-z]+"
-    return rf"\b(?:(?:{titles})\.? {word}(?: {word})?|(?:{names}) {word})\b"
+    listed = rf"|(?:{names}) {word}" if names else ""
+    return rf"\b(?:(?:{titles})\.? {word}(?: {word})?{listed})\b"
 
 
 def _patterns(threshold: float, persons: bool, given_names: Sequence[str]) -> dict[str, tuple[str, float]]:
@@ -59,11 +63,14 @@ def pii_scan(
     threshold: float = 0.0,
     persons: bool = True,
     given_names: Sequence[str] = GIVEN_NAMES,
+    names: DataFrame | None = None,
+    finder: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Entity rows (key, field, entity_type, start, end, score, text_snippet) of (key, field, text).
 
     Texts that match no pattern are dropped on the JVM; only the rest go to Python for offsets.
-    Card numbers must pass the Luhn check.
+    Card numbers must pass the Luhn check.  With a table of ``names`` or a ``finder`` (see
+    ``names.person_spans``) persons come from these and from the pattern; one span is told once.
     """
     patterns = _patterns(threshold, persons, given_names)
     text = F.col("text")
@@ -71,7 +78,15 @@ def pii_scan(
     for kind, (pattern, _) in patterns.items():
         hit = hit | (_worth_trying(text, kind) & text.rlike(pattern))
     found = texts.filter(hit).select(key, "field", F.explode(find_entities(patterns)(text)).alias("e")).select(key, "field", "e.*")
-    return found.filter((F.col("entity_type") != "CREDIT_CARD") | is_card(F.col("text_snippet")))
+    found = found.filter((F.col("entity_type") != "CREDIT_CARD") | is_card(F.col("text_snippet")))
+    if not _by_table(names, finder) or threshold > PERSON_SCORE:
+        return found
+    listed = person_spans(texts, key, names, finder).filter(F.col("score") >= threshold)
+    return found.unionByName(listed).dropDuplicates([key, "field", "entity_type", "start", "end"])
+
+
+def _by_table(names: DataFrame | None, finder) -> bool:
+    return names is not None or finder is not None
 
 
 def entity_counts(text: Column, threshold: float = 0.0, persons: bool = False, given_names: Sequence[str] = GIVEN_NAMES) -> dict[str, Column]:
@@ -93,16 +108,25 @@ def pii_by_type(texts: DataFrame, key: str, threshold: float = 0.0, persons: boo
     return per_sample.groupBy("entity_type").agg(F.sum("n").alias("entities"), F.count(F.lit(1)).alias("samples"))
 
 
-def flag_samples(texts: DataFrame, key: str, threshold: float = 0.0, persons: bool = False) -> DataFrame:
+def flag_samples(
+    texts: DataFrame, key: str, threshold: float = 0.0, persons: bool = False,
+    names: DataFrame | None = None, finder: Callable[[Column], Column] | None = None,
+) -> DataFrame:
     """(key, entities): every sample with its number of entities."""
     counts = entity_counts(F.col("text"), threshold, persons)
-    total = sum(counts.values(), F.lit(0))
-    return texts.groupBy(key).agg(F.coalesce(F.sum(total), F.lit(0)).alias("entities"))
+    rows = texts.select(key, sum(counts.values(), F.lit(0)).alias("_n"))
+    if _by_table(names, finder) and threshold <= PERSON_SCORE:
+        listed = person_spans(texts, key, names, finder).filter(F.col("score") >= threshold)
+        rows = rows.unionByName(listed.select(key, F.lit(1).alias("_n")))
+    return rows.groupBy(key).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("entities"))
 
 
-def pii_report(texts: DataFrame, key: str, threshold: float = 0.0, persons: bool = False) -> DataFrame:
+def pii_report(
+    texts: DataFrame, key: str, threshold: float = 0.0, persons: bool = False,
+    names: DataFrame | None = None, finder: Callable[[Column], Column] | None = None,
+) -> DataFrame:
     """samples_with_pii and samples_clean; the flagged ids are ``flag_samples`` with entities > 0."""
-    flagged = flag_samples(texts, key, threshold, persons)
+    flagged = flag_samples(texts, key, threshold, persons, names, finder)
     return flagged.agg(
         F.count_if(F.col("entities") > 0).alias("samples_with_pii"),
         F.count_if(F.col("entities") == 0).alias("samples_clean"),
@@ -189,11 +213,22 @@ def redact(
     seed: int = 42,
     persons: bool = False,
     given_names: Sequence[str] = GIVEN_NAMES,
+    names: DataFrame | None = None,
+    finder: Callable[[Column], Column] | None = None,
+    key: str = "sample_id",
 ) -> DataFrame:
     """mask or replace the entities of every field and turn, or remove the rows that have any.
 
-    Replacements are synthetic values; equal originals get equal replacements.
+    Replacements are synthetic values; equal originals get equal replacements.  Persons of the
+    fields found by ``names`` or ``finder`` are masked by span before the patterns run (``replace``
+    masks them too), which needs the unique column ``key``.
     """
+    if _by_table(names, finder):
+        spans = person_spans(long_texts(df, key, fields), key, names, finder)
+        if strategy == "remove":
+            df = null_safe_join(df, spans.select(key).distinct(), [key], "left_anti")
+        else:
+            df = mask_spans(df, key, fields, materialise(spans, "person-spans"))
     patterns = _patterns(0.0, persons, given_names)
     if strategy == "mask":
         return _rewrite_columns(df, fields, turns, patterns, _tag)
@@ -212,10 +247,19 @@ class PersonalDataFound(Exception):
     """Raised by ``pii_gate``."""
 
 
-def pii_gate(texts: DataFrame, threshold: float = 0.0, persons: bool = False) -> None:
-    """Fail if any text holds personal data; stops at the first hit."""
+def pii_gate(
+    texts: DataFrame, threshold: float = 0.0, persons: bool = False,
+    names: DataFrame | None = None, finder: Callable[[Column], Column] | None = None,
+) -> None:
+    """Fail if any text holds personal data; stops at the first hit.
+
+    With ``names`` or ``finder`` the texts need their key ``sample_id`` and ``field`` too.
+    """
     total = sum(entity_counts(F.col("text"), threshold, persons).values(), F.lit(0))
-    if not texts.filter(total > 0).isEmpty():
+    found = not texts.filter(total > 0).isEmpty()
+    if not found and _by_table(names, finder) and threshold <= PERSON_SCORE:
+        found = not person_spans(texts, "sample_id", names, finder).filter(F.col("score") >= threshold).isEmpty()
+    if found:
         raise PersonalDataFound("personal data found; no output was written")
 
 

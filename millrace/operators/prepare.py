@@ -37,9 +37,11 @@ class PrepareConfig:
     fields: tuple[str, ...] = field(default=("instruction", "input", "output", "system_prompt"))
 
 
-def prepare_corpus(spark: SparkSession, config: PrepareConfig, rows: DataFrame | None = None) -> DataFrame:
+def prepare_corpus(spark: SparkSession, config: PrepareConfig, rows: DataFrame | None = None, names: DataFrame | None = None) -> DataFrame:
     """Run the steps and return their rows (step, name, input_count, output_count, duration_seconds).
 
+    With a table of person ``names`` the personal-data step finds these too.
+
     Every step from 1 to 6 leaves a parquet table in the work folder; ``resume_from`` starts
     from the table of the step before it.
     """
@@ -68,7 +70,7 @@ def prepare_corpus(spark: SparkSession, config: PrepareConfig, rows: DataFrame |
 
     run(1, lambda: _ingest(spark, config, rows))
     run(2, lambda: validate.normalise(table(1), "instruction")[0].drop("sample_kind"))
-    run(3, lambda: _redact(table(2), config))
+    run(3, lambda: _redact(table(2), config, names))
     run(4, lambda: _clean(table(3), config))
     run(5, lambda: render_template(table(4), config.template, input_="input", system="system_prompt"))
     run(6, lambda: _tokenize(table(5), config))
@@ -127,13 +129,13 @@ def _with_content_ids(data: DataFrame) -> DataFrame:
     return both.select("_row.*", F.concat_ws("-", "_d", F.col("_n").cast("string")).alias("sample_id"))
 
 
-def _redact(data: DataFrame, config: PrepareConfig) -> DataFrame:
+def _redact(data: DataFrame, config: PrepareConfig, names: DataFrame | None) -> DataFrame:
     texts = pii.long_texts(data, "sample_id", config.fields)
     if config.abort_on_pii:
-        pii.pii_gate(texts, persons=config.persons)
+        pii.pii_gate(texts, persons=config.persons, names=names)
     if config.pii_strategy is None:
         return data
-    return pii.redact(data, config.pii_strategy, config.fields, seed=config.seed, persons=config.persons)
+    return pii.redact(data, config.pii_strategy, config.fields, seed=config.seed, persons=config.persons, names=names)
 
 
 def _clean(data: DataFrame, config: PrepareConfig) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.fixed import ALPACA_PREAMBLE, PII_PATTERNS
 from millrace.operators import catalog, clean, convert, dedup, pii, prepare, template, tokens, validate
+from millrace.operators.names import person_spans
 from millrace.plans.durable import materialise, new_path
 from millrace.sources import readers, writers
 from millrace.workload import TURN_PAIRS_SQL, hash_order, load, query, rounded, toks, turn_pairs
@@ -525,6 +526,23 @@ def _(spark, sf):
     return load(spark, sf, "documents").agg(F.count("*").alias("docs"), F.sum(counts["PERSON"]).alias("names"))
 
 
+_WORDS_SQL = r"unnest(regexp_extract_all(text, '\pL+(?:[-''’]\pL+)*'))"
+
+
+# The capitalised first words of benchmark items stand in for a table of names.
+@query(
+    "pii_person_names",
+    f"""with names as (select distinct regexp_extract(text, '^[A-Z][a-z]+') as name from benchmark where regexp_matches(text, '^[A-Z][a-z]+ ')),
+    words as (select doc_id, {_WORDS_SQL} as word from documents)
+    select word as text_snippet, count(*) as entities, count(distinct doc_id) as samples from words join names on name = word group by word""",
+)
+def _(spark, sf):
+    listed = load(spark, sf, "benchmark").filter(F.col("text").rlike("^[A-Z][a-z]+ ")).select(F.regexp_extract("text", "^[A-Z][a-z]+", 0).alias("name"))
+    spans = person_spans(_doc_texts(spark, sf), "doc_id", listed)
+    per_doc = spans.groupBy("text_snippet", "doc_id").agg(F.count("*").alias("n"))
+    return per_doc.groupBy("text_snippet").agg(F.sum("n").alias("entities"), F.count("*").alias("samples"))
+
+
 _BLOCKED_SQL = f"len(list_intersect({toks('lower(text)')}, ['idiot', 'stupid'])) > 0 or contains(lower(text), 'of the')"
 
 

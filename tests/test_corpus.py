@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from millrace.operators import clean, convert, dedup, pii, template, tokens, validate
+from millrace.operators import clean, convert, dedup, pii, template, tokens, validate, names as names_module
 
 TURNS = "id int, conversations array<struct<role:string,content:string>>"
 
@@ -322,6 +322,65 @@ def test_no_entities(spark, text):
     assert entities(spark, [text]) == []
 
 
+def gazetteer(spark, more=()):
+    """A hundred thousand made-up names, and some that the tests use."""
+    own = ["Ada Lovelace", "Ada", "Grace Brewster Hopper", "Grace", "Jean-Luc  Picard", "Zoë Ångström", "Hopper", None, " ", *more]
+    return spark.range(100_000).selectExpr("concat('Given', id % 400, 'a Sur', id)  as name").unionByName(spark.createDataFrame([(n,) for n in own], "name string"))
+
+
+NAMED = {
+    "Ada Lovelace wrote to Grace Brewster Hopper.": ["Ada Lovelace", "Grace Brewster Hopper"],
+    "Grace Hopper met Ada.": ["Grace", "Hopper", "Ada"],
+    "ada lovelace and Lovelace are no entries": [],
+    "Captain Jean-Luc Picard's ship": ["Jean-Luc Picard"],
+    "Zoë Ångström 😀 Zoë\nÅngström": ["Zoë Ångström", "Zoë\nÅngström"],
+    "Ada, Grace; Brewster Hopper": ["Ada", "Grace", "Hopper"],
+    "": [],
+}
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_names_of_a_table_are_found_longest_first(spark, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(names_module, "BROADCAST_BYTES", 0)
+    df = spark.createDataFrame([(i, "t", text) for i, text in enumerate(NAMED)] + [(99, "t", None)], "id int, field string, text string")
+    found = names_module.person_spans(df, "id", gazetteer(spark)).orderBy("id", "start").collect()
+    for i, (text, want) in enumerate(NAMED.items()):
+        assert [r["text_snippet"] for r in found if r["id"] == i] == want
+        assert all(text[r["start"] : r["end"]] == r["text_snippet"] for r in found if r["id"] == i)
+    assert {r["entity_type"] for r in found} == {"PERSON"} and not [r for r in found if r["id"] == 99]
+
+
+def test_names_in_scan_report_gate_and_redaction(spark):
+    rows = [(0, "Ask Ada Lovelace.", "a@b.com"), (1, "Nobody here.", "nothing"), (2, None, "Hopper and Grace Hopper")]
+    df = spark.createDataFrame(rows, "sample_id int, instruction string, output string")
+    texts, table = pii.long_texts(df, "sample_id", ["instruction", "output"]), gazetteer(spark)
+    scanned = pii.pii_scan(texts, "sample_id", persons=False, names=table)
+    assert sorted((r["sample_id"], r["text_snippet"]) for r in scanned.collect()) == [(0, "Ada Lovelace"), (0, "a@b.com"), (2, "Grace"), (2, "Hopper"), (2, "Hopper")]
+    assert tuple(pii.pii_report(texts, "sample_id", names=table).first()) == (2, 1)
+    assert {r["sample_id"]: r["entities"] for r in pii.flag_samples(texts, "sample_id", names=table).collect()} == {0: 2, 1: 0, 2: 3}
+    clean_rows = texts.filter("sample_id = 1")
+    pii.pii_gate(clean_rows, names=table)
+    with pytest.raises(pii.PersonalDataFound):
+        pii.pii_gate(texts.filter("sample_id = 2"), names=table)
+    masked = {r["sample_id"]: (r["instruction"], r["output"]) for r in pii.redact(df, "mask", ["instruction", "output"], names=table).collect()}
+    assert masked == {0: ("Ask <PERSON>.", "<EMAIL_ADDRESS>"), 1: rows[1][1:], 2: (None, "<PERSON> and <PERSON> <PERSON>")}
+    assert [r["sample_id"] for r in pii.redact(df, "remove", ["instruction", "output"], names=table).collect()] == [1]
+
+
+def test_a_recogniser_joins_in(spark):
+    @F.pandas_udf("array<struct<start int, end int, score double>>")
+    def finder(text):
+        import re
+
+        return text.map(lambda t: [(m.start(), m.end(), 0.5) for m in re.finditer("the [a-z]+ lady", t or "")])
+
+    df = spark.createDataFrame([(0, "t", "The tall one met the iron lady and Ada"), (1, "t", "x")], "id int, field string, text string")
+    got = lambda **o: [r["text_snippet"] for r in pii.pii_scan(df, "id", persons=False, finder=finder, **o).orderBy("start").collect()]
+    assert got() == ["the iron lady"] and got(names=gazetteer(spark)) == ["the iron lady", "Ada"]
+    assert got(threshold=0.6) == []
+
+
 def test_threshold_reports_and_gate(spark):
     assert entities(spark, ["My SSN is 219-09-9999."], threshold=0.99) == []
     df = spark.createDataFrame([(0, "Clean.", "No PII."), (1, "SSN.", "My SSN is 219-09-9999. a@b.com")], "id int, instruction string, output string")
