@@ -48,16 +48,13 @@ def _(spark, sf):
 # The closed form of the exact p-value; the alternating sum over k as a list.
 def _p_sql(h: str, n: str) -> str:
     term = f"case when k % 2 = 1 then 2.0 else -2.0 end * exp(2 * lgamma({n} + 1) - lgamma({n} - k * {h} + 1) - lgamma({n} + k * {h} + 1))"
-    exact = f"greatest(0.0, least(1.0, list_sum(list_transform(range(1, ({n} // {h}) + 1), lambda k: {term}))))"
-    x = f"({h} / {n} * sqrt({n} / 2.0))"
-    limit = f"greatest(0.0, least(1.0, list_sum(list_transform(range(1, 101), lambda k: case when k % 2 = 1 then 2.0 else -2.0 end * exp(-2.0 * k * k * {x} * {x})))))"
-    return f"case when {n} > 10000 then {limit} else {exact} end"
+    return f"case when {h} <= 0 then 1.0 else greatest(0.0, least(1.0, list_sum(list_transform(range(1, ({n} // greatest({h}, 1)) + 1), lambda k: {term})))) end"
 
 
 @query(
     "ks_vs_constant",
     f"""with c as (select user_id, greatest(count(*) filter (value < 40), count(*) filter (value > 40)) as h, count(*) as n from events group by user_id)
-    select user_id, round(h / n, 9)::double as statistic, round({_p_sql('h', 'n')}, 9)::double as p_value, n from c""",
+    select user_id, round(h / n, 9)::double as statistic, round({_p_sql('h', 'n')}, 9)::double as p_value, n, 'exact' as method from c""",
 )
 def _(spark, sf):
     return rounded(drift.ks_vs_constant(load(spark, sf, "events"), "value", 40.0, ["user_id"]), 9)
@@ -94,7 +91,20 @@ def _(spark, sf):
     return rounded(drift.output_drift(load(spark, sf, "documents"), "text", _BASE, ["lang"]).drop("details"))
 
 
-@query("output_drift_details")
+_NOTES_SQL = " union all ".join(
+    [
+        f"select lang, printf('{m}: drift detected (p=%.4f, stat=%.4f)', {_p_sql(f'h_{m}', 'n')}, h_{m} / n) as detail from s where n >= 2 and {_p_sql(f'h_{m}', 'n')} < 0.05"
+        for m in drift.OUTPUT_METRICS
+    ]
+    + [f"select lang, printf('refusal_rate: %.2f -> %.2f', {_BASE['refusal_rate']}::double, refusal_rate) from s where abs(refusal_rate - {_BASE['refusal_rate']}) > 0.1"]
+)
+
+
+@query(
+    "output_drift_details",
+    f"""{_FEATURES_SQL}, s as (select lang, count(*) as n, {', '.join(f"greatest(count(*) filter ({m} < {_BASE[m]}), count(*) filter ({m} > {_BASE[m]})) as h_{m}" for m in drift.OUTPUT_METRICS)},
+      avg(refusal_rate) as refusal_rate from f group by lang) {_NOTES_SQL}""",
+)
 def _(spark, sf):
     found = drift.output_drift(load(spark, sf, "documents"), "text", _BASE, ["lang"])
     return found.select("lang", F.explode("details").alias("detail"))

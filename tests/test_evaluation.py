@@ -6,11 +6,12 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from millrace.functions.kernels import ks_p_value
+from millrace.functions.kernels import equal_sizes_p, expansion_p, ks_p_value, lattice_p
 from millrace.operators import drift, evaluate, metrics as m, sketches
 
 PAIRS = "id int, prediction string, reference string"
@@ -127,6 +128,68 @@ def test_compare_against_base_uses_both_metrics(spark):
     assert all((r["model_a_value"], r["model_b_value"], r["winner"]) == (0.5, 1.0, "model_b") for r in found.values())
 
 
+def brute_two_sample(d, n, m):
+    """Share of all interleavings of two samples whose statistic reaches d."""
+    hits = total = 0
+    for places in itertools.combinations(range(n + m), n):
+        first, a, top = set(places), 0, 0.0
+        for k in range(n + m):
+            a += k in first
+            top = max(top, abs(a / n - (k + 1 - a) / m))
+        hits, total = hits + (top >= d - 1e-12), total + 1
+    return hits / total
+
+
+@pytest.mark.parametrize("n, m", [(4, 4), (6, 6), (3, 5), (7, 2), (5, 6)])
+def test_exact_p_values_equal_enumeration(n, m):
+    for d in {abs(i / n - j / m) for i in range(n + 1) for j in range(m + 1)} - {0.0}:
+        assert lattice_p(d, n, m) == pytest.approx(brute_two_sample(d, n, m), abs=1e-12)
+        if n == m:
+            assert equal_sizes_p(round(d * n), n) == pytest.approx(brute_two_sample(d, n, m), abs=1e-12)
+
+
+@pytest.mark.parametrize("n", [9_999, 10_000, 10_001, 10**6, 10**9])
+def test_p_values_of_equal_sizes_have_no_step(n):
+    for x in (0.5, 0.9, 1.36, 2.0):
+        h = round(x * math.sqrt(2 * n))
+        limit = 2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k * (h / math.sqrt(2 * n)) ** 2) for k in range(1, 40))
+        # The closed form moves towards the limit as 1 / n and agrees with factorials where these have digits.
+        assert equal_sizes_p(h, n) == pytest.approx(limit, abs=2 / n + 1e-9)
+        if n <= 10_001:
+            plain = 2 * sum((-1) ** (k - 1) * math.exp(2 * math.lgamma(n + 1) - math.lgamma(n - k * h + 1) - math.lgamma(n + k * h + 1)) for k in range(1, n // h + 1))
+            assert equal_sizes_p(h, n) == pytest.approx(plain, rel=1e-8)
+
+
+def test_expansion_meets_exact_values():
+    def one_sample(d, n):
+        """Marsaglia, Tsang and Wang's power of a matrix."""
+        k = int(n * d) + 1
+        size, h = 2 * k - 1, k - n * d
+        matrix = np.array([[1.0 if i - j + 1 >= 0 else 0.0 for j in range(size)] for i in range(size)])
+        for i in range(size):
+            matrix[i, 0] -= h ** (i + 1)
+            matrix[size - 1, i] -= h ** (size - i)
+        matrix[size - 1, 0] += (2 * h - 1) ** size if 2 * h > 1 else 0
+        for i in range(size):
+            for j in range(size):
+                if i - j + 1 > 0:
+                    matrix[i, j] /= math.factorial(i - j + 1)
+        power = np.linalg.matrix_power(matrix, n)[k - 1, k - 1]
+        for i in range(1, n + 1):
+            power *= i / n
+        return 1 - power
+
+    for n in (40, 90):
+        for x in (0.6, 0.9, 1.2, 1.5):
+            d = x / math.sqrt(n)
+            assert expansion_p(d, n) == pytest.approx(one_sample(d, n), abs=3e-5)
+    # Two samples just below and above the number of lattice points: no step beyond a thousandth.
+    for n, m in ((9_000, 11_000), (7_000, 14_000)):
+        for x in (0.8, 1.1, 1.4):
+            d = round(x * math.sqrt((n + m) / (n * m)) * n * m) / (n * m)
+            assert expansion_p(d, round(n * m / (n + m))) == pytest.approx(lattice_p(d, n, m), abs=4e-3)
+
+
 def test_quantile_sketches_merge_within_their_error(spark):
     import random
 
