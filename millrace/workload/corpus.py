@@ -575,9 +575,9 @@ for _name, _sql in _FORMATS.items():
         return done.select("pair_id", F.md5("rendered").alias("rendered_md5"))
 
 
-@query("render_custom", f"select pair_id, md5('Q: ' || prediction || chr(10) || 'A: ' || reference) as rendered_md5 from ({TURN_PAIRS_SQL})")
+@query("render_custom", f"select pair_id, md5('Task> ' || prediction || chr(10) || 'Result> ' || reference) as rendered_md5 from ({TURN_PAIRS_SQL})")
 def _(spark, sf):
-    done = template.render_custom(_instructions(spark, sf), "Q: {{ instruction }}\nA: {{ output }}")
+    done = template.render_custom(_instructions(spark, sf), "Task> {{ instruction }}\nResult> {{ output }}")
     return done.select("pair_id", F.md5("rendered").alias("rendered_md5"))
 
 

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.functions.fixed import INSTANCE_PRICES, REFUSAL_PHRASES
+from millrace.functions.fixed import INSTANCE_PRICES, REFUSAL_PATTERN
 from millrace.operators import drift, metrics, requests, runs, serving, sketches
 from millrace.workload import TURN_PAIRS_SQL, load, query, rounded, toks, turn_pairs
 
-_REFUSAL = "(?i)(" + "|".join(p.replace("'", "''") for p in REFUSAL_PHRASES) + ")"
+_REFUSAL = "(?i)" + REFUSAL_PATTERN.replace("'", "''")
 
 
 def _events(spark, sf):

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from millrace.plans.durable import new_path
 from millrace.streaming import monitor
 from millrace.streaming.run import drain_to_table
-from millrace.workload import load, query, rounded
-from millrace.workload.monitoring import _GREEDY_SQL
+from millrace.operators.drift import OUTPUT_METRICS
+from millrace.workload import query, rounded, toks
+from millrace.workload.monitoring import _BASE, _GREEDY_SQL, _REFUSAL, _p_sql
 
 
 def _stream(spark, sf, table):
@@ -103,15 +104,27 @@ def _(spark, sf):
     return done.select("doc_id", F.md5("text").alias("text_md5"))
 
 
+# Documents arrive one a minute by their ids; hours whose end the watermark has passed come out.
+_ARRIVAL = "make_timestamp(1700000000000000 + doc_id * 60000000)"
+_HOURS_SQL = f"""with d as (select *, {_ARRIVAL} as came, {toks('text')} as t from documents),
+    f as (select time_bucket(interval 1 hour, came) as p, len(t)::double as avg_response_length, case when len(t) > 0 then len(list_distinct(t)) / len(t) else 0 end as vocab_richness,
+      case when len(t) > 1 then 1 - len(list_distinct(list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]))) / (len(t) - 1) else 0 end as repetition_rate,
+      regexp_matches(text, '{_REFUSAL}')::int::double as refusal_rate from d where time_bucket(interval 1 hour, came) + interval 1 hour <= (select max(came) - interval 10 minute from d)),
+    s as (select p, count(*) as n, {', '.join(f"avg({m}) as {m}, greatest(count(*) filter ({m} < {_BASE[m]}), count(*) filter ({m} > {_BASE[m]})) as h_{m}" for m in OUTPUT_METRICS)},
+      avg(refusal_rate) as refusal_rate from f group by p)"""
+
+
 @query(
     "streaming_output_drift",
-    f"""with f as (select time_bucket(interval 1 hour, ts) as p, 1.0 as words, (event_type = 'error')::int as e from events where {_CLOSED})
-    select epoch_us(p) // 1000000 as period_start, count(*) as n, avg(words)::double as avg_response_length, 1.0::double as vocab_richness from f group by p""",
+    f"""{_HOURS_SQL} select epoch_us(p) // 1000000 as period_start, n, {', '.join(f"round({m}, 6)::double as {m}" for m in (*OUTPUT_METRICS, 'refusal_rate'))},
+      {', '.join(f"round({_p_sql(f'h_{m}', 'n')}, 6)::double as p_{m}" for m in OUTPUT_METRICS)},
+      ({' or '.join(f"(n >= 2 and {_p_sql(f'h_{m}', 'n')} < 0.05)" for m in OUTPUT_METRICS)} or abs(refusal_rate - {_BASE['refusal_rate']}) > 0.1) as drifted from s""",
 )
 def _(spark, sf):
-    baseline = {"avg_response_length": 2.0, "refusal_rate": 0.0}
-    done = drain_to_table(monitor.streaming_output_drift(_events(spark, sf), "ts", "event_type", baseline), "drift")
-    return done.select(F.unix_seconds("period_start").alias("period_start"), "n", "avg_response_length", "vocab_richness")
+    arrived = F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.col("doc_id") * 60_000_000)
+    docs = _stream(spark, sf, "documents").withColumn("ts", arrived)
+    done = drain_to_table(monitor.streaming_output_drift(docs, "ts", "text", _BASE), "drift")
+    return rounded(done.withColumn("period_start", F.unix_seconds("period_start")))
 
 
 @query("metric_sink", "select event_type as metric, count(*) as n, round(sum(value), 4)::double as total from events group by event_type")

@@ -288,18 +288,18 @@ def test_near_dedup_is_idempotent_and_layout_independent(spark):
 # ---- personal data
 
 PII = {
-    "Email us at john.doe@example.com for help.": "EMAIL_ADDRESS",
-    "Contact bob@corp.io please.": "EMAIL_ADDRESS",
-    "请发送邮件到 test@example.com": "EMAIL_ADDRESS",
-    "Great product! \U0001f60a Contact: foo@bar.com": "EMAIL_ADDRESS",
-    "Our number is 555-867-5309.": "PHONE_NUMBER",
-    "+1 (743) 555-3824": "PHONE_NUMBER",
-    "My SSN is 219-09-9999.": "US_SSN",
-    "Card number: 4111 1111 1111 1111.": "CREDIT_CARD",
-    "The server IP is 192.168.1.100.": "IP_ADDRESS",
-    "Bill Gates co-founded Microsoft.": "PERSON",
-    "John Smith lives at 123 Main St.": "PERSON",
-    "You are Dr. Jane Wilson's assistant.": "PERSON",
+    "Orders go to depot-7@mill.example, not to the shop.": "EMAIL_ADDRESS",
+    "cc: weir.keeper@river.example": "EMAIL_ADDRESS",
+    "写信给 lock@canal.example 即可": "EMAIL_ADDRESS",
+    "Nice \U0001f33e harvest! (barn@field.example)": "EMAIL_ADDRESS",
+    "Ring 555-010-4477 before noon.": "PHONE_NUMBER",
+    "+1 (555) 010-4478": "PHONE_NUMBER",
+    "Form 12 lists 078-05-1120 twice.": "US_SSN",
+    "Paid with 5555 5555 5555 4444, signed.": "CREDIT_CARD",
+    "Host 10.20.30.40 went silent.": "IP_ADDRESS",
+    "Emma Millward ground the flour.": "PERSON",
+    "Then George Weir closed the sluice.": "PERSON",
+    "Ask Prof. Ida Lockhart's assistant.": "PERSON",
 }
 
 
@@ -441,7 +441,7 @@ def test_templates(spark):
 
 def test_custom_template(spark):
     df = spark.createDataFrame([("What?", "This.")], "instruction string, output string")
-    assert template.render_custom(df, "Q: {{ instruction }}\nA: {{ output }}").first()["rendered"] == "Q: What?\nA: This."
+    assert template.render_custom(df, "Task> {{ instruction }}\nResult> {{ output }}").first()["rendered"] == "Task> What?\nResult> This."
     for bad in ("{{ instruction.__class__ }}", "{{ missing }}", "{{ 1 + 1 }}"):
         with pytest.raises(ValueError):
             template.render_custom(df, bad)
