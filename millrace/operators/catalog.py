@@ -5,7 +5,7 @@ from __future__ import annotations
 import getpass
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
 FORMATS = ("instruction", "conversation", "completion")
 STATISTICS = (
@@ -138,12 +138,17 @@ def diff_content(old: DataFrame, new: DataFrame) -> DataFrame:
     return net.select(*new.columns, change.alias("change"), F.abs("_n").alias("copies"))
 
 
-def checkout_version(spark: SparkSession, store: str, name: str, version: str) -> str:
-    """Path of a stored version after its checksum has been recomputed and compared."""
+def find_version(spark: SparkSession, store: str, name: str, version: str) -> Row | None:
+    """The latest manifest row of a version."""
     manifests = _manifests(spark, store)
-    row = None if manifests is None else manifests.filter(
+    return None if manifests is None else manifests.filter(
         (F.col("name") == name) & (F.col("version") == version)
     ).orderBy(F.desc("created_at")).first()
+
+
+def checkout_version(spark: SparkSession, store: str, name: str, version: str) -> str:
+    """Path of a stored version after its checksum has been recomputed and compared."""
+    row = find_version(spark, store, name, version)
     if row is None:
         raise FileNotFoundError(f"Manifest not found: {name}_v{version}")
     path = version_path(store, name, version)

@@ -671,6 +671,22 @@ def _(spark, sf):
     return prepare.prepare_corpus(spark, config, rows).select("step", "name", "input_count", "output_count")
 
 
+_STEPS_SQL = ", ".join(f"({k + 1}, '{name}')" for k, name in enumerate(prepare.STEPS))
+
+
+@query(
+    "prepare_conversations",
+    f"""{_CONV_CHECKS}, n as (select count(*) as whole, count(*) filter (len(reasons) = 0) as valid from j), steps(step, name) as (values {_STEPS_SQL})
+    select step, name, case when step <= 2 then whole else valid end as input_count, case when step = 1 then whole else valid end as output_count, valid as published from steps, n""",
+)
+def _(spark, sf):
+    work = new_path(spark, "prepare")
+    config = prepare.PrepareConfig(source="", work_dir=work, kind="conversation", template="chatml", max_length=100_000, pii_strategy=None, near_threshold=None)
+    steps = prepare.prepare_corpus(spark, config, _conversations(spark, sf).select("conversations"))
+    version = catalog.find_version(spark, f"{work}/versions", config.name, config.version)
+    return steps.select("step", "name", "input_count", "output_count", F.lit(version["num_samples"]).alias("published"))
+
+
 @query("corpus_report")
 def _(spark, sf):
     docs = load(spark, sf, "documents")

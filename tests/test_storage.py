@@ -164,6 +164,38 @@ def test_corpus_job(spark, tmp_path):
     assert read("w3")["num_samples"] == 10
 
 
+def test_corpus_job_publishes_versions(spark, tmp_path):
+    base = dict(source=hundred(spark, tmp_path), pii_strategy=None, near_threshold=None, name="wheels", store=str(tmp_path / "store"))
+    prepare.prepare_corpus(spark, prepare.PrepareConfig(work_dir=str(tmp_path / "w1"), **base))
+    prepare.prepare_corpus(spark, prepare.PrepareConfig(work_dir=str(tmp_path / "w2"), **base))
+    versions = catalog._manifests(spark, base["store"]).collect()
+    assert [(r["name"], r["version"], r["num_samples"], r["format"]) for r in versions] == [("wheels", "1.0.0", 100, "instruction")]
+    assert versions[0]["statistics"]["total_samples"] == 100
+    stored = spark.read.parquet(catalog.checkout_version(spark, base["store"], "wheels", "1.0.0"))
+    assert stored.count() == 100 and {"input_ids", "labels", "split"} <= set(stored.columns)
+    with pytest.raises(ValueError, match="published with other samples"):
+        prepare.prepare_corpus(spark, prepare.PrepareConfig(work_dir=str(tmp_path / "w3"), max_samples=10, **base))
+    prepare.prepare_corpus(spark, prepare.PrepareConfig(work_dir=str(tmp_path / "w3"), max_samples=10, version="1.1.0", **base))
+    assert catalog.find_version(spark, base["store"], "wheels", "1.1.0")["num_samples"] == 10
+
+
+def test_corpus_job_for_conversations(spark, tmp_path):
+    say = lambda *turns: [(("user", "assistant")[k % 2], t) for k, t in enumerate(turns)]
+    rows = [(say(f"How deep is pond {i}?", f"Pond {i} is {i * 3} feet deep; ask keeper{i}@ponds.example"),) for i in range(40)]
+    rows += [(say("only one"),), (say("x", " \t "),), ([("system", "Be brief."), *say("Dry?", "No, the mill runs all year long on this brook")],)] + rows[:5]
+    data = spark.createDataFrame(rows, "conversations array<struct<role string, content string>>")
+    config = prepare.PrepareConfig(source="", work_dir=str(tmp_path / "w"), kind="conversation", template="chatml", max_length=4096, near_threshold=0.99)
+    steps = {r["name"]: (r["input_count"], r["output_count"]) for r in prepare.prepare_corpus(spark, config, data).collect()}
+    assert steps["ingest"] == (48, 48) and steps["validate"][1] in (46, 47) and steps["clean"][1] == 41
+    assert steps["template"] == steps["tokenize"] == steps["publish"] == (41, 41)
+    rendered = [r["rendered"] for r in spark.read.parquet(f"{tmp_path}/w/step_5_template").collect()]
+    assert all("<EMAIL_ADDRESS>" in t for t in rendered if "Pond" in t) and not any("ponds.example" in t for t in rendered)
+    assert sum("Be brief." in t for t in rendered) == 1
+    assert catalog.find_version(spark, f"{tmp_path}/w/versions", "corpus", "1.0.0")["format"] == "conversation"
+    with pytest.raises(ValueError, match="Missing required columns"):
+        prepare.prepare_corpus(spark, config, data.withColumnRenamed("conversations", "other"))
+
+
 def test_corpus_job_stops_on_personal_data(spark, tmp_path):
     from millrace.operators.pii import PersonalDataFound
 
