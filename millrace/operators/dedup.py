@@ -23,7 +23,7 @@ from millrace.plans.skew import SMALL_TOTAL, hot_key_join
 
 SHINGLE_WORDS = 5
 # Leaders per bucket in the second round; the number doubles each round up to the maximum.
-LEADERS = 8
+LEADERS = 32
 MAX_LEADERS = 64
 # Shingles that some batch holds several times, and the corpus at least so often, are ordered by
 # their count; this many of them travel to the tasks (16 bytes each).  Others count as rare.  The
@@ -62,7 +62,8 @@ def near_duplicates(
     """
     frequent = df.sparkSession.sparkContext.broadcast(frequent_shingles(df, text, frequent_rows))
     own = prefix_of(SHINGLE_WORDS, threshold, frequent)(F.coalesce(text, F.lit(""))).alias("own")
-    rows = materialise(df.select(F.col(key), own).select(key, "own.*").filter("n > 0"), "near-rows")
+    # Filtered once written: a filter below the projection would hash every text again.
+    rows = materialise(df.select(F.col(key), own).select(key, "own.*"), "near-rows").filter("n > 0")
     # Of rows with equal sets the lowest key stands for all; the others are similar to whatever it is similar to.
     firsts = rows.groupBy("hi", "lo").agg(F.min(key).alias(key)).select(key)
     distinct = materialise(rows.join(firsts, key, "left_semi").select(key, "n", "prefix"), "near-distinct")
