@@ -11,6 +11,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,8 +31,8 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/millrace/{label}-{uuid.uuid4().hex}"
 
 
-# Tables written inside the scopes that are open now, innermost last.
-_scopes: list[list[str]] = []
+# Tables written inside the scopes that are open now, innermost last; every thread has its own.
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
 
 def materialise(df: DataFrame, label: str, outlives: bool = False) -> DataFrame:
@@ -41,7 +42,7 @@ def materialise(df: DataFrame, label: str, outlives: bool = False) -> DataFrame:
     end of the scope around it.
     """
     path = new_path(df.sparkSession, label)
-    open_scopes = _scopes[:-1] if outlives else _scopes
+    open_scopes = _scopes.get()[:-1] if outlives else _scopes.get()
     if open_scopes:
         open_scopes[-1].append(path)
     df.write.parquet(path)
@@ -51,11 +52,13 @@ def materialise(df: DataFrame, label: str, outlives: bool = False) -> DataFrame:
 @contextmanager
 def temporary(spark: SparkSession) -> Iterator[None]:
     """Remove the tables written inside, once no table that outlives the scope needs them."""
-    _scopes.append([])
+    own: list[str] = []
+    before = _scopes.set((*_scopes.get(), own))
     try:
         yield
     finally:
-        for path in _scopes.pop():
+        _scopes.reset(before)
+        for path in own:
             remove(spark, path)
 
 

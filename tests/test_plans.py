@@ -157,3 +157,27 @@ def test_temporary_tables_go_and_others_stay(spark):
     import os
 
     assert not os.path.exists(path) and outer.count() == 3
+
+
+def test_scopes_of_threads_do_not_meet(spark):
+    import threading
+
+    from millrace.plans.durable import materialise, temporary
+
+    opened, closed, found = threading.Event(), threading.Event(), []
+
+    def other():
+        with temporary(spark):
+            opened.set()
+            closed.wait(60)
+
+    with temporary(spark):
+        thread = threading.Thread(target=other)
+        thread.start()
+        opened.wait(60)
+        table = materialise(spark.range(5), "mine")
+        closed.set()
+        thread.join()
+        found.append(table.count())
+        path = table.inputFiles()[0]
+    assert found == [5] and not spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).exists(spark._jvm.org.apache.hadoop.fs.Path(path))
