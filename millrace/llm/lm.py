@@ -9,11 +9,9 @@ Every n-gram of the training texts is an arc, so the automaton grows with the co
 in one place.  Texts are cut into batches.  A batch sends the digests of its distinct n-grams with
 their counts to the parts that the digests fall into; a part adds up the counts of all batches and
 answers each of them.  One batch of those that have an n-gram owns it and counts it for its
-context, so the arcs of a context are counted in the next round, that of one word less.  The state
-after a word is the longest seen context of the words before it, so with the answers of all rounds
-a batch scores its tokens at once.
-
-``Automaton`` is the same model with its arcs in memory, for a corpus or shares that are small.
+context, so the arcs of a context are counted in the next round, that of one word less.  With the
+answers of all rounds a batch has the states and arcs that its texts can meet, with the counts of
+the whole corpus.  It walks every text once from left to right and carries the state.
 """
 
 from __future__ import annotations
@@ -24,13 +22,12 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from millrace.llm.common import materialise
-from millrace.llm.lanes import Lanes, numbered_words, slices
+from millrace.llm.lanes import numbered_words, slices
 
 # Closes every text; no word holds a space.
 END = b" "
@@ -40,198 +37,12 @@ DISCOUNT = 0.75
 # each), and more of them where a part would have more than PART_MOST.
 PARTS = 1024
 PART_LEAST, PART_MOST = 1_000, 4_000_000
-# For ``Automaton`` only, least shares of all tokens: words inside the automaton (at most 1 / share of them), words of
-# two-word and of three-word arcs, and arcs themselves.
-WORD_SHARE = 1e-6
-PAIR_SHARE = 2e-5
-TRIPLE_SHARE = 2e-4
-ARC_SHARE = 1e-6
 
 
 def _hashes(words: list[bytes]) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64).view(np.int64)
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, 0):
-        ids, _, words = numbered_words(batch.column(0), END)
-        yield pa.RecordBatch.from_pydict({"word": _hashes(words), "n": np.bincount(ids, minlength=len(words)).astype(np.int64)})
-
-
-def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(word, n) of every distinct token, by 64-bit digest, counted per batch before the shuffle; a written table."""
-    rows = docs.select(F.col(text).cast("binary"))
-    return materialise(rows.mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "vocabulary")
-
-
-@dataclass
-class Known:
-    """Words of the automaton by rising digest, with counts; ids are places in it."""
-
-    word: np.ndarray
-    n: np.ndarray
-    total: int
-    distinct: int
-
-    @property
-    def mass(self) -> float:
-        return self.total + ADD * (self.distinct + 1)
-
-    def ids(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.word):
-            return np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self.word, hashes), len(self.word) - 1)
-        return np.where(self.word[at] == hashes, at, -1)
-
-    def subset(self, share: float) -> np.ndarray:
-        """For every id its rank among the words of at least ``share``, else -1."""
-        kept = self.n >= max(2, share * self.total)
-        return np.where(kept, np.cumsum(kept) - 1, -1)
-
-
-def known_words(vocabulary: DataFrame, share: float = WORD_SHARE) -> Known:
-    total, distinct = vocabulary.agg(F.sum("n"), F.count(F.lit(1))).first()
-    total = int(total or 0)
-    found = vocabulary.filter(F.col("n") >= share * total).toPandas().sort_values("word")
-    return Known(found["word"].to_numpy(np.int64), found["n"].to_numpy(np.int64), total, int(distinct))
-
-
-def count_arcs(docs: DataFrame, known: Known, pair_share: float = PAIR_SHARE, triple_share: float = TRIPLE_SHARE,
-               arc_share: float = ARC_SHARE, text: str = "text") -> pd.DataFrame:
-    """(size, key, n) of the n-grams of two and three frequent words with at least ``arc_share`` of all tokens.
-
-    At most 1 / arc_share n-grams of a size can have that share, so the result is bounded.
-    """
-    pairs, triples = known.subset(pair_share), known.subset(triple_share)
-    shared = docs.sparkSession.sparkContext.broadcast((known, pairs, triples))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_known, in_pair, in_triple = shared.value
-        base = len(words_known.word) + 1
-        for batch in slices(batches, 0):
-            ids, sizes, words = numbered_words(batch.column(0), END)
-            known_id = words_known.ids(_hashes(words))
-            token = known_id[ids] if len(words) else ids
-            text_of = np.repeat(np.arange(len(sizes)), sizes)
-            for size, rank in ((2, in_pair), (3, in_triple)):
-                inside = np.where(token >= 0, rank[token] if len(rank) else -1, -1)
-                reach = len(token) - size + 1
-                if reach <= 0:
-                    continue
-                good = (text_of[:reach] == text_of[size - 1 :]) & np.logical_and.reduce([inside[k : k + reach] >= 0 for k in range(size)])
-                at = np.flatnonzero(good)
-                key = np.zeros(len(at), np.int64)
-                for k in range(size):
-                    key = key * base + token[at + k]
-                found, n = np.unique(key, return_counts=True)
-                yield pa.RecordBatch.from_pydict({"size": np.full(len(found), size, np.int32), "key": found, "n": n.astype(np.int64)})
-
-    rows = docs.select(F.col(text).cast("binary"))
-    counted = rows.mapInArrow(run, "size int, key long, n long").groupBy("size", "key").agg(F.sum("n").alias("n"))
-    return counted.filter(F.col("n") >= max(2.0, arc_share * known.total)).toPandas()
-
-
-@dataclass
-class Automaton:
-    """Arcs (state * words + word, sorted) with log10 probability and next state; failure arcs; root arcs."""
-
-    known: Known
-    key: np.ndarray
-    logp: np.ndarray
-    goal: np.ndarray
-    fail: np.ndarray
-    weight: np.ndarray
-    root_logp: np.ndarray
-    root_goal: np.ndarray
-
-    def walk(self, token: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """log10 weight that each token takes, without the root arcs of words outside the automaton (-1)."""
-        out = np.zeros(len(token))
-        words = max(1, len(self.known.word))
-        lanes = Lanes(sizes)
-        state = np.zeros(len(sizes), np.int64)
-        for at in lanes:
-            word, here = token[at], state[: len(at)]
-            cost = np.zeros(len(at))
-            moving = np.flatnonzero(here)
-            while len(moving):
-                wanted = here[moving] * words + word[moving]
-                place = np.minimum(np.searchsorted(self.key, wanted), len(self.key) - 1)
-                arc = (self.key[place] == wanted) & (word[moving] >= 0)
-                taken, failed = moving[arc], moving[~arc]
-                cost[taken] += self.logp[place[arc]]
-                here[taken] = -1 - self.goal[place[arc]]
-                cost[failed] += self.weight[here[failed]]
-                here[failed] = self.fail[here[failed]]
-                moving = failed[here[failed] > 0]
-            root = np.flatnonzero(here == 0)
-            rooted = root[word[root] >= 0]
-            cost[rooted] += self.root_logp[word[rooted]]
-            here[rooted] = self.root_goal[word[rooted]]
-            gone = here < 0
-            here[gone] = -1 - here[gone]
-            out[at] = cost
-        return out
-
-
-def build(known: Known, arcs: pd.DataFrame) -> Automaton:
-    """States in the order root, one-word contexts, two-word contexts; every context here has an arc."""
-    base, words = len(known.word) + 1, max(1, len(known.word))
-    root_logp = np.log10((known.n + ADD) / known.mass) if len(known.n) else np.zeros(0)
-    ends = known.ids(_hashes([END]))[0]
-
-    def table(size: int) -> pd.DataFrame:
-        found = arcs[arcs["size"] == size].sort_values("key")
-        key = found["key"].to_numpy(np.int64)
-        return pd.DataFrame({"context": key // base, "word": key % base, "key": key, "n": found["n"].to_numpy(np.int64)})
-
-    two, three = table(2), table(3)
-    two = two[two["context"] != ends].reset_index(drop=True)
-    three = three[three["context"].isin(two["key"])].reset_index(drop=True)
-    ones = np.unique(two["context"].to_numpy(np.int64))
-    twos = np.unique(three["context"].to_numpy(np.int64))
-    root_goal = np.zeros(len(known.word), np.int64)
-    root_goal[ones] = 1 + np.arange(len(ones))
-
-    def state_of(context: np.ndarray) -> np.ndarray:
-        """State of a two-word context key, or of its last word."""
-        if not len(twos):
-            return root_goal[context % base]
-        at = np.minimum(np.searchsorted(twos, context), len(twos) - 1)
-        return np.where(twos[at] == context, 1 + len(ones) + at, root_goal[context % base])
-
-    states = 1 + len(ones) + len(twos)
-    fail, left = np.zeros(states, np.int64), np.ones(states)
-    # One-word contexts: every occurrence of the word is followed by a token.
-    state2 = root_goal[two["context"].to_numpy(np.int64)] if len(two) else np.zeros(0, np.int64)
-    part2 = (two["n"].to_numpy() - DISCOUNT) / known.n[two["context"].to_numpy(np.int64)] if len(two) else np.zeros(0)
-    left -= np.bincount(state2, part2, states)
-    p2 = part2 + left[state2] * 10 ** root_logp[two["word"].to_numpy(np.int64)] if len(two) else np.zeros(0)
-    goal2 = state_of(two["key"].to_numpy(np.int64)) if len(two) else np.zeros(0, np.int64)
-    if len(three):
-        counts = two.set_index("key")["n"]
-        context = three["context"].to_numpy(np.int64)
-        state3 = 1 + len(ones) + np.searchsorted(twos, context)
-        part3 = (three["n"].to_numpy() - DISCOUNT) / counts[context].to_numpy()
-        left -= np.bincount(state3, part3, states)
-        last = context % base
-        word = three["word"].to_numpy(np.int64)
-        by_key = pd.Series(p2, index=two["key"])
-        lower = by_key.reindex(last * base + word).to_numpy()
-        backed = left[root_goal[last]] * 10 ** root_logp[word]
-        p3 = part3 + left[state3] * np.where(np.isnan(lower), backed, lower)
-        goal3 = state_of(last * base + word)
-        fail[1 + len(ones) :] = root_goal[twos % base]
-    else:
-        state3, p3, goal3, word = (np.zeros(0, np.int64) for _ in range(4))
-    key = np.concatenate([state2 * words + two["word"].to_numpy(np.int64), state3 * words + word]).astype(np.int64)
-    order = np.argsort(key)
-    return Automaton(
-        known, key[order], np.log10(np.concatenate([p2, p3])[order]), np.concatenate([goal2, goal3])[order].astype(np.int64),
-        fail, np.log10(np.maximum(left, 1e-12)), root_logp, root_goal,
-    )
-
-
 def _pack(numbers: np.ndarray) -> bytes:
     """Whole numbers by byte planes, compressed."""
     planes = np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), numbers.itemsize).T
@@ -349,33 +160,88 @@ def _answered(answers: pa.Table, size: int, kinds: dict[str, type]) -> list[np.n
     return [np.concatenate([np.zeros(0, kind), *[_unpack(r[c], r["n_keys"], kind) for r in rows]]) for c, kind in kinds.items()]
 
 
+@dataclass
+class Automaton:
+    """The states and arcs that the texts of a batch can meet.
+
+    State 0 is the root; the state of context number i is i + 1, those of one word first.  ``arc_at``
+    has a row for each length of context: the arc for the word at a place, -1 where the state that
+    the words before it make has none.
+    """
+
+    arc_at: np.ndarray
+    logp: np.ndarray
+    goal: np.ndarray
+    weight: np.ndarray
+    fail: np.ndarray
+    depth: np.ndarray
+
+    def walk(self, sizes: np.ndarray) -> np.ndarray:
+        """log10 probability of each text: arcs taken and failure arcs passed, from the root on."""
+        logp, goal, weight, fail, depth = map(memoryview, (self.logp, self.goal, self.weight, self.fail, self.depth))
+        out, begin = np.zeros(len(sizes)), 0
+        for text, size in enumerate(sizes.tolist()):
+            state, paid = 0, 0.0
+            for arcs in zip(*(memoryview(row[begin : begin + size]) for row in self.arc_at)):
+                arc = arcs[depth[state]]
+                while arc < 0:
+                    paid += weight[state]
+                    state = fail[state]
+                    arc = arcs[depth[state]]
+                paid += logp[arc]
+                state = goal[arc]
+            out[text] = paid
+            begin += size
+        return out
+
+
+def build(batch: Batch, n: dict[int, np.ndarray], arcs: dict[int, np.ndarray], mass: float) -> Automaton:
+    """The automaton of a batch from the counts of its n-grams and the arcs of its contexts, by rank.
+
+    A trained context has an arc at least, as the end closes every text, and a trained n-gram has
+    trained contexts; so weights and lower probabilities exist wherever a walk can come.
+    """
+    sizes = (1, 2, 3)
+    first = dict(zip(sizes, np.cumsum([0, *(len(n[s]) for s in sizes)])))
+    rank = np.full((4, len(batch.word)), -1, np.int64)
+    arc_at = np.full((3, len(batch.word)), -1, np.int32)
+    p, goal, lower = {}, {}, {}
+    for s in sizes:
+        _, at, of = batch.grams(s)
+        rank[s, at] = of
+        seen = n[s] > 0
+        if s == 1:
+            p[s] = (n[s] + ADD) / mass
+            goal[s] = np.where(seen, 1 + np.arange(len(seen)), 0)
+            arc_at[0, at] = of
+            continue
+        context, lower[s] = np.zeros(len(seen), np.int64), np.zeros(len(seen), np.int64)
+        context[of], lower[s][of] = rank[s - 1, at - 1], rank[s - 1, at]
+        p[s] = np.ones(len(seen))
+        here = context[seen]
+        p[s][seen] = (n[s][seen] - DISCOUNT + DISCOUNT * arcs[s - 1][here] * p[s - 1][lower[s][seen]]) / n[s - 1][here]
+        goal[s] = 1 + first[2] + (np.arange(len(seen)) if s == 2 else lower[s])
+        arc_at[s - 1, at] = np.where(seen[of], first[s] + of, -1)
+    left = [DISCOUNT * np.maximum(arcs[s], 1) / np.maximum(n[s], 1) for s in (1, 2)]
+    return Automaton(
+        arc_at,
+        np.log10(np.concatenate([p[s] for s in sizes])),
+        np.concatenate([goal[s] for s in sizes]).astype(np.int32),
+        np.log10(np.concatenate([[1.0], *left])),
+        np.concatenate([[0], np.zeros(len(n[1]), np.int64), 1 + lower[2]]).astype(np.int32),
+        np.repeat(np.arange(3, dtype=np.int8), [1, len(n[1]), len(n[2])]),
+    )
+
+
 def _score(batch: Batch, answers: pa.Table, mass: float) -> tuple[np.ndarray, ...]:
     """Known tokens, log10 of the root's probability and of the automaton's, summed over each text."""
     counts = {size: _answered(answers, size, {"n": np.int64, "arcs": np.int64}) for size in (1, 2, 3)}
-
-    def spread(size: int) -> tuple[np.ndarray, np.ndarray]:
-        """For every place the count and the arcs of the n-gram that ends there; 0 where a text has none."""
-        _, at, rank = batch.grams(size)
-        out = np.zeros((2, len(batch.word)))
-        out[:, at] = [counts[size][0][rank], counts[size][1][rank]]
-        return out[0], out[1]
-
-    (n1, arcs1), (n2, arcs2), (n3, _) = spread(1), spread(2), spread(3)
-    root = (n1 + ADD) / mass
-    p = root
-    # Of a word after the word before it, then after the two before it; without a seen context as before.
-    for size, n, context, arcs in ((2, n2, n1, arcs1), (3, n3, n2, arcs2)):
-        at = batch.ends(size)
-        at = at[context[at - 1] > 0]
-        whole = context[at - 1]
-        longer = np.maximum(n[at] - DISCOUNT, 0.0) / whole + DISCOUNT * arcs[at - 1] / whole * p[at]
-        p = p.copy()
-        p[at] = longer
-    texts = len(batch.sizes)
+    auto = build(batch, {s: c[0] for s, c in counts.items()}, {s: c[1] for s, c in counts.items()}, mass)
+    root, texts = auto.arc_at[0], len(batch.sizes)
     return (
-        np.bincount(batch.text_of, n1 > 0, texts).astype(np.int64),
-        np.bincount(batch.text_of, np.log10(root), texts),
-        np.bincount(batch.text_of, np.log10(p), texts),
+        np.bincount(batch.text_of, counts[1][0][root] > 0, texts).astype(np.int64),
+        np.bincount(batch.text_of, auto.logp[root], texts),
+        auto.walk(batch.sizes),
     )
 
 

@@ -520,22 +520,57 @@ def test_lm_scores(spark, odd_documents):
         assert sum(r["score"] for r in found) >= sum(r["base_score"] for r in found)
 
 
-def test_automaton_sums_to_one_and_equals_backoff(spark):
-    docs = spark.createDataFrame([("a b a b c a b a c b a a b",), ("b a b a b c c a",), ("a b c a b c a b",)], "text string")
-    vocabulary = lm.count_words(docs)
-    known = lm.known_words(vocabulary, 0.0)
-    auto = lm.build(known, lm.count_arcs(docs, known, 0.0, 0.0, 0.0))
-    assert auto.weight.size > 4
-    words = len(known.word)
-    everything = np.arange(words)
-    unknown = math.log10(0.1 / known.mass)
-    a, b = (int(known.ids(lm._hashes([w]))[0]) for w in (b"a", b"b"))
-    for context in ([], [a], [b], [a, b], [b, a]):
-        sizes = np.full(words + 1, len(context) + 1)
-        token = np.concatenate([np.array([*context, w]) for w in [*everything, -1]])
-        paid = auto.walk(token, sizes).reshape(words + 1, -1)[:, -1]
-        paid[-1] += unknown
-        assert (10**paid).sum() == pytest.approx(1.0)
+def automaton_of(texts):
+    """The automaton of a batch that is trained on its own texts."""
+    tokens = [[*t.split(), " "] for t in texts]
+    words = sorted({w for own in tokens for w in own})
+    ids = np.array([words.index(w) for own in tokens for w in own], np.int32)
+    batch = lm.Batch({
+        "sizes": np.array([len(own) for own in tokens]).tobytes(), "n_tokens": len(ids), "ids": lm._pack(ids),
+        "words": lm._hashes([w.encode() for w in words]).tobytes(), "trained": np.ones(len(texts), np.bool_).tobytes(),
+    })
+    found = {s: batch.grams(s) for s in (1, 2, 3)}
+    n = {s: np.bincount(rank, minlength=len(keys)) for s, (keys, _, rank) in found.items()}
+    arcs = {s: np.zeros(len(found[s][0]), np.int64) for s in (1, 2, 3)}
+    for s in (2, 3):
+        _, at, rank = found[s]
+        for r in range(len(n[s])):
+            end = at[np.flatnonzero(rank == r)[0]]
+            arcs[s - 1][found[s - 1][2][np.flatnonzero(found[s - 1][1] == end - 1)[0]]] += 1
+    return batch, lm.build(batch, n, arcs, len(ids) + lm.ADD * (len(words) + 1))
+
+
+def test_states_of_the_automaton_sum_to_one():
+    batch, auto = automaton_of(["a b a b c a b a c b a a b", "b a b a b c c a", "a b c a b c a b", ""])
+    tokens = len(set(batch.word.tolist()))
+    root = 10 ** auto.logp[:tokens]
+    assert root.sum() + 0.1 / (len(batch.word) + 0.1 * (tokens + 1)) == pytest.approx(1.0)
+    # Every occurring arc of a state, and what its failure arc leaves to the words without one.
+    leaving = defaultdict(set)
+    states = {}
+    for text, begin in enumerate(np.cumsum([0, *batch.sizes[:-1]])):
+        for at in range(begin + 1, begin + batch.sizes[text]):
+            for depth in (1, 2):
+                if at - depth >= begin:
+                    state = states.setdefault(tuple(batch.word[at - depth : at]), auto.goal[auto.arc_at[depth - 1, at - 1]])
+                    assert auto.depth[state] == depth and state == auto.goal[auto.arc_at[depth - 1, at - 1]]
+                    assert auto.arc_at[depth, at] >= 0
+                    leaving[state].add((auto.arc_at[depth, at], auto.arc_at[depth - 1, at]))
+    assert len(leaving) > 8
+    for state, arcs in leaving.items():
+        taken = sum(10 ** auto.logp[a] for a, _ in arcs)
+        rest = 1 - sum(10 ** auto.logp[b] for _, b in arcs)
+        assert taken + 10 ** auto.weight[state] * rest == pytest.approx(1.0)
+        assert auto.depth[auto.fail[state]] == auto.depth[state] - 1
+
+
+def test_a_walk_carries_its_state():
+    """Without failure weights a walk costs less, and another start state costs something else."""
+    batch, auto = automaton_of(["a b c a b d", "b c c", "d a c b"])
+    whole = auto.walk(batch.sizes)
+    single = auto.walk(np.ones(len(batch.word), np.int64))
+    assert single == pytest.approx(auto.logp[auto.arc_at[0]])
+    assert not np.allclose(np.add.reduceat(single, np.cumsum([0, *batch.sizes[:-1]])), whole)
 
 
 def test_lm_equals_backoff_over_all_ngrams(spark, monkeypatch):
