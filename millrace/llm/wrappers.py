@@ -32,7 +32,7 @@ _PIECE = re.compile(
     r"|<[a-zA-Z][^>]*\Z",
     re.S | re.I,
 )
-_MARK = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
+_MARK = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 
 INLINE = set(
     "a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split()
@@ -59,9 +59,19 @@ ASIDE_WORDS = set(
 )
 MAIN_WORDS = set("article main content post entry story maincontent articlebody storybody postbody".split())
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+# No name makes these an aside.
+ARTICLE_TAGS = HEADINGS | {"html", "body", "main", "article"}
+# Ids are often made of a heading's words, so an id tells an aside only on a container and if all its words do, or say no more than these.
+NO_CONTAINER = set("p li dt dd td th tr blockquote pre figure figcaption caption".split())
+PLAIN_WORDS = set(
+    "site page blog post posts article articles story stories main content top bottom left right box bar wrapper wrap container area block section "
+    "list items item links inner outer module panel primary secondary global slot unit buttons icons form recent user js".split()
+)
+# A class that says what an element has or lacks says nothing of the element.
+HAVING = {"has", "with", "no", "without"}
 LONGEST_PERIOD = 24
-# A slot outside of article and main parts whose text never changes on at least so many pages with
-# different articles belongs to the template.
+# A slot outside of article and main parts, or in a main part beside an article, whose text never changes on
+# at least so many pages with different articles belongs to the template.
 SAME_PAGES = 5
 
 
@@ -108,6 +118,34 @@ def _key(item):
     return item.key
 
 
+def _label(name: str, rest: str) -> tuple[str, bool]:
+    """Name of a tag with the words of its class, id and role, and whether they make it an aside.
+
+    Among the words ! stands for an aside, ^ for a header and * for an article or main part.
+    """
+    words: set[str] = set()
+    aside: set[str] = set()
+    main = False
+    for m in _MARK.finditer(rest):
+        value = (m[2] or m[3] or m[4] or "").lower()
+        for token in value.split():
+            parts = {w for w in re.split(r"[^a-z0-9]+", token) if w}
+            words |= parts
+            if name in HEADINGS or parts & HAVING:
+                continue
+            main |= name not in NO_CONTAINER and bool(parts & MAIN_WORDS)
+            told = parts & ASIDE_WORDS
+            if m[1].lower() == "id" and (name in NO_CONTAINER or not all(w in ASIDE_WORDS or w in PLAIN_WORDS or w.isdigit() for w in parts)):
+                continue
+            if name not in ARTICLE_TAGS:
+                aside |= told
+    signs = (["!"] if aside - {"header"} else ["^"] if aside else []) + ["*"] * main
+    return ".".join([name, *signs, *sorted(words)]), bool(aside)
+
+
+_short_label = lru_cache(1 << 14)(_label)
+
+
 @dataclass
 class Page:
     items: list
@@ -156,8 +194,8 @@ def read_page(source: str) -> Page:
         name = (found["name"] or "").lower()
         if not name:
             continue
-        marks = ".".join(sorted({w for m in _MARK.finditer(found["rest"]) for w in re.split(r"[^a-z0-9]+", (m[1] or m[2] or m[3] or "").lower()) if w}))
-        if name in INLINE and not (set(marks.split(".")) & ASIDE_WORDS):
+        label, aside = (_short_label if len(found["rest"]) < 500 else _label)(name, found["rest"])
+        if name in INLINE and not aside:
             if name == "a":
                 in_link = 0 if found["close"] else 1
             elif name == "br":
@@ -177,7 +215,6 @@ def read_page(source: str) -> Page:
                 break
             if stack[depth] in closed:
                 end(depth)
-        label = f"{name}.{marks}" if marks else name
         items.append(Tag(label))
         if name in VOID or found["rest"].endswith("/"):
             continue
@@ -303,7 +340,7 @@ def observe(page: Page) -> list:
         text = [page.texts[i] for i in slot.places]
         slot.pages, slot.chars, slot.links = 1, sum(map(len, text)), sum(page.links[i] for i in slot.places)
         slot.same = zlib.crc32("\n".join(text).encode("utf-8", "replace"))
-        slot.places, slot.articles = [], [article] if region == 1 else []
+        slot.places, slot.articles = [], [article] if region == 1 or region == 2 < best else []
     return page.items
 
 
@@ -344,45 +381,49 @@ def _region(path: tuple[str, ...]) -> int:
     level, heading = 1, bool(path) and path[-1].split(".")[0] in HEADINGS
     for label in path:
         name, _, marks = label.partition(".")
-        words = set(marks.split(".")) if marks else set()
-        if words & ASIDE_WORDS and not (heading and name == "header"):
-            return 0
+        signs = set(marks.split("."))
         # A heading inside the header of an article is part of it.
+        if "!" in signs and not (heading and name == "header") or "^" in signs and not (heading and (level > 1 or name == "header")):
+            return 0
         if name in ASIDE_TAGS and not (name == "header" and level > 1 and heading):
             return 0
         if name == "article":
             level = 3
-        elif level < 2 and (name == "main" or words & MAIN_WORDS):
+        elif level < 2 and (name == "main" or "*" in signs):
             level = 2
     return level
 
 
 def article_slots(wrapper: list) -> set[int]:
-    """Ids of the slots of a wrapper that may hold article text."""
+    """Ids of the slots of a wrapper that may hold article text where they lie outside of article and main parts,
+    or in a main part beside an article."""
     slots = [s for s in _slots(wrapper) if _region(s.path)]
     changing = any(s.same is None and s.pages > 1 for s in slots)
     out = set()
     for s in slots:
         template = changing and s.same is not None and len(s.articles) >= SAME_PAGES
         linked = 2 * s.links > s.chars
-        if _region(s.path) != 1 or not template and not linked:
+        if _region(s.path) == 3 or not template and not linked:
             out.add(id(s))
     return out
 
 
 def extract(wrapper: list, page: Page, good: set[int]) -> str:
-    """Texts of the page's slots that match article slots of the wrapper, in the best region the page has."""
+    """Texts of the page's slots that match article slots of the wrapper, in the best region the page has.
+
+    What a main part has beside an article belongs to the text unless the wrapper tells it is template or links.
+    """
     chosen: list[tuple[int, int]] = []
+    best = max((_region(s.path) for s in _slots(page.items)), default=0)
     for known, own in align(wrapper, page.items):
         if own is None:
             continue
         theirs = list(_slots([known])) if known is not None else []
         for k, slot in enumerate(_slots([own])):
             region = _region(slot.path)
-            if region > 1 or region and (known is None or id(theirs[k]) in good):
-                chosen += [(i, region) for i in slot.places]
-    best = max((r for _, r in chosen), default=0)
-    return "\n".join(page.texts[i] for i, r in sorted(chosen) if r == best)
+            if region and region >= min(best, 2) and (region > 1 and region == best or known is None or id(theirs[k]) in good):
+                chosen += slot.places
+    return "\n".join(page.texts[i] for i in sorted(chosen))
 
 
 def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -321,6 +321,31 @@ def test_shared_text_of_articles_and_copies_is_kept(spark):
         assert r["text"] == (f"Title {n}\nStory {n}{ends}" if n < 100 else f"Title\nStory{ends}" if n < 200 else f"Other {n - 200}\nTale {n - 200}")
 
 
+def text_of(source, others=()):
+    """Text of a page by the wrapper of the page and ``others``."""
+    whole = None
+    for one in (source, *others):
+        whole = wrappers.generalise(whole, wrappers.observe(wrappers.read_page(one)))
+    return wrappers.extract(whole, wrappers.read_page(source), wrappers.article_slots(whole))
+
+
+def test_ids_of_headings_and_paragraphs_tell_no_aside():
+    assert text_of('<article><h1>T</h1><p>one</p><h2 id="related-work">Related work</h2><p>two</p><p id="social-effects">three</p></article>') == "T\none\nRelated work\ntwo\nthree"
+    assert text_of('<article id="history-of-advertising"><h1>T</h1><p>one</p></article>') == "T\none"
+    assert text_of('<body class="has-sidebar"><article><section id="related-work"><h2 class="header">R</h2><p>one</p></section></article></body>') == "R\none"
+    assert text_of('<article><div class="post-header"><h1>T</h1><p>by X</p></div><p>one</p></article>') == "T\none"
+    for aside in ('<div id="comments">no</div>', '<div id="social-share-2">no</div>', '<p class="advert">no</p>', '<div class="cookie-notice"><p>no</p></div>', "<aside>no</aside>"):
+        assert text_of(f"<article><p>one</p>{aside}</article>") == "one"
+
+
+def test_the_wrapper_decides_beside_an_article():
+    page = "<main><p>{0}</p><article><p>teaser {1}</p></article><div><a href=x>More of it</a></div></main>"
+    assert text_of(page.format("intro", 0)) == "intro\nteaser 0"
+    others = [page.format("Welcome", n) for n in range(1, 7)]
+    assert text_of(page.format("Welcome", 0), others) == "teaser 0"
+    assert text_of(page.format("intro", 0), others) == "intro\nteaser 0"
+
+
 def test_wrapper_expression_has_optional_and_repeated_groups():
     whole = None
     for _, _, source in pages("article")[:4]:
