@@ -2,7 +2,8 @@
 
 The order of a row is the md5 of seed and id, ties by id.  A sample or split is a range of that
 order, so once the row at its border is known every row is judged where it lies, without a
-shuffle.  Borders come from the counts of hash-prefix buckets and a ranking of one bucket each.
+shuffle.  Borders come from the counts of hash-prefix buckets; a bucket with more rows than one
+task should rank is counted again by a longer prefix, and the last one is ranked.
 """
 
 from __future__ import annotations
@@ -26,6 +27,20 @@ def prefix_digits(rows: int, rows_per_bucket: int = 200_000) -> int:
     return digits
 
 
+def _nth(keyed: DataFrame, id_col: str, prefix: str, place: int, rows: int, rows_per_bucket: int):
+    """The row at ``place`` (from 1) among the ``rows`` rows whose hash starts with ``prefix``."""
+    while rows > rows_per_bucket and len(prefix) < 32:
+        digits = min(len(prefix) + prefix_digits(rows, rows_per_bucket), 32)
+        inside = keyed.filter(F.col("_h").startswith(prefix)).groupBy(F.substring("_h", 1, digits).alias("_b"))
+        upto = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+        ends = inside.agg(F.count(F.lit(1)).alias("_c")).select("_b", "_c", F.sum("_c").over(upto).alias("_end"))
+        border = ends.filter(F.col("_end") >= place).orderBy("_end").first()
+        prefix, place, rows = border["_b"], place - (border["_end"] - border["_c"]), border["_c"]
+    one = keyed.filter(F.col("_h").startswith(prefix))
+    ranked = one.withColumn("_r", F.row_number().over(Window.orderBy("_h", id_col)))
+    return ranked.filter(F.col("_r") == place).first()
+
+
 def within_first(
     df: DataFrame, id_col: str, seed: int, positions: Sequence[int], rows: int, rows_per_bucket: int = 200_000
 ) -> list[Column]:
@@ -47,9 +62,7 @@ def within_first(
         )
         # One row per position.
         for r in borders.collect():
-            place = r["_p"] - (r["_end"] - r["_c"])
-            one = keyed.filter(F.col("_b") == r["_b"]).withColumn("_r", F.row_number().over(Window.orderBy("_h", id_col)))
-            found[r["_p"]] = one.filter(F.col("_r") == place).first()
+            found[r["_p"]] = _nth(keyed, id_col, r["_b"], r["_p"] - (r["_end"] - r["_c"]), r["_c"], rows_per_bucket)
     out = []
     for p in positions:
         if p <= 0 or p >= rows:

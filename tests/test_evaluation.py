@@ -310,6 +310,27 @@ def test_comparison_and_recommendation(spark):
     assert zero["relative_change_pct"] == 0.0 and zero["winner"] == "model_b"
 
 
+@pytest.mark.parametrize("leaf_cells, fan_bits", [(512, 8), (4, 2)])
+def test_multinomial_resamples_have_all_rows(spark, leaf_cells, fan_bits):
+    """Sizes are exact, and mean and variance of the totals those of a multinomial draw, at every depth of the tree."""
+    import numpy as np
+
+    cells = [("q", round(i / 7 - 4, 12), i % 5 + 1) for i in range(60)] + [("one", 0.5, 9)]
+    df = spark.createDataFrame(cells, "metric string, d double, c long")
+    found = evaluate.multinomial_sums(df, 2000, 7, leaf_cells, fan_bits).toPandas()
+    sums = found.groupby(["metric", "replicate"])[["total", "drawn"]].sum()
+    assert (sums.loc["one", "total"] == 4.5).all() and (sums.loc["one", "drawn"] == 9).all()
+    d, c = (np.array([x[k] for x in cells if x[0] == "q"], float) for k in (1, 2))
+    n, p = c.sum(), c / c.sum()
+    assert (sums.loc["q", "drawn"] == n).all() and len(sums.loc["q"]) == 2000
+    total = sums.loc["q", "total"]
+    spread = np.sqrt(n * (p @ d**2 - (p @ d) ** 2))
+    assert abs(total.mean() - n * (p @ d)) < 5 * spread / np.sqrt(2000)
+    assert total.std() == pytest.approx(spread, rel=0.1)
+    again = evaluate.multinomial_sums(df.repartition(5), 2000, 7, leaf_cells, fan_bits).toPandas()
+    assert np.allclose(again.groupby(["metric", "replicate"])["total"].sum(), sums["total"])
+
+
 def test_bootstrap_agrees_between_methods_and_with_resampling(spark):
     rng = random.Random(8)
     a = [rng.random() for _ in range(60)]

@@ -116,6 +116,18 @@ def test_first_rows_of_the_seeded_order(spark):
             assert sorted(r["id"] for r in df.filter(condition).collect()) == sorted(order[:p])
 
 
+def test_borders_in_buckets_beyond_the_first_count(spark, monkeypatch):
+    import hashlib
+
+    from millrace.plans import hashed
+
+    monkeypatch.setattr(hashed, "MAX_DIGITS", 1)
+    df = spark.range(900)
+    order = sorted(range(900), key=lambda i: (hashlib.md5(f"3|{i}".encode()).hexdigest(), i))
+    (condition,) = within_first(df, "id", 3, [333], 900, 2)
+    assert sorted(r["id"] for r in df.filter(condition).collect()) == sorted(order[:333])
+
+
 def test_values_at(spark):
     df = spark.createDataFrame([(v,) for v in [5, 1, 9, 3, 3, 7]], "v int")
     assert values_at(df, "v", {"a": 0, "b": 2, "c": 5}, rows_per_block=2) == {"a": 1, "b": 3, "c": 9}
