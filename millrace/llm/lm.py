@@ -20,6 +20,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from millrace.llm.common import materialise
-from millrace.llm.lanes import numbered_words, slices
+from millrace.llm.lanes import Lanes, numbered_words, slices
 
 # Closes every text; no word holds a space.
 END = b" "
@@ -176,23 +177,45 @@ class Automaton:
     fail: np.ndarray
     depth: np.ndarray
 
-    def walk(self, sizes: np.ndarray) -> np.ndarray:
-        """log10 probability of each text: arcs taken and failure arcs passed, from the root on."""
+    def walk(self, sizes: np.ndarray, together: int = 64) -> np.ndarray:
+        """log10 probability of each text: arcs taken and failure arcs passed, from the root on.
+
+        Texts step side by side, each with its own state, while at least ``together`` are not at
+        their end; the few longest go on one by one.  A text's sum has the same order either way.
+        """
+        lanes = Lanes(sizes)
+        state, paid = np.zeros(len(sizes), np.int32), np.zeros(len(sizes))
+        alone = int(np.searchsorted(-lanes.running, -together, side="right"))
+        for at in islice(lanes, alone):
+            here = state[: len(at)]
+            arc = self.arc_at[self.depth[here], at]
+            lacking = np.flatnonzero(arc < 0)
+            while len(lacking):
+                paid[lacking] += self.weight[here[lacking]]
+                here[lacking] = self.fail[here[lacking]]
+                arc[lacking] = self.arc_at[self.depth[here[lacking]], at[lacking]]
+                lacking = lacking[arc[lacking] < 0]
+            paid[: len(at)] += self.logp[arc]
+            here[:] = self.goal[arc]
+        for text in np.flatnonzero(lanes.sizes > alone):
+            begin, end = lanes.begins[text] + alone, lanes.begins[text] + lanes.sizes[text]
+            paid[text] = self._walk_on(int(state[text]), float(paid[text]), begin, end)
+        out = np.empty(len(sizes))
+        out[lanes.order] = paid
+        return out
+
+    def _walk_on(self, state: int, paid: float, begin: int, end: int) -> float:
+        """The sum of one text after the places from ``begin`` to ``end``."""
         logp, goal, weight, fail, depth = map(memoryview, (self.logp, self.goal, self.weight, self.fail, self.depth))
-        out, begin = np.zeros(len(sizes)), 0
-        for text, size in enumerate(sizes.tolist()):
-            state, paid = 0, 0.0
-            for arcs in zip(*(memoryview(row[begin : begin + size]) for row in self.arc_at)):
+        for arcs in zip(*(memoryview(row[begin:end]) for row in self.arc_at)):
+            arc = arcs[depth[state]]
+            while arc < 0:
+                paid += weight[state]
+                state = fail[state]
                 arc = arcs[depth[state]]
-                while arc < 0:
-                    paid += weight[state]
-                    state = fail[state]
-                    arc = arcs[depth[state]]
-                paid += logp[arc]
-                state = goal[arc]
-            out[text] = paid
-            begin += size
-        return out
+            paid += logp[arc]
+            state = goal[arc]
+        return paid
 
 
 def build(batch: Batch, n: dict[int, np.ndarray], arcs: dict[int, np.ndarray], mass: float) -> Automaton:

@@ -589,6 +589,16 @@ def test_states_of_the_automaton_sum_to_one():
         assert auto.depth[auto.fail[state]] == auto.depth[state] - 1
 
 
+def test_texts_walk_alike_alone_and_side_by_side():
+    rng = np.random.default_rng(3)
+    batch, auto = automaton_of([" ".join(f"w{k}" for k in rng.integers(0, 9, n)) for n in [0, 1, 2, 400, 3, 3, 50, 0, 7]])
+    # Arcs that are not there, so that failure arcs are passed on the way.
+    auto.arc_at[1:][rng.random(auto.arc_at[1:].shape) < 0.3] = -1
+    alone = auto.walk(batch.sizes, 10**9)
+    for together in (1, 2, 4, 9):
+        assert auto.walk(batch.sizes, together).tolist() == alone.tolist()
+
+
 def test_a_walk_carries_its_state():
     """Without failure weights a walk costs less, and another start state costs something else."""
     batch, auto = automaton_of(["a b c a b d", "b c c", "d a c b"])
