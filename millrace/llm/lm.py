@@ -70,7 +70,9 @@ class Batch:
     def __init__(self, row: dict):
         self.sizes = np.frombuffer(row["sizes"], np.int64)
         ids = _unpack(row["ids"], row["n_tokens"], np.int32)
-        self.word = np.frombuffer(row["words"], np.uint64)[ids]
+        self.known, rank = np.unique(np.frombuffer(row["words"], np.uint64), return_inverse=True)
+        self.rank = rank[ids]
+        self.word = self.known[self.rank]
         self.text_of = np.repeat(np.arange(len(self.sizes)), self.sizes)
         self.trained = np.frombuffer(row["trained"], np.bool_)[self.text_of]
 
@@ -81,6 +83,8 @@ class Batch:
     def grams(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct digests, places of the last words, and for each place the n-gram's rank."""
         at = self.ends(size)
+        if size == 1:  # every word of a batch's list is in one of its texts
+            return self.known, at, self.rank
         key = self.word[at - size + 1]
         for back in range(size - 2, -1, -1):
             key = _extended(key, self.word[at - back])
