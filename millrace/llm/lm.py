@@ -24,6 +24,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -38,6 +39,8 @@ DISCOUNT = 0.75
 # each), and more of them where a part would have more than PART_MOST.
 PARTS = 1024
 PART_LEAST, PART_MOST = 1_000, 4_000_000
+# Texts of a batch have about so many bytes together; a longer text is a batch of its own.
+BATCH_BYTES = 8 << 20
 
 
 def _hashes(words: list[bytes]) -> np.ndarray:
@@ -71,9 +74,9 @@ class Batch:
         self.sizes = np.frombuffer(row["sizes"], np.int64)
         ids = _unpack(row["ids"], row["n_tokens"], np.int32)
         self.known, rank = np.unique(np.frombuffer(row["words"], np.uint64), return_inverse=True)
-        self.rank = rank[ids]
+        self.rank = rank.astype(np.int32)[ids]
         self.word = self.known[self.rank]
-        self.text_of = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        self.text_of = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
         self.trained = np.frombuffer(row["trained"], np.bool_)[self.text_of]
 
     def ends(self, size: int) -> np.ndarray:
@@ -88,8 +91,12 @@ class Batch:
         key = self.word[at - size + 1]
         for back in range(size - 2, -1, -1):
             key = _extended(key, self.word[at - back])
-        keys, rank = np.unique(key, return_inverse=True)
-        return keys, at, rank
+        order = np.argsort(key)
+        key = key[order]
+        new = np.concatenate([np.ones(min(1, len(key)), np.bool_), key[1:] != key[:-1]])
+        rank = np.empty(len(key), np.int32)
+        rank[order] = np.cumsum(new, dtype=np.int32) - 1
+        return key[new], at, rank
 
     def ask(self, batch: int, size: int, parts: int, longer: np.ndarray | None) -> pa.RecordBatch:
         """A row for each part with digests, counts in training texts and owned arcs of the n-grams.
@@ -160,7 +167,7 @@ def _answer(asked: pa.Table) -> pa.Table:
 
 def _answered(answers: pa.Table, size: int, kinds: dict[str, type]) -> list[np.ndarray]:
     """Columns of a batch's answers on n-grams of a size, by rising digest."""
-    rows = [r for r in answers.to_pylist() if r["size"] == size]
+    rows = answers.filter(pc.equal(answers.column("size"), size)).select(["part", "n_keys", *kinds]).to_pylist()
     rows.sort(key=lambda r: r["part"])
     return [np.concatenate([np.zeros(0, kind), *[_unpack(r[c], r["n_keys"], kind) for r in rows]]) for c, kind in kinds.items()]
 
@@ -229,44 +236,51 @@ def build(batch: Batch, n: dict[int, np.ndarray], arcs: dict[int, np.ndarray], m
     trained contexts; so weights and lower probabilities exist wherever a walk can come.
     """
     sizes = (1, 2, 3)
-    first = dict(zip(sizes, np.cumsum([0, *(len(n[s]) for s in sizes)])))
-    rank = np.full((4, len(batch.word)), -1, np.int64)
+    many = [len(n[s]) for s in sizes]
+    first = dict(zip(sizes, np.cumsum([0, *many])))
+    rank = np.full(len(batch.word), -1, np.int32)
     arc_at = np.full((3, len(batch.word)), -1, np.int32)
-    p, goal, lower = {}, {}, {}
+    logp, goal = np.zeros(sum(many)), np.zeros(sum(many), np.int32)
+    fail = np.zeros(1 + sum(many[:2]), np.int32)
+    p = None
     for s in sizes:
         _, at, of = batch.grams(s)
-        rank[s, at] = of
-        seen = n[s] > 0
+        seen, here = n[s] > 0, slice(first[s], first[s] + len(n[s]))
         if s == 1:
-            p[s] = (n[s] + ADD) / mass
-            goal[s] = np.where(seen, 1 + np.arange(len(seen)), 0)
+            p = (n[s] + ADD) / mass
+            goal[here] = np.where(seen, 1 + np.arange(len(seen)), 0)
             arc_at[0, at] = of
-            continue
-        context, lower[s] = np.zeros(len(seen), np.int64), np.zeros(len(seen), np.int64)
-        context[of], lower[s][of] = rank[s - 1, at - 1], rank[s - 1, at]
-        p[s] = np.ones(len(seen))
-        here = context[seen]
-        p[s][seen] = (n[s][seen] - DISCOUNT + DISCOUNT * arcs[s - 1][here] * p[s - 1][lower[s][seen]]) / n[s - 1][here]
-        goal[s] = 1 + first[2] + (np.arange(len(seen)) if s == 2 else lower[s])
-        arc_at[s - 1, at] = np.where(seen[of], first[s] + of, -1)
+        else:
+            context, lower = np.zeros(len(seen), np.int32), np.zeros(len(seen), np.int32)
+            context[of], lower[of] = rank[at - 1], rank[at]
+            within = context[seen]
+            of_arc = (n[s][seen] - DISCOUNT + DISCOUNT * arcs[s - 1][within] * p[lower[seen]]) / n[s - 1][within]
+            p = np.ones(len(seen))
+            p[seen] = of_arc
+            goal[here] = 1 + first[2] + (np.arange(len(seen)) if s == 2 else lower)
+            arc_at[s - 1, at] = np.where(seen[of], np.int32(first[s]) + of, np.int32(-1))
+            if s == 2:
+                fail[1 + first[2] :] = 1 + lower
+        np.log10(p, out=logp[here])
+        if s < 3:
+            rank = np.full(len(batch.word), -1, np.int32)
+            rank[at] = of
     left = [DISCOUNT * np.maximum(arcs[s], 1) / np.maximum(n[s], 1) for s in (1, 2)]
     return Automaton(
-        arc_at,
-        np.log10(np.concatenate([p[s] for s in sizes])),
-        np.concatenate([goal[s] for s in sizes]).astype(np.int32),
-        np.log10(np.concatenate([[1.0], *left])),
-        np.concatenate([[0], np.zeros(len(n[1]), np.int64), 1 + lower[2]]).astype(np.int32),
-        np.repeat(np.arange(3, dtype=np.int8), [1, len(n[1]), len(n[2])]),
+        arc_at, logp, goal, np.log10(np.concatenate([[1.0], *left])), fail, np.repeat(np.arange(3, dtype=np.int8), [1, *many[:2]])
     )
 
 
 def _score(batch: Batch, answers: pa.Table, mass: float) -> tuple[np.ndarray, ...]:
     """Known tokens, log10 of the root's probability and of the automaton's, summed over each text."""
-    counts = {size: _answered(answers, size, {"n": np.int64, "arcs": np.int64}) for size in (1, 2, 3)}
-    auto = build(batch, {s: c[0] for s, c in counts.items()}, {s: c[1] for s, c in counts.items()}, mass)
+    n, arcs = {}, {}
+    for size in (1, 2):
+        n[size], arcs[size] = _answered(answers, size, {"n": np.int64, "arcs": np.int64})
+    (n[3],) = _answered(answers, 3, {"n": np.int64})
+    auto = build(batch, n, arcs, mass)
     root, texts = auto.arc_at[0], len(batch.sizes)
     return (
-        np.bincount(batch.text_of, counts[1][0][root] > 0, texts).astype(np.int64),
+        np.bincount(batch.text_of, n[1][root] > 0, texts).astype(np.int64),
         np.bincount(batch.text_of, auto.logp[root], texts),
         auto.walk(batch.sizes),
     )
@@ -280,7 +294,7 @@ def _batches(docs: DataFrame, training: Column, keep: list[str], text: str) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = uuid.uuid4().int >> 66 & ~0xFFFFFFFF  # a task numbers its batches from a place of its own
-        for batch in slices(batches, len(keep) + 1):
+        for batch in slices(batches, len(keep) + 1, BATCH_BYTES):
             ids, sizes, words = numbered_words(batch.column(len(keep) + 1), END)
             own = pa.StructArray.from_arrays(batch.columns[: len(keep)], names=keep)
             trained = np.array(batch.column(len(keep)).to_pylist(), np.bool_)
