@@ -212,13 +212,18 @@ def _(spark, sf):
     return serving.service_report(serving.hourly_rollup(_points(spark, sf), "endpoint"), "endpoint")
 
 
-def _alarm_sql(value: str, where: str, breach: str, consecutive: int, missing: str) -> str:
-    return f"""with v as (select event_type, epoch_us(ts) // 300000000 as period, {value} as value from events {where} group by all),
-    l as (select max(period) as last from v), g as (select event_type, unnest(range(min(period), (select last from l) + 1)) as period from v group by event_type),
-    f as (select g.event_type, g.period, v.value, coalesce({breach}, {missing}) as breaching from g left join v on v.event_type = g.event_type and v.period = g.period)
-    select event_type, period, round(value, 6)::double as value, breaching,
+_P99_SQL = "list_sort(list(value))[least(floor(count(*) * 99.0 / 100.0), count(*) - 1)::int + 1]"
+
+
+def _alarm_sql(
+    value: str, where: str, breach: str, consecutive: int, missing: str, key: str = "event_type", rows: str = "events", more: str = ""
+) -> str:
+    return f"""with v as (select {key}, epoch_us(ts) // 300000000 as period, {value} as value from {rows} {where} group by all),
+    l as (select max(period) as last from v), g as (select {key}, unnest(range(min(period), (select last from l) + 1)) as period from v group by {key}),
+    f as (select g.{key}, g.period, v.value, coalesce({breach}, {missing}) as breaching from g left join v on v.{key} = g.{key} and v.period = g.period)
+    select {more}{key}, period, round(value, 6)::double as value, breaching,
       count(*) over w >= {consecutive} and count(*) filter (not breaching) over w = 0 as in_alarm from f
-    window w as (partition by event_type order by period rows between {consecutive - 1} preceding and current row)"""
+    window w as (partition by {key} order by period rows between {consecutive - 1} preceding and current row)"""
 
 
 @query("threshold_alarm", _alarm_sql("count(*)::double", "", "value <= 0", 3, "true"))
@@ -234,17 +239,30 @@ def _(spark, sf):
 
 @query(
     "p99_alarm",
-    _alarm_sql("list_sort(list(value))[least((count(*) * 99 / 100)::int, count(*) - 1)::int + 1]".replace("(count(*) * 99 / 100)::int", "floor(count(*) * 99.0 / 100.0)"), "", "value > 100", 2, "false"),
+    _alarm_sql(_P99_SQL, "", "value > 100", 2, "false"),
 )
 def _(spark, sf):
     return rounded(serving.threshold_alarm(_events(spark, sf), "event_type", "seconds", "value", "p99", ">", 100.0, 2, "notBreaching"))
 
 
-@query("endpoint_alarms")
+_ENDPOINT_SQL = " union all ".join(
+    f"""select * from ({_alarm_sql(value, f"where metric = '{metric}'", breach, consecutive, missing, "endpoint", "points", f"'{alarm}' as alarm, ")})"""
+    for alarm, metric, value, breach, consecutive, missing in (
+        ("zero-invocations", "invocations", "sum(value)", "value <= 0", 3, "true"),
+        ("p99-latency", "latency_us", _P99_SQL, "value > 5000000", 2, "false"),
+        ("5xx-rate", "errors", "avg(value)", "value > 1", 2, "false"),
+        ("unhealthy-instances", "invocations_per_instance", "sum(value)", "value <= 0", 3, "true"),
+    )
+)
+
+
+@query(
+    "endpoint_alarms",
+    f"""with points as (select endpoint, ts, case metric when 'latency' then 'latency_us' else metric end as metric, value from ({_POINTS_SQL})) {_ENDPOINT_SQL}""",
+)
 def _(spark, sf):
     points = _points(spark, sf).withColumn("metric", F.when(F.col("metric") == "latency", "latency_us").otherwise(F.col("metric")))
-    states = serving.endpoint_alarms(points, "endpoint", "seconds")
-    return states.groupBy("alarm", "endpoint").agg(F.count("*").alias("periods"), F.count_if("in_alarm").alias("in_alarm"))
+    return rounded(serving.endpoint_alarms(points, "endpoint", "seconds"))
 
 
 @query(
@@ -385,9 +403,20 @@ def _(spark, sf):
     return serving.alert_events(_alert_rows(spark, sf)).select("event_id", "severity", "subject")
 
 
-@query("alert_messages")
+@query(
+    "alert_messages",
+    """with a as (select event_id, event_type, 'm' || user_id as name, round(value / 100::double * 100, 2) as pct, value, json_object('props', props) as details from events),
+    m as (select event_id, case event_type when 'signup' then case when value > 50 then 'CRITICAL' else 'INFO' end when 'error' then 'WARNING' when 'click' then 'CRITICAL'
+        when 'view' then case when value > 50 then 'INFO' else 'WARNING' end else case when value >= 100 then 'CRITICAL' else 'WARNING' end end as severity,
+      case event_type when 'signup' then json_object('model_id', name, 'event', case when value > 50 then 'Failed' else 'done' end, 'details', details)
+        when 'error' then json_object('endpoint', name, 'drift', details)
+        when 'click' then json_object('event_type', 'rollback', 'endpoint_name', name, 'details', details)
+        when 'view' then json_object('event_type', case when value > 50 then 'complete' else 'paused' end, 'endpoint_name', name, 'details', details)
+        else json_object('current_cost_usd', value, 'budget_limit_usd', 100.0::double, 'utilization_pct', pct, 'details', details) end as body from a)
+    select event_id, '[' || severity || '] ' || body::varchar as message from m""",
+)
 def _(spark, sf):
-    return serving.alert_events(_alert_rows(spark, sf)).groupBy("kind", "severity").agg(F.count("*").alias("n"), F.min("message").alias("example"))
+    return serving.alert_events(_alert_rows(spark, sf)).select("event_id", "message")
 
 
 _GREEDY_SQL = """with recursive a as (select event_type, epoch_us(ts) as at_us, min(event_id) as event_id from events group by all),
@@ -490,19 +519,19 @@ def _(spark, sf):
     return runs.loss_plateau(_losses(spark, sf), "run", "step", "loss").select("run", "step", "best_loss", "best_step", "is_plateau")
 
 
-@query(
-    "early_stop",
-    """with recursive r as (select user_id as run, event_id as step, value as loss, row_number() over (partition by user_id order by event_id) as k from events),
+_EARLY_STOP_SQL = """with recursive r as (select user_id as run, event_id as step, value as loss, row_number() over (partition by user_id order by event_id) as k from events),
     walk as (select run, step, k, loss as best_loss, 0::bigint as counter from r where k = 1
       union all select r.run, r.step, r.k, case when r.loss < w.best_loss - 0.5 then r.loss else w.best_loss end, case when r.loss < w.best_loss - 0.5 then 0 else w.counter + 1 end
       from walk w join r on r.run = w.run and r.k = w.k + 1)
-    select run, step, best_loss, counter, counter >= 5 as should_stop from walk""",
-)
+    select run, step, best_loss, counter, counter >= 5 as should_stop from walk"""
+
+
+@query("early_stop", _EARLY_STOP_SQL)
 def _(spark, sf):
     return runs.early_stop(_losses(spark, sf), "run", "step", "loss", 5, 0.5).drop("loss")
 
 
-@query("stop_steps")
+@query("stop_steps", f"select run, min(step) as stop_step from ({_EARLY_STOP_SQL}) where should_stop group by run")
 def _(spark, sf):
     return runs.stop_steps(runs.early_stop(_losses(spark, sf), "run", "step", "loss", 5, 0.5), "run", "step")
 
