@@ -366,17 +366,23 @@ def _compared(spark, sf):
 
 _COMPARE_SQL = f"""with models as ({_MODELS_SQL}), pairs as (select pair_id * 2 as k2, text_a as prediction, reference from models union all select pair_id * 2 + 1, text_b, reference from models),
     {_overlap_sql('pairs', 'k2', toks('prediction'), toks('reference'), 1)},
-    means as (select avg(case when k % 2 = 0 then f end) as a, avg(case when k % 2 = 1 then f end) as b from f1)"""
+    hits as (select k2 as k, (lower(trim(prediction, e' \\t\\n\\r')) = lower(trim(reference, e' \\t\\n\\r')))::int::double as f from pairs),
+    each as (select 'f1_token' as metric, k // 2 as pair, max(f) filter (k % 2 = 0) as a, max(f) filter (k % 2 = 1) as b from f1 group by all
+      union all select 'exact_match', k // 2, max(f) filter (k % 2 = 0), max(f) filter (k % 2 = 1) from hits group by all),
+    means as (select metric, avg(a) as a, avg(b) as b, avg(b - a) / nullif(stddev_pop(b - a) / sqrt(count(*)), 0) as z from each group by metric)"""
 
 
+# The winner by the normal limit of the bootstrap: 1.96 standard errors of the mean difference.
 @query(
     "compare_models",
-    f"""{_COMPARE_SQL} select 'f1_token' as metric, round(a, 6)::double as model_a_value, round(b, 6)::double as model_b_value,
-      round(b - a, 6)::double as difference, round((b - a) / abs(a) * 100, 4)::double as relative_change_pct, 'model_b' as winner from means""",
+    f"""{_COMPARE_SQL} select metric, round(a, 6)::double as model_a_value, round(b, 6)::double as model_b_value,
+      round(b - a, 6)::double as difference, case when a <> 0 then round((b - a) / abs(a) * 100, 4) else 0 end::double as relative_change_pct,
+      case when z > 1.96 then 'model_b' when z < -1.96 then 'model_a' else 'tie' end as winner from means""",
 )
 def _(spark, sf):
-    scored = evaluate.sample_scores(_two_models(spark, sf), ["f1_token"], "text_a", "text_b")
-    rows = evaluate.compare_models(scored, ["f1_token"]).select("metric", "model_a_value", "model_b_value", "difference", "relative_change_pct", "winner")
+    names = ["exact_match", "f1_token"]
+    scored = evaluate.sample_scores(_two_models(spark, sf), names, "text_a", "text_b")
+    rows = evaluate.compare_models(scored, names).select("metric", "model_a_value", "model_b_value", "difference", "relative_change_pct", "winner")
     return rounded(rows.withColumn("relative_change_pct", F.round("relative_change_pct", 4)))
 
 
