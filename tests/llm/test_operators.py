@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -91,6 +92,46 @@ def test_marginals_equal_enumeration():
         assert np.allclose(odds[start : start + size], part[:, 1] / part[:, 0])
 
 
+def test_fitted_chain_is_at_the_maximum_of_the_enumerated_likelihood():
+    rng = np.random.default_rng(5)
+    lengths = [1, 2, 3, 4, 5] * 8
+    slots = [rng.integers(1, 7, (n, toxicity.SLOTS)) for n in lengths]
+    # Marks follow the one before and, loosely, one slot, so that no weight runs away.
+    marks = []
+    for own in slots:
+        y = []
+        for k in range(len(own)):
+            lean = 0.2 + 0.3 * (own[k, 0] < 3) + 0.3 * (y[-1] if y else 0)
+            y.append(int(rng.random() < lean))
+        marks.append(np.array(y, float))
+    decay = 1e-3
+
+    def likelihood(x):
+        weights, bias, steps = x[:7], x[7], x[8:].reshape(2, 2)
+
+        def score(own, y):
+            emission = weights[own].sum(axis=1) + bias
+            return sum(e for e, m in zip(emission, y) if m) + sum(steps[a, b] for a, b in zip(y, y[1:]))
+
+        fits = [
+            score(own, m.astype(int)) - np.logaddexp.reduce([score(own, y) for y in itertools.product((0, 1), repeat=len(own))])
+            for own, m in zip(slots, marks)
+        ]
+        return np.mean(fits) - decay / 2 * (weights**2).sum()
+
+    def slope(x):
+        near = 1e-5 * np.eye(len(x))
+        return np.array([(likelihood(x + d) - likelihood(x - d)) / 2e-5 for d in near])[1:]
+
+    chain = toxicity.fit_chain(slots, marks, rounds=1500, decay=decay)
+    fitted = np.concatenate([chain.weights[:7], [chain.bias], chain.steps.ravel()])
+    start = np.zeros(12)
+    assert np.abs(slope(start)).max() > 0.05 and np.abs(slope(fitted)).max() < 1e-3
+    assert likelihood(fitted) > likelihood(start)
+    # Without its steps the chain fits worse: neighbours matter.
+    assert likelihood(np.concatenate([fitted[:8], np.zeros(4)])) < likelihood(fitted)
+
+
 def test_toxicity_of_odd_rows(spark, odd_documents):
     labels = spark.createDataFrame([(1, 0, 1), (2, 0, 0), (2, 1, 1), (None, 0, 1), (3, 0, None)], "doc_id long, quality int, toxic int")
     chain = toxicity.train(odd_documents, labels)
