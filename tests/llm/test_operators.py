@@ -705,6 +705,45 @@ def test_shards_are_even_and_keep_groups(spark):
     assert max(loads.values()) - min(loads.values()) < 0.05 * sum(loads.values()) / 16 + heaviest
 
 
+def test_every_cut_is_the_best_of_all_cuts(spark):
+    rng = np.random.default_rng(2)
+    made = [(int(rng.integers(-(2**63), 2**63 - 1)), int(rng.integers(1, 6)), float(rng.integers(0, 9)), float(rng.normal())) for _ in range(3000)]
+    points = materialise(spark.createDataFrame(made, "key long, w long, a double, b double"), "points")
+    tree = kdtree.fit_tree(points, ["a", "b"], shards=4)
+    found = rows(points.withColumn("shard", tree.shard({"a": F.col("a"), "b": F.col("b")}, F.col("key"))))
+    assert len(found) == 3000 and not tree.large
+    reach = lambda part, dim: max(r[dim] for r in part) - min(r[dim] for r in part)
+    spread = {dim: reach(found, dim) for dim in ("a", "b")}
+    met = set()
+
+    def check(part, shards):
+        if len(shards) == 1:
+            assert {r["shard"] for r in part} == set(shards)
+            return
+        dim = max(("a", "b"), key=lambda d: reach(part, d) / spread[d])
+        met.add(dim)
+        least, width = min(r[dim] for r in part), reach(part, dim)
+
+        def place(r):
+            at = math.floor(min(kdtree.BINS - 1, (r[dim] - least) / width * kdtree.BINS))
+            return at, (r["key"] % 2**64) >> (64 - 2 * kdtree.KEY_BITS)
+
+        low = [r for r in part if r["shard"] in shards[: len(shards) // 2]]
+        high = [r for r in part if r["shard"] in shards[len(shards) // 2 :]]
+        assert len(low) + len(high) == len(part) and max(map(place, low)) < min(map(place, high))
+        weights = Counter()
+        for r in part:
+            weights[place(r)] += r["w"]
+        half = sum(weights.values()) / 2
+        every = np.cumsum([0, *(weights[k] for k in sorted(weights))])
+        assert abs(sum(r["w"] for r in low) - half) == np.abs(every - half).min()
+        check(low, shards[: len(shards) // 2])
+        check(high, shards[len(shards) // 2 :])
+
+    check(found, [0, 1, 2, 3])
+    assert met == {"a", "b"}
+
+
 def test_a_group_above_a_share_gets_a_shard_of_its_own(spark):
     hot = spark.range(500).select(F.col("id").alias("doc_id"), F.lit("hot text " * 20).alias("text"))
     cold = spark.range(300).select((F.col("id") + 1000).alias("doc_id"), F.concat(F.lit("cold "), F.repeat(F.md5(F.col("id").cast("string")), 3)).alias("text"))
