@@ -12,7 +12,8 @@ from millrace.plans.durable import new_path
 from millrace.streaming import monitor
 from millrace.streaming.run import drain_to_table
 from millrace.operators.drift import OUTPUT_METRICS
-from millrace.workload import query, rounded, toks
+from millrace.workload import hash_order, query, rounded, toks
+from millrace.workload.corpus import _CLEAN_SQL, _MASK_SQL
 from millrace.workload.monitoring import _BASE, _GREEDY_SQL, _REFUSAL, _p_sql
 
 
@@ -97,7 +98,11 @@ def _(spark, sf):
     return drain_to_table(monitor.streaming_alert_dedup(alerts, "event_type", "event_id", "ts", window_seconds=86_400), "alerts").drop("at_us")
 
 
-@query("streaming_clean_redact")
+_KEPT_SQL = f"""(select doc_id, {_CLEAN_SQL.replace("noisy", "text")} as text from documents
+      where ('0x' || substr({hash_order(42, 'doc_id')}, 1, 8))::bigint % 10000 < 5000)"""
+
+
+@query("streaming_clean_redact", _MASK_SQL.replace("from documents", f"from {_KEPT_SQL}"))
 def _(spark, sf):
     docs = _stream(spark, sf, "documents").select("doc_id", "text")
     done = drain_to_table(monitor.streaming_clean_redact(docs, "doc_id", "text", 50.0), "clean")
