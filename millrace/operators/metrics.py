@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from millrace.functions.exchange import ROW_END, distinct_in_part, distinct_told, matches_of, parts_for, tops_answered, tops_told, word_batches
 from millrace.functions.fixed import TOXIC_KEYWORDS
 from millrace.functions.kernels import bleu_matches, common_tokens, rouge_matches, sentence_matches
-from millrace.functions.text import bleu_text, ngrams, normalised_answer, rouge_lines, rouge_text, strip, tokens
-from millrace.plans.skew import SMALL_TOTAL, hot_key_join
+from millrace.functions.text import bleu_text, normalised_answer, rouge_lines, rouge_text, strip, tokens
+from millrace.plans.durable import materialise
+from millrace.plans.skew import SMALL_TOTAL, hot_key_join, null_safe_join
 
 
 def pair_up(predictions: DataFrame, references: DataFrame, key: str) -> DataFrame:
@@ -172,17 +174,27 @@ def coherence_of_ids(df: DataFrame, ids: str, by: Sequence[str] = ()) -> DataFra
     return counted.groupBy(*by).agg(F.coalesce(score, F.lit(0.0)).alias("coherence"))
 
 
-def distinct_n(df: DataFrame, text: str, n: int, by: Sequence[str] = ()) -> DataFrame:
-    """Distinct over total n-grams of the lower-cased texts, with both counts.
+def _gram_counts(df: DataFrame, text: str, sizes: Sequence[int], by: Sequence[str]) -> DataFrame:
+    """(by, n, distinct, total) n-grams of the lower-cased texts for each size, groups without any left out.
 
-    One shuffle on the n-gram after map-side counting; groups need no distinct aggregate.
+    Tasks tell digests (96 bits) of the n-grams, each once for some megabytes of text, to parts of
+    the digest range, which count them; words and rows of n-grams are not shuffled.
     """
-    # Tokens are a column of their own: an expression inside explode is not shared.
-    split = df.select(*by, tokens(F.lower(F.col(text))).alias("_t"))
-    grams = split.select(*by, F.explode(ngrams(F.col("_t"), n)).alias("g"))
-    words = [f"w{k + 1}" for k in range(n)]
-    counted = grams.select(*by, "g.*").groupBy(*by, *words).agg(F.count(F.lit(1)).alias("_c"))
-    total, unique = F.coalesce(F.sum("_c"), F.lit(0)), F.count(F.lit(1))
+    kept = df.select(*by, F.lower(F.col(text)).alias("_text"))
+    # A word and the space after it have three bytes or more in most texts; parts are a matter of size only.
+    letters = df.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
+    groups = df.select(*by).schema.fields
+    told = T.StructType([*groups, *T.StructType.fromDDL("n int, part int, total long, size long, x binary, y binary").fields])
+    found = T.StructType([*groups, *T.StructType.fromDDL("n int, distinct long, total long").fields])
+    asked = kept.mapInArrow(distinct_told(tuple(sizes), parts_for(letters // 4)), told)
+    counted = asked.groupBy(*by, "n", "part").applyInArrow(distinct_in_part(tuple(by)), found)
+    return counted.groupBy(*by, "n").agg(F.sum("distinct").alias("distinct"), F.sum("total").alias("total"))
+
+
+def distinct_n(df: DataFrame, text: str, n: int, by: Sequence[str] = ()) -> DataFrame:
+    """Distinct over total n-grams of the lower-cased texts, with both counts."""
+    counted = _gram_counts(df, text, (n,), by)
+    total, unique = F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))
     return counted.groupBy(*by).agg(
         unique.alias("distinct_ngrams"),
         total.alias("total_ngrams"),
@@ -191,66 +203,49 @@ def distinct_n(df: DataFrame, text: str, n: int, by: Sequence[str] = ()) -> Data
     )
 
 
-def _widened_ngrams(toks: Column, n: int, width: int) -> Column:
-    """n-grams as structs (n, w1..w<width>), unused words empty, so that orders can be stacked."""
-    length = F.greatest(F.size(toks) - (n - 1), F.lit(0))
-    words = [F.slice(toks, k + 1, length) if k < n else F.array_repeat(F.lit(""), length) for k in range(width)]
-    return F.arrays_zip(
-        F.array_repeat(F.lit(n), length).alias("n"), *[w.alias(f"w{k + 1}") for k, w in enumerate(words)]
-    )
-
-
 def diversity(df: DataFrame, text: str, by: Sequence[str] = ()) -> DataFrame:
     """distinct_1, distinct_2 and distinct_3 from one scan."""
-    split = df.select(*by, tokens(F.lower(F.col(text))).alias("_t"))
-    widened = F.concat(*[_widened_ngrams(F.col("_t"), n, 3) for n in (1, 2, 3)])
-    grams = split.select(*by, F.explode(widened).alias("g")).select(*by, "g.*")
-    counted = grams.groupBy(*by, "n", "w1", "w2", "w3").agg(F.count(F.lit(1)).alias("_c"))
-    of = lambda n, col: F.sum(F.when(F.col("n") == n, col))
+    counted = _gram_counts(df, text, (1, 2, 3), by)
+    of = lambda n, col: F.sum(F.when(F.col("n") == n, F.col(col)))
     return counted.groupBy(*by).agg(
-        *[F.coalesce(of(n, F.lit(1)) / of(n, F.col("_c")), F.lit(0.0)).alias(f"distinct_{n}") for n in (1, 2, 3)]
+        *[F.coalesce(of(n, "distinct") / of(n, "total"), F.lit(0.0)).alias(f"distinct_{n}") for n in (1, 2, 3)]
     )
 
 
 def self_bleu(df: DataFrame, key: str, text: str, small_total: int = SMALL_TOTAL) -> DataFrame:
     """Sentence BLEU-4 of each text against all other texts, smoothing 0.1 for empty matches.
 
-    The clip of an n-gram is its largest count in any other text: the overall largest, or the
-    second largest for the text that holds the largest.  No pairs of texts are formed.
+    The clip of an n-gram is its largest count in any other text.  Batches of texts tell the two
+    largest counts of their n-grams' digests to parts of the digest range, which answer with the
+    two largest of all texts.  No pairs of texts and no rows of n-grams are formed.
+
+    Rows of a repeated key are one text (in one row) with the length of each; those without a key match nothing.
     """
-    toks = df.select(key, tokens(F.lower(F.col(text))).alias("_t"))
-    widened = F.concat(*[_widened_ngrams(F.col("_t"), n, 4) for n in (1, 2, 3, 4)])
-    grams = toks.select(key, F.explode(widened).alias("g")).select(key, "g.*")
-    gram = ["n", "w1", "w2", "w3", "w4"]
-    per_text = grams.groupBy(key, *gram).agg(F.count(F.lit(1)).alias("_c"))
-    # Per n-gram one entry for every distinct count, which no text length lets grow far.
-    by_count = per_text.groupBy(*gram, "_c").agg(F.count(F.lit(1)).alias("_n"), F.min(key).alias("_k"))
-    entries = F.sort_array(F.collect_list(F.struct("_c", "_n", "_k")), asc=False)
-    tops = by_count.groupBy(*gram).agg(F.sum("_n").alias("_texts"), entries.alias("_e")).filter(F.col("_texts") > 1)
-    first, next_one = F.col("_e")[0], F.try_element_at("_e", F.lit(2))
-    clips = tops.select(
-        *gram,
-        "_texts",
-        first["_k"].alias("_holder"),
-        first["_c"].alias("_first"),
-        F.when(first["_n"] > 1, first["_c"]).otherwise(next_one["_c"]).alias("_second"),
-    )
-    words = toks.agg(F.coalesce(F.sum(F.size("_t")), F.lit(0))).first()[0]
-    matched = hot_key_join(per_text, clips, gram, "_texts", 4 * words, small_total)
-    clip = F.when(F.col(key) == F.col("_holder"), F.col("_second")).otherwise(F.col("_first"))
-    sums = matched.groupBy(key).agg(
-        *[F.sum(F.when(F.col("n") == n, F.least("_c", clip))).alias(f"_m{n}") for n in (1, 2, 3, 4)]
-    )
-    lengths = toks.select(key, F.size("_t").alias("_len"))
-    closest = _closest_other_length(lengths)
-    scored = hot_key_join(lengths.join(sums, key, "left"), closest, ["_len"], "_n", 4 * words, small_total)
+    # The separator of rows is white space within a text.
+    named = df.select(F.col(key).alias("key"), F.translate(F.lower(F.coalesce(F.col(text), F.lit(""))), ROW_END, " ").alias("text"))
+    kind = named.schema["key"].dataType
+    repeated = named.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("key")
+    if not repeated.isEmpty():
+        joined = null_safe_join(named, repeated, ["key"], "left_semi").groupBy("key").agg(F.array_join(F.collect_list("text"), ROW_END).alias("text"))
+        named = null_safe_join(named, repeated, ["key"], "left_anti").unionByName(joined)
+    schema = T.StructType([T.StructField("batch", T.LongType()), T.StructField("keys", T.ArrayType(kind)), *T.StructType.fromDDL("n_words long, of_key binary, sizes binary, ids binary, hashes binary").fields])
+    batches = materialise(named.mapInArrow(word_batches, schema), "bleu-batches")
+    words = batches.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    told = batches.drop("keys").mapInArrow(tops_told(parts_for(words)), "n int, part int, batch long, size long, x binary, y binary, top binary, second binary")
+    answers = told.groupBy("n", "part").applyInArrow(tops_answered, "n int, part int, batch long, size long, top binary, second binary")
+    matched = T.StructType([T.StructField("key", kind), *T.StructType.fromDDL("_len long, _m1 long, _m2 long, _m3 long, _m4 long").fields])
+    # Written once: the lengths are compared with one another before they are scored.
+    sums = materialise(batches.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(matches_of, matched), "bleu-matches")
+    sums = sums.withColumnRenamed("key", key)
+    closest = _closest_other_length(sums)
+    scored = hot_key_join(sums, closest, ["_len"], "_n", 4 * words, small_total)
     parts = []
     for n in (1, 2, 3, 4):
         total = F.greatest(F.col("_len") - (n - 1), F.lit(1))
-        got = F.coalesce(F.col(f"_m{n}"), F.lit(0))
+        got = F.col(f"_m{n}")
         parts.append(F.log(F.when(got > 0, got / total).otherwise(F.lit(0.1) / total)))
     penalty = F.when(F.col("_len") > F.col("_ref_len"), 1.0).otherwise(F.exp(1 - F.col("_ref_len") / F.col("_len")))
-    score = F.when(F.coalesce(F.col("_m1"), F.lit(0)) > 0, penalty * F.exp((parts[0] + parts[1] + parts[2] + parts[3]) / 4))
+    score = F.when(F.col(key).isNotNull() & (F.col("_m1") > 0), penalty * F.exp((parts[0] + parts[1] + parts[2] + parts[3]) / 4))
     return scored.select(key, F.coalesce(score, F.lit(0.0)).alias("self_bleu"))
 
 

@@ -252,6 +252,38 @@ def sentence_bleu(hypothesis, references):
     return math.exp(score) * (1.0 if len(hypothesis) > ref else math.exp(1 - ref / len(hypothesis)))
 
 
+def grams_moved(spark, df):
+    """Whether a plan makes a row of every n-gram."""
+    return "Generate" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ngrams_are_counted_without_a_row_each(spark, monkeypatch):
+    from millrace.functions import exchange
+
+    monkeypatch.setattr(exchange, "PART_LEAST", 3)
+    rng = random.Random(5)
+    rows = [(rng.choice(["de", "en", None]), " ".join(rng.choice(["The", "cat", "sat", "Über", "x\u3000y", "on"]) for _ in range(rng.randint(0, 9)))) for _ in range(60)] + [("fr", None), ("fr", "one")]
+    df = spark.createDataFrame(rows, "lang string, t string")
+    for n in (1, 2, 3):
+        want = {}
+        for lang, text in rows:
+            words = (text or "").lower().split()
+            want.setdefault(lang, []).extend(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
+        got = m.distinct_n(df, "t", n, ["lang"])
+        assert not grams_moved(spark, got)
+        assert {r["lang"]: (r["distinct_ngrams"], r["total_ngrams"]) for r in got.collect()} == {k: (len(set(g)), len(g)) for k, g in want.items() if g}
+    assert not grams_moved(spark, m.diversity(df, "t"))
+    assert not grams_moved(spark, sketches.ngram_sketches(df, "t", 2, ["lang"]))
+
+
+def test_self_bleu_moves_no_ngrams_and_merges_repeated_keys(spark):
+    rows = [(1, "the cat sat on a mat"), (1, "the cat"), (2, "the cat sat"), (None, "the cat sat"), (3, "alone")]
+    got = m.self_bleu(spark.createDataFrame(rows, "id int, text string"), "id", "text")
+    assert not grams_moved(spark, got)
+    found = [(r["id"], r["self_bleu"]) for r in got.collect()]
+    assert len(found) == 5 and dict(found)[None] == dict(found)[3] == 0.0 and len({s for k, s in found if k == 1}) == 2
+
+
 @pytest.mark.parametrize("small_total", [5_000_000, 5])
 def test_self_bleu_matches_brute_force(spark, small_total):
     rng = random.Random(4)
