@@ -3,6 +3,7 @@
 import random
 import unicodedata
 
+import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -270,6 +271,32 @@ def test_hot_group_of_copies(spark):
     assert got == greedy_drop(dict(texts), 0.8)
 
 
+def test_buckets_of_the_same_rows_are_one(spark):
+    # 40 texts without a first word, all of them copies of one: many shingles, one set of rows, one bucket.
+    from millrace.functions.kernels import prefix_of
+
+    words = [f"w{i}" for i in range(100)]
+    texts = [(k, " ".join([f"own{k}", *words])) for k in range(40)] + [(99, "nothing in common with any other row")]
+    df = spark.createDataFrame(texts, "id bigint, t string").select("id", F.xxhash64("id").alias("mark"), "t")
+    none = spark.sparkContext.broadcast((np.zeros(0, np.int64), np.zeros(0, np.int64)))
+    schema = "id bigint, mark long, n int, hi long, lo long, prefix array<long>"
+    rows = df.mapInArrow(prefix_of(5, 0.5, none), schema)
+    found = dedup._members(rows, "id").collect()
+    assert {r["id"] for r in found} == set(range(40)) and len(found) < 40 * 10
+    shared = next(iter({r["bucket"] for r in found}))
+    assert sum(r["bucket"] == shared for r in found) > 1
+
+
+def test_texts_travel_in_slices():
+    from millrace.functions.exchange import sliced
+    import pyarrow as pa
+
+    texts = ["x" * 300] * 50 + [None, "y" * 5000] + ["z"] * 10
+    parts = list(sliced(iter([pa.RecordBatch.from_pydict({"t": texts})]), 0, 1000))
+    assert [t for p in parts for t in p.column(0).to_pylist()] == texts
+    assert all(p.num_rows == 1 or sum(len(t or "") for t in p.column(0).to_pylist()) <= 1000 for p in parts)
+
+
 def test_near_threshold_one_disables(spark):
     df = spark.createDataFrame([(0, "a b"), (1, "a b")], "id int, t string")
     assert dedup.dedup_near(df, "id", "t", 1.0).count() == 2
