@@ -13,14 +13,17 @@ from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from millrace.functions.exchange import sliced
 from millrace.functions.fixed import PERSON_SCORE
 from millrace.plans.durable import materialise, written_bytes
 from millrace.plans.skew import BROADCAST_BYTES, hot_key_join, null_safe_join
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Texts whose parts are listed at once have about so many bytes.
+PART_BYTES = 1 << 20
 _SPAN = "array<struct<start int, end int, score double>>"
 # A word may hold hyphens and apostrophes, but a possessive s is not part of a name.
 _WORD = re.compile(r"[^\W\d_]+(?:[-'’](?!s\b)[^\W\d_]+)*")
@@ -39,11 +42,24 @@ def parts_of(text: str, longest: int) -> list[tuple[int, int, str]]:
 
 
 def _parts(longest: int):
-    @F.pandas_udf("array<struct<start int, end int, name string>>")
-    def parts(text: pd.Series) -> pd.Series:
-        return pd.Series([parts_of(t, longest) if t else [] for t in text])
+    """Arrow helper for rows (key, field, text): key and field with every part of the text, some texts at a time."""
 
-    return parts
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in sliced(batches, 2, PART_BYTES):
+            rows, starts, ends, names = [], [], [], []
+            for row, text in enumerate(batch.column(2).to_pylist()):
+                for start, end, name in parts_of(text, longest) if text else []:
+                    rows.append(row)
+                    starts.append(start)
+                    ends.append(end)
+                    names.append(name)
+            own = batch.select([0, 1]).take(pa.array(rows, pa.int32()))
+            columns = [*own.columns, pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(names, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*own.schema.names, "start", "end", "name"])
+
+    return run
 
 
 def name_table(names: DataFrame, column: str = "name") -> DataFrame:
@@ -75,7 +91,8 @@ def person_spans(texts: DataFrame, key: str, names: DataFrame | None = None, fin
     if names is not None:
         known = name_table(names)
         longest = known.agg(F.max("words")).first()[0] or 0
-        parts = texts.select(key, "field", F.explode(_parts(longest)("text")).alias("p")).select(key, "field", "p.*")
+        named = T.StructType([*texts.select(key, "field").schema.fields, *T.StructType.fromDDL("start int, end int, name string").fields])
+        parts = texts.select(key, "field", "text").mapInArrow(_parts(longest), named)
         if written_bytes(known) <= BROADCAST_BYTES:
             hits = parts.join(F.broadcast(known.select("name")), "name")
         else:
