@@ -264,6 +264,40 @@ def test_shared_passage_does_not_make_copies(spark):
     assert got.count() == 0
 
 
+def test_sets_are_built_for_likely_pairs_only(spark, monkeypatch):
+    # Every text shares 15 words with all others; only rows 0 and 500, and 1 and 501, are similar.
+    common = " ".join(f"c{i}" for i in range(15))
+    texts = {i: common + " " + " ".join(f"u{i}_{j}" for j in range(60)) for i in range(80)}
+    texts |= {500: texts[0] + " more", 501: " ".join(f"u1_{j}" for j in range(60))}
+    built, write = [], dedup.materialise
+
+    def noted(df, label, **options):
+        table = write(df, label, **options)
+        if label == "near-sets":
+            built.extend(r["id"] for r in table.select("id").collect())
+        return table
+
+    monkeypatch.setattr(dedup, "materialise", noted)
+    df = spark.createDataFrame(list(texts.items()), "id bigint, t string")
+    assert {r["id"] for r in dedup.near_duplicates(df, "id", "t", 0.5, frequent_rows=10**9).collect()} == {500, 501} == greedy_drop(texts, 0.5)
+    assert {0, 1, 500, 501} <= set(built) and len(set(built)) <= 12
+
+
+def test_parities_differ_in_no_more_bits_than_sets_in_elements(spark):
+    from millrace.functions.kernels import _parities
+
+    rng, rows = np.random.default_rng(3), []
+    for k in range(200):
+        left = rng.integers(0, 2**64, rng.integers(1, 400), dtype=np.uint64)
+        right = np.concatenate([left[: rng.integers(0, len(left) + 1)], rng.integers(0, 2**64, rng.integers(1, 400), dtype=np.uint64)])
+        short, long = sorted([np.unique(left), np.unique(right)], key=len)
+        rows.append((len(np.setxor1d(short, long)), _parities(short).tolist(), _parities(long).tolist()))
+    df = spark.createDataFrame(rows, "elements int, short array<long>, long array<long>")
+    found = df.select("elements", F.size("long") / F.size("short"), dedup._differing(F.col("short"), F.col("long"))).collect()
+    assert all(bits <= elements and (elements - bits) % 2 == 0 for elements, _, bits in found)
+    assert max(folds for _, folds, _ in found) >= 4 and sum(bits for _, _, bits in found) > 0.4 * sum(elements for elements, _, _ in found)
+
+
 def test_hot_group_of_copies(spark):
     texts = [(i, "the same words again and again " * 5 + (f"tail{i}" if i % 50 == 0 else "")) for i in range(600)]
     df = spark.createDataFrame(texts, "id bigint, t string")
